@@ -93,7 +93,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggs = []
     for c in columns:
         aggs.append(
-            (F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int"))).cast("bigint").alias(c)
+            (F.count_distinct(F.col(c)) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))).cast("bigint").alias(c)
         )
     wide = df.agg(*aggs)
     stack = ", ".join(f"'{c}', `{c}`" for c in columns)

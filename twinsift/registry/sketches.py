@@ -1 +1,34 @@
-"""Registered queries."""
+"""Approximate distinct count queries. The HLL estimate itself differs
+between engines, so the oracle checks the exact counts and that the
+estimate is within three standard errors."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from twinsift.operators import sketches
+from twinsift.registry import register
+from twinsift.sources.tables import load
+
+RSD = 0.05
+
+
+@register(
+    "hll_distinct",
+    "SELECT count(DISTINCT o_custkey) + CAST(coalesce(max(o_custkey IS NULL::INT), 0) AS BIGINT) AS exact_count, "
+    "count(DISTINCT o_custkey) AS exact_non_null, true AS within_bound FROM orders",
+)
+def q_hll_distinct(spark, sf_dir):
+    est = sketches.distinct_estimate(load(spark, sf_dir, "orders"), "o_custkey", RSD)
+    return est.select("exact_count", "exact_non_null", sketches.within_bound("error_pct", RSD).alias("within_bound"))
+
+
+@register(
+    "hll_sweep",
+    "SELECT r AS rsd, (SELECT count(DISTINCT o_custkey) FROM orders) AS exact_count, true AS within_bound "
+    "FROM (VALUES ('0.01'), ('0.05'), ('0.1'), ('default')) t(r)",
+)
+def q_hll_sweep(spark, sf_dir):
+    sweep = sketches.rsd_sweep(load(spark, sf_dir, "orders"), "o_custkey")
+    bound = F.col("error_pct") <= F.when(F.col("rsd") == "default", RSD).otherwise(F.col("rsd").cast("double")) * 300.0
+    return sweep.select("rsd", "exact_count", bound.alias("within_bound"))
