@@ -1 +1,155 @@
-"""Registered queries."""
+"""Similarity queries: edit distance and ratio pairs of distinct values,
+token-set Jaccard and MinHash LSH, entity clusters and fuzzy dedup.
+
+The oracles compare every pair of distinct values (fine for a check at
+small scale); the Spark jobs never do: they block exactly (see
+``operators.fuzzy``) or by prefix filtering (``operators.minhash``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from twinsift.functions.keys import normalized
+from twinsift.operators import clusters, fuzzy, minhash
+from twinsift.plans.methods import METHODS, compare_methods
+from twinsift.registry import register
+from twinsift.registry.records import people
+from twinsift.registry.sqltext import PEOPLE_COLUMNS, keep_one_sql, norm, with_people
+from twinsift.sources.tables import load
+
+T = 2
+
+
+def _edit_sql(values_sql: str, t: int = T, column: str | None = None) -> str:
+    col = f"'{column}' AS column_name, " if column else ""
+    return (
+        f"SELECT {col}a.v AS value_a, b.v AS value_b, CAST(levenshtein(a.v, b.v) AS BIGINT) AS distance "
+        f"FROM ({values_sql}) a JOIN ({values_sql}) b ON a.v < b.v "
+        f"AND abs(length(a.v) - length(b.v)) <= {t} WHERE levenshtein(a.v, b.v) <= {t}"
+    )
+
+
+@register("levenshtein_names", _edit_sql("SELECT DISTINCT p_name AS v FROM part WHERE p_name IS NOT NULL"))
+def q_levenshtein_names(spark, sf_dir):
+    return fuzzy.edit_pairs(load(spark, sf_dir, "part").select("p_name"), T)
+
+
+@register(
+    "levenshtein_pairs",
+    with_people(
+        _edit_sql(f"SELECT DISTINCT {norm('name')} AS v FROM people", column="name")
+        + " UNION ALL "
+        + _edit_sql(f"SELECT DISTINCT {norm('email')} AS v FROM people", column="email")
+    ),
+)
+def q_levenshtein_pairs(spark, sf_dir):
+    """Normalised name or email values within 2 edits, per column."""
+    return fuzzy.column_edit_pairs(people(spark, sf_dir), ["name", "email"], T, key=normalized)
+
+
+@register("ratio_pairs")
+def q_ratio_pairs(spark, sf_dir):
+    """Distinct part names with similarity ratio >= 85."""
+    return fuzzy.ratio_pairs(load(spark, sf_dir, "part").select("p_name"), 85)
+
+
+_SETS_SQL = (
+    "WITH s0 AS (SELECT DISTINCT list_sort(list_distinct(list_filter(string_split_regex(lower(text), '\\s+'), "
+    "lambda x: x <> ''))) AS toks FROM documents WHERE text IS NOT NULL), "
+    "s AS (SELECT md5(array_to_string(toks, ' ')) AS set_id, toks, len(toks) AS n FROM s0 WHERE len(toks) > 0), "
+    "p AS (SELECT a.set_id AS set_a, b.set_id AS set_b, "
+    "len(list_intersect(a.toks, b.toks)) / len(list_distinct(list_concat(a.toks, b.toks))) AS j "
+    "FROM s a JOIN s b ON a.set_id < b.set_id AND b.n >= a.n * {s} - 1e-9 AND a.n >= b.n * {s} - 1e-9)\n"
+)
+
+
+@register(
+    "jaccard_documents",
+    _SETS_SQL.format(s=0.7) + "SELECT set_a, set_b, round(j, 6) AS similarity FROM p WHERE j >= 0.7 - 1e-9",
+)
+def q_jaccard_documents(spark, sf_dir):
+    sets = minhash.token_sets(load(spark, sf_dir, "documents"), "text")
+    return minhash.jaccard_pairs(sets, 0.7).withColumn("similarity", F.round("similarity", 6))
+
+
+@register(
+    "lsh_pairs",
+    _SETS_SQL.format(s=0.7) + "SELECT set_a, set_b, round(1 - j, 6) AS distance FROM p WHERE 1 - j < 0.3 - 1e-9",
+)
+def q_lsh_pairs(spark, sf_dir):
+    """MinHash LSH (5 tables, 2^18 features, fixed seed) on document token
+    sets, pairs re-checked by exact Jaccard: distance < 0.3."""
+    sets = minhash.token_sets(load(spark, sf_dir, "documents"), "text")
+    return minhash.lsh_pairs(sets, 0.3).withColumn("distance", F.round("distance", 6))
+
+
+@register("lsh_documents")
+def q_lsh_documents(spark, sf_dir):
+    """Raw LSH output as configured in the published method: 1024 hashed
+    features, distance on hashed vectors, no re-check."""
+    sets = minhash.token_sets(load(spark, sf_dir, "documents"), "text")
+    return minhash.lsh_pairs(sets, 0.3, num_features=1024, verify=False)
+
+
+_GRAPH_CTES = (
+    ", np AS (SELECT id, " + norm("name") + " AS nn, " + norm("email") + " AS ne FROM people)"
+    ", pn AS (" + _edit_sql("SELECT DISTINCT nn AS v FROM np") + ")"
+    ", pe AS (" + _edit_sql("SELECT DISTINCT ne AS v FROM np") + ")"
+    ", e AS (SELECT 'r:' || id AS s, 'n:' || nn AS d FROM np UNION SELECT 'r:' || id, 'e:' || ne FROM np "
+    "UNION SELECT 'n:' || value_a, 'n:' || value_b FROM pn UNION SELECT 'e:' || value_a, 'e:' || value_b FROM pe)"
+    ", u AS (SELECT s, d FROM e UNION SELECT d, s FROM e)"
+    ", lab AS (SELECT node, min(label) AS comp FROM ("
+    "WITH RECURSIVE r(node, label) AS (SELECT s, s FROM u UNION SELECT u.d, r.label FROM r JOIN u ON u.s = r.node "
+    "WHERE r.label < u.d) SELECT * FROM r) GROUP BY node)"
+    ", rows AS (SELECT substr(node, 3) AS id, comp FROM lab WHERE node LIKE 'r:%')"
+    ", cl AS (SELECT r.id, m.cluster_id FROM rows r JOIN (SELECT comp, min(id) AS cluster_id FROM rows GROUP BY comp) m "
+    "ON r.comp = m.comp)"
+)
+
+
+@register("fuzzy_clusters", with_people("SELECT id, cluster_id FROM cl", _GRAPH_CTES))
+def q_fuzzy_clusters(spark, sf_dir):
+    """Rows linked by equal or near (<= 2 edits) normalised name or email."""
+    return clusters.entity_clusters(people(spark, sf_dir), ["name", "email"], "id", "fuzzy_levenshtein", T)
+
+
+@register(
+    "fuzzy_dedup",
+    with_people(
+        keep_one_sql(
+            "(SELECT p.*, cl.cluster_id FROM people p JOIN cl ON p.id = cl.id)",
+            PEOPLE_COLUMNS,
+            ["cluster_id"],
+            ["id"],
+        ),
+        _GRAPH_CTES,
+    ),
+)
+def q_fuzzy_dedup(spark, sf_dir):
+    return clusters.resolve_entities(people(spark, sf_dir), "fuzzy_levenshtein", ["name", "email"], "id", T)
+
+
+def _method_sql() -> str:
+    """Oracle of the comparison table: the ten methods' unique counts."""
+    n_norm = f"(SELECT count(*) FROM (SELECT DISTINCT {norm('name')}, {norm('email')} FROM people))"
+    ne = "(SELECT count(*) FROM (SELECT DISTINCT name, email FROM people))"
+    nh = "(SELECT count(*) FROM (SELECT DISTINCT md5(concat_ws('|', coalesce(name, ''), coalesce(email, ''), coalesce(address, ''))) FROM people))"
+    ns = "(SELECT count(*) FROM (SELECT DISTINCT sha256(concat_ws('|', coalesce(name, ''), coalesce(email, ''), coalesce(address, ''))) FROM people))"
+    nc = "(SELECT count(*) FROM (SELECT DISTINCT md5(concat_ws('|', name, email, address)) FROM people))"
+    per = {
+        "exact": ne, "window": ne, "normalized": n_norm, "fuzzy_levenshtein": ne, "fuzzy_fuzzywuzzy": ne,
+        "lsh": ne, "checksum_md5": nh, "checksum_sha256": ns, "spark_hash": nc, "partitioned_hash": ne,
+    }
+    rows = " UNION ALL ".join(f"SELECT '{m}' AS method, {per[m]} AS unique_count" for m in METHODS)
+    return with_people(
+        "SELECT method, (SELECT count(*) FROM people) AS original_count, unique_count, "
+        "(SELECT count(*) FROM people) - unique_count AS duplicates_removed, "
+        "round(((SELECT count(*) FROM people) - unique_count) * 100.0 / (SELECT count(*) FROM people), 4) AS dedup_rate "
+        f"FROM ({rows})"
+    )
+
+
+@register("method_comparison", _method_sql())
+def q_method_comparison(spark, sf_dir):
+    return compare_methods(people(spark, sf_dir))
