@@ -1 +1,41 @@
-"""Registered queries."""
+"""Streaming queries: the ``events`` table replayed as a file stream.
+
+Each query runs the stream to completion (``availableNow``) into a fresh
+folder below the shared checkpoint folder and returns the written result.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from twinsift.registry import register
+from twinsift.registry.sqltext import EVENTS_COLUMNS, keep_one_sql
+from twinsift.session import scratch_path
+from twinsift.sources.tables import load
+from twinsift.streaming.dedup import SeenTableSink, read_parquet_stream, run_available, within_watermark
+
+KEYS = ["user_id", "event_type"]
+
+
+def _events_stream(spark, sf_dir):
+    schema = load(spark, sf_dir, "events").schema
+    return read_parquet_stream(spark, sf_dir, schema, glob="events.parquet")
+
+
+@register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+def q_stream_dedup(spark, sf_dir):
+    """Repeats of (user_id, event_type) dropped within a watermark that spans
+    the whole month of events: the distinct keys."""
+    base = scratch_path(spark, "stream-dedup")
+    stream = within_watermark(_events_stream(spark, sf_dir), KEYS, "ts", "3650 days").select(*KEYS)
+    run_available(stream, f"{base}/checkpoint", path=f"{base}/out")
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("stream_seen_table", keep_one_sql("events", EVENTS_COLUMNS, KEYS, ["ts"], "first"))
+def q_stream_seen_table(spark, sf_dir):
+    """foreachBatch: per key the earliest event, appended once to the target."""
+    base = scratch_path(spark, "stream-seen")
+    target = f"{base}/target"
+    run_available(_events_stream(spark, sf_dir), f"{base}/checkpoint", sink=SeenTableSink(target, KEYS, ["ts"]))
+    return spark.read.parquet(target).select(*[F.col(c) for c in EVENTS_COLUMNS])
