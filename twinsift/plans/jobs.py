@@ -75,12 +75,23 @@ def run_sources_job(
     if fmt == "csv" and "_corrupt_record" not in st.fieldNames():
         st = st.add("_corrupt_record", "string")
     df = read_sources(spark, paths, st, fmt=fmt, columnNameOfCorruptRecord="_corrupt_record")
-    good = df.filter(F.col("_corrupt_record").isNull()) if fmt == "csv" else df
-    report = per_source_report(good, "source_file", keys)
-    if fmt == "csv":
-        bad = df.groupBy("source_file").agg(F.count_if(F.col("_corrupt_record").isNotNull()).alias("corrupt_rows"))
-        report = report.join(bad, "source_file", "full").fillna(0, ["corrupt_rows", "rows", "unique_rows", "duplicate_rows"])
-    return report
+    if fmt != "csv":
+        return per_source_report(df, "source_file", keys)
+    # one pass: good rows counted per (file, key), malformed rows per file
+    bad = F.col("_corrupt_record").isNotNull()
+    per_key = df.groupBy("source_file", *[F.when(~bad, F.col(k)).alias(k) for k in keys], bad.alias("__bad")).agg(
+        F.count(F.lit(1)).alias("c")
+    )
+    good_c = F.when(~F.col("__bad"), F.col("c"))
+    total = F.coalesce(F.sum(good_c), F.lit(0))
+    unique = F.count_if(~F.col("__bad"))
+    return per_key.groupBy("source_file").agg(
+        total.cast("bigint").alias("rows"),
+        unique.cast("bigint").alias("unique_rows"),
+        (total - unique).cast("bigint").alias("duplicate_rows"),
+        F.round(F.when(total > 0, (total - unique) * 100.0 / total), 4).alias("duplicate_rate"),
+        F.coalesce(F.sum(F.when(F.col("__bad"), F.col("c"))), F.lit(0)).cast("bigint").alias("corrupt_rows"),
+    )
 
 
 def run_file_job(

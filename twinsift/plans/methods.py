@@ -74,19 +74,16 @@ def compare_methods(df: DataFrame, methods: Sequence[str] = METHODS, **opts) ->
     """One row per method: method, original_count, unique_count,
     duplicates_removed, dedup_rate (%). All methods are counted in one job:
     each contributes a tagged count, and the tagged counts are unioned."""
-    total = df.agg(F.count(F.lit(1)).alias("original_count"))
     parts = None
     for m in methods:
         part = dedup(df, m, **opts).agg(F.count(F.lit(1)).alias("unique_count")).select(
             F.lit(m).alias("method"), "unique_count"
         )
         parts = part if parts is None else parts.unionByName(part)
-    # the one-row total is attached per method through a constant key join of
-    # two tiny aggregates (one row each side per method)
-    tagged_total = total.select(F.lit(1).alias("__one"), "original_count")
-    joined = parts.withColumn("__one", F.lit(1)).join(F.broadcast(tagged_total), "__one").drop("__one")
+    # the input's row count as a scalar subquery: computed once, no join
+    total = df.agg(F.count(F.lit(1))).scalar()
     removed = F.col("original_count") - F.col("unique_count")
-    return joined.select(
+    return parts.withColumn("original_count", total).select(
         "method",
         "original_count",
         "unique_count",
