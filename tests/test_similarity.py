@@ -150,5 +150,5 @@ def test_lsh_pairs_are_exact_and_find_near_copies(spark):
     base = "the quick brown fox jumps over the lazy dog again and again today"
     texts = [base, base + " now", "completely different words here", base.replace("lazy", "sleepy")]
     sets = _sets(spark, texts)
-    pairs = minhash.lsh_pairs(sets, 0.3).collect()
-    assert len(pairs) == 3 and all(p.distance < 0.3 for p in pairs)
+    for pairs in (minhash.mllib_lsh_pairs(sets, 0.3).collect(), minhash.minhash_pairs(sets, 0.3).collect()):
+        assert len(pairs) == 3 and all(p.distance < 0.3 for p in pairs)

@@ -78,10 +78,10 @@ def q_jaccard_documents(spark, sf_dir):
     _SETS_SQL.format(s=0.7) + "SELECT set_a, set_b, round(1 - j, 6) AS distance FROM p WHERE 1 - j < 0.3 - 1e-9",
 )
 def q_lsh_pairs(spark, sf_dir):
-    """MinHash LSH (5 tables, 2^18 features, fixed seed) on document token
-    sets, pairs re-checked by exact Jaccard: distance < 0.3."""
+    """Banded MinHash LSH (32 bands x 4 rows, fixed seed) on document token
+    sets, candidates re-checked by exact Jaccard: distance < 0.3."""
     sets = minhash.token_sets(load(spark, sf_dir, "documents"), "text")
-    return minhash.lsh_pairs(sets, 0.3).withColumn("distance", F.round("distance", 6))
+    return minhash.minhash_pairs(sets, 0.3).withColumn("distance", F.round("distance", 6))
 
 
 @register("lsh_documents")
@@ -89,7 +89,7 @@ def q_lsh_documents(spark, sf_dir):
     """Raw LSH output as configured in the published method: 1024 hashed
     features, distance on hashed vectors, no re-check."""
     sets = minhash.token_sets(load(spark, sf_dir, "documents"), "text")
-    return minhash.lsh_pairs(sets, 0.3, num_features=1024, verify=False)
+    return minhash.mllib_lsh_pairs(sets, 0.3, num_features=1024, verify=False)
 
 
 _GRAPH_CTES = (
