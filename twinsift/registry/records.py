@@ -241,7 +241,10 @@ def q_hash64_verified(spark, sf_dir):
     return exact.fingerprint_dedup(people(spark, sf_dir), ["name", "email", "address"], "xxhash64")
 
 
-@register("json_fingerprint")
+@register(
+    "json_fingerprint",
+    with_people(keep_one_sql("people", P, ["md5(to_json([name, email, address]))"], tie_exclude=[])),
+)
 def q_json_fingerprint(spark, sf_dir):
     return exact.fingerprint_dedup(people(spark, sf_dir), ["name", "email", "address"], "json_md5")
 
