@@ -25,8 +25,10 @@ def no_aqe(spark):
 
 def test_partitioned_dedup_has_one_exchange(no_aqe):
     li = load(no_aqe, SF0001, "lineitem")
-    plan = _plan(exact.partitioned_dedup(li, ["l_orderkey", "l_linenumber"], 16))
+    plan = _plan(exact.partitioned_dedup(li, ["l_orderkey", "l_linenumber"], 16, salt_buckets=0))
     assert plan.count("Exchange hashpartitioning") == 1
+    salted = _plan(exact.partitioned_dedup(li, ["l_orderkey", "l_linenumber"], 16))
+    assert salted.count("Exchange hashpartitioning") == 2 and "WindowGroupLimit" in salted
 
 
 def test_keep_one_limits_groups_before_the_shuffle(no_aqe):
@@ -35,6 +37,12 @@ def test_keep_one_limits_groups_before_the_shuffle(no_aqe):
     assert plan.count("WindowGroupLimit") == 2  # partial (map side) and final
 
 
+def test_repeats_never_window_whole_groups(no_aqe):
+    plan = _plan(survivors.repeats(load(no_aqe, SF0001, "lineitem"), ["l_orderkey"]))
+    # the only window is keep_one's, cut by a group limit on both sides
+    assert plan.count("WindowGroupLimit") == 2
+
+
 def test_distinct_rows_aggregates_map_side(no_aqe):
     plan = _plan(exact.distinct_rows(load(no_aqe, SF0001, "lineitem")))
     first_agg, exchange = plan.rfind("HashAggregate"), plan.find("Exchange")

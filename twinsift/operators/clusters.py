@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from twinsift.functions.keys import normalized
 from twinsift.operators.fuzzy import edit_pairs, ratio_pairs
 from twinsift.operators.survivors import keep_one
-from twinsift.session import checkpoint_dir
+from twinsift.session import cut_lineage
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -54,27 +54,30 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def _is_star_forest(edges: DataFrame) -> bool:
-    """Every edge points from a leaf to a root, and each leaf has one root."""
-    centers_are_leaves = edges.join(edges.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
-    if not centers_are_leaves.isEmpty():
-        return False
-    return edges.groupBy("a").count().filter(F.col("count") > 1).isEmpty()
+    """Every edge points from a leaf to a root, and each leaf has one root:
+    no node is a leaf twice, and no node is both a leaf and a center. One
+    aggregate, one job."""
+    roles = edges.select(F.col("a").alias("node"), F.lit(1).alias("leaf"), F.lit(0).alias("center")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("leaf"), F.lit(1).alias("center"))
+    )
+    per_node = roles.groupBy("node").agg(F.sum("leaf").alias("leaf"), F.max("center").alias("center"))
+    return per_node.filter((F.col("leaf") > 1) | ((F.col("leaf") == 1) & (F.col("center") == 1))).isEmpty()
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 200) -> DataFrame:
     """``node, component`` for every node of the undirected graph; the
     component is named by its smallest node."""
-    spark = edges.sparkSession
-    checkpoint_dir(spark)
-    e = (
+    # one reliable copy of the input: the node list and round 0 both read it
+    base = (
         edges.select(F.greatest(src, dst).alias("a"), F.least(src, dst).alias("b"))
-        .filter(F.col("a") != F.col("b"))
+        .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
         .distinct()
-        .checkpoint()
     )
-    nodes = edges.select(F.col(src).alias("node")).unionByName(edges.select(F.col(dst).alias("node"))).distinct()
+    base = cut_lineage(base)
+    nodes = base.select(F.col("a").alias("node")).unionByName(base.select(F.col("b").alias("node"))).distinct()
+    e = base.filter(F.col("a") != F.col("b"))
     for _ in range(max_rounds):
-        e = _small_star(_large_star(e)).checkpoint()
+        e = cut_lineage(_small_star(_large_star(e)))
         if _is_star_forest(e):
             break
     else:

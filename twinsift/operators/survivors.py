@@ -79,11 +79,28 @@ def keep_one(
 
 
 def repeats(df: DataFrame, keys: Sequence[KeyLike], order_by: Sequence[KeyLike] = ()) -> DataFrame:
-    """Every row after the first of its key: the complement of ``keep_one``."""
+    """Every row after the first of its key: the complement of ``keep_one``.
+
+    Never sorts a whole key group in one task: equal rows are counted by an
+    aggregate, the survivor is chosen among DISTINCT rows (``keep_one``,
+    limited before its shuffle), and each distinct row is emitted as many
+    times as it repeats (its count, minus one for the survivor)."""
     original = df.columns
-    df, key_names, _ = _key_columns(df, keys)
-    window = Window.partitionBy(*key_names).orderBy(*total_order(df, order_by, "first", exclude=key_names))
-    return df.withColumn("__rn", F.row_number().over(window)).filter(F.col("__rn") > 1).select(*original)
+    counted = df.groupBy(*original).agg(F.count(F.lit(1)).alias("__n"))
+    renamed = [f"__s{i}" for i in range(len(original))]
+    survivors = keep_one(counted, keys, order_by=order_by).select(
+        *[F.col(c).alias(r) for c, r in zip(original, renamed)], F.lit(1).alias("__kept")
+    )
+    cond = None
+    for c, r in zip(original, renamed):
+        term = F.col(c).eqNullSafe(F.col(r))
+        cond = term if cond is None else cond & term
+    joined = counted.join(survivors, cond, "left").select(
+        *original, (F.col("__n") - F.coalesce(F.col("__kept"), F.lit(0))).alias("__extra")
+    )
+    return joined.filter(F.col("__extra") > 0).select(
+        *original, F.explode(F.sequence(F.lit(1), F.col("__extra").cast("int"))).alias("__copy")
+    ).drop("__copy")
 
 
 def latest_wins(existing: DataFrame, new: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:

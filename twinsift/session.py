@@ -59,3 +59,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df):
+    """Write ``df`` to the shared checkpoint folder and continue from there.
+
+    The data is persisted while the checkpoint is written (otherwise Spark
+    computes the plan twice: once for the job, once for the files), then
+    released; the returned DataFrame reads the reliable copy, so losing an
+    executor never reaches back past this point.
+    """
+    from pyspark import StorageLevel
+
+    checkpoint_dir(df.sparkSession)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
