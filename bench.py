@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from twinsift.operators import exact, sketches  # noqa: E402
+from twinsift.operators import exact, reports, sketches  # noqa: E402
 from twinsift.registry import queries  # noqa: E402
 from twinsift.session import local_session  # noqa: E402
 from twinsift.sources.tables import load  # noqa: E402
@@ -50,6 +50,8 @@ LINEITEM = {
     "lineitem_spark_hash": lambda li: exact.fingerprint_dedup(li, kind="concat_md5"),
     "lineitem_checksum_md5": lambda li: exact.fingerprint_dedup(li, kind="md5"),
     "lineitem_hll": lambda li: sketches.distinct_estimate(li, "l_partkey"),
+    "lineitem_hll_only": lambda li: sketches.approx_distinct(li, "l_partkey"),
+    "lineitem_distinct_count": lambda li: reports.distinct_counts(li, ["l_partkey"]),
 }
 
 

@@ -40,6 +40,16 @@ def test_has_at_most(spark):
     assert sizing.has_at_most(spark.range(5), 5) and not sizing.has_at_most(spark.range(6), 5)
 
 
+def test_tune_shuffle_from_input_bytes(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert sizing.input_bytes(spark, "/root/testdata/sf0.01/lineitem.parquet") > 0
+        n = sizing.tune_shuffle(spark, "/root/testdata/sf0.01/*.parquet", partition_bytes=1024 * 1024)
+        assert n >= spark.sparkContext.defaultParallelism and spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_merge_insert_only(spark):
     target = _people(spark, [("1", "a")])
     source = _people(spark, [("2", "a"), ("3", "b"), ("4", "b")])

@@ -17,6 +17,11 @@ def _error_cols(approx: str, exact: str, prefix: str = "") -> list:
     return [err.cast("bigint").alias(f"{prefix}error"), F.round(pct, 4).alias(f"{prefix}error_pct")]
 
 
+def approx_distinct(df: DataFrame, column: str, rsd: float = DEFAULT_RSD) -> DataFrame:
+    """One row: the HLL++ estimate alone (one pass, fixed-size state)."""
+    return df.agg(F.approx_count_distinct(column, rsd).cast("bigint").alias("approx_count"))
+
+
 def distinct_estimate(df: DataFrame, column: str, rsd: float = DEFAULT_RSD) -> DataFrame:
     """One row: approx_count (HLL; NULL ignored), exact_count (like
     ``select(c).distinct().count()``: NULL counts as one value),

@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from twinsift.operators import files as file_ops
 from twinsift.operators.reports import dedup_report
 from twinsift.plans.methods import DEFAULT_KEYS, dedup
+from twinsift.plans.sizing import tune_shuffle
 from twinsift.sources.files import scan_files
 from twinsift.sources.sinks import write_parquet
 from twinsift.sources.tables import read_sources, read_table
@@ -37,10 +38,14 @@ def run_job(
     method: str = "exact",
     schema: StructType | str | None = None,
     validate_keys: Sequence[str] = DEFAULT_KEYS,
+    tune: bool = False,
     **opts,
 ) -> tuple[str, DataFrame]:
     """Read ``input_path``, deduplicate by ``method``, write Parquet to
-    ``output_dir/deduplicated_<base>.parquet``; return (path, report)."""
+    ``output_dir/deduplicated_<base>.parquet``; return (path, report).
+    ``tune`` sizes the shuffle partitions from the input's bytes first."""
+    if tune:
+        tune_shuffle(spark, input_path)
     df = read_table(spark, input_path, schema=schema)
     out = output_path(input_path, output_dir)
     write_parquet(dedup(df, method, **opts), out)

@@ -30,3 +30,33 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataF
 def broadcast_if_bytes(df: DataFrame, size_bytes: int, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
     """``F.broadcast(df)`` when its known size is within ``max_bytes``."""
     return F.broadcast(df) if size_bytes <= max_bytes else df
+
+
+DEFAULT_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark, paths) -> int:
+    """Total size of the files under ``paths`` from the file system's
+    metadata (no data is read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in [paths] if isinstance(paths, str) else list(paths):
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        for status in fs.globStatus(hp) or []:
+            total += fs.getContentSummary(status.getPath()).getLength()
+    return int(total)
+
+
+def tune_shuffle(spark, paths, partition_bytes: int = DEFAULT_PARTITION_BYTES, expansion: float = 3.0) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so each shuffle partition holds
+    about ``partition_bytes`` (compressed input times ``expansion`` for the
+    decoded rows), never fewer than the cluster's cores; AQE coalesces the
+    small ones and splits skewed ones. Returns the number set."""
+    cores = spark.sparkContext.defaultParallelism
+    wanted = int(input_bytes(spark, paths) * expansion // max(partition_bytes, 1)) + 1
+    n = max(cores, wanted)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes // 2))
+    return n
