@@ -48,7 +48,26 @@ def q_levenshtein_pairs(spark, sf_dir):
     return fuzzy.column_edit_pairs(people(spark, sf_dir), ["name", "email"], T, key=normalized)
 
 
-@register("ratio_pairs")
+_LCS_SQL = (
+    "list_reduce(range(1, length(a) + 1), lambda row, i: list_prepend(0, list_transform(range(1, length(b) + 1), "
+    "lambda j: list_max(list_transform(range(1, j + 1), lambda k: greatest(row[k + 1], CASE WHEN "
+    "substr(a, CAST(i AS INTEGER), 1) = substr(b, CAST(k AS INTEGER), 1) THEN row[k] + 1 ELSE 0 END))))), "
+    "list_transform(range(0, length(b) + 1), lambda x: 0))[length(b) + 1]"
+)
+_RATIO_SQL = (
+    "CASE WHEN a = b THEN 100 WHEN length(a) = 0 OR length(b) = 0 THEN 0 "
+    f"ELSE CAST(round_even(200.0 * ({_LCS_SQL}) / (length(a) + length(b)), 0) AS BIGINT) END"
+)
+
+
+@register(
+    "ratio_pairs",
+    "WITH v AS (SELECT DISTINCT p_name AS s FROM part WHERE p_name IS NOT NULL), "
+    "c AS (SELECT x.s AS a, y.s AS b FROM v x JOIN v y ON x.s < y.s "
+    "AND abs(length(x.s) - length(y.s)) <= (length(x.s) + length(y.s)) * 0.155), "
+    f"r AS (SELECT a, b, {_RATIO_SQL} AS ratio FROM c) "
+    "SELECT a AS value_a, b AS value_b, ratio FROM r WHERE ratio >= 85",
+)
 def q_ratio_pairs(spark, sf_dir):
     """Distinct part names with similarity ratio >= 85."""
     return fuzzy.ratio_pairs(load(spark, sf_dir, "part").select("p_name"), 85)
