@@ -20,6 +20,18 @@ TABLES = (
 ).split()
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "binary": "BLOB",
+    "float": "FLOAT",
+}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -68,15 +80,20 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con=None) -> dic
         return out
     con = con or duck(sf_dir)
     t0 = time.time()
-    cur = con.execute(sql)
-    d_cols = [d[0] for d in cur.description]
-    d_records = cur.fetchall()
+    rel = con.sql(sql)
+    d_cols = list(rel.columns)
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
+    d_records = rel.fetchall()
     out["duck_rows"] = len(d_records)
     out["duck_sec"] = round(time.time() - t0, 2)
     sc, sr = _rows(s_cols, s_records)
     dc, dr = _rows(d_cols, d_records)
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    type_diffs = {c: (s_types[c], d_types.get(c)) for c in s_types if c in d_types and s_types[c] != d_types[c]}
     if sc != dc:
         out["status"] = f"COLUMNS differ: spark={sc} duck={dc}"
+    elif type_diffs:
+        out["status"] = f"TYPES differ: {type_diffs}"
     elif len(sr) != len(dr):
         out["status"] = "ROWCOUNT differs"
     elif sr != dr:

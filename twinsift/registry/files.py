@@ -134,7 +134,7 @@ def q_largest_groups(spark, sf_dir):
     "blob_report",
     BLOBS_CTE
     + "SELECT CAST(sum(n) AS BIGINT) AS total_files, count(*) AS unique_files, "
-    "count_if(n > 1) AS duplicate_groups, CAST(sum(n - 1) AS BIGINT) AS duplicate_files, "
+    "CAST(count_if(n > 1) AS BIGINT) AS duplicate_groups, CAST(sum(n - 1) AS BIGINT) AS duplicate_files, "
     "CAST(sum(t) AS BIGINT) AS total_bytes, CAST(sum((n - 1) * b) AS BIGINT) AS saved_bytes FROM ("
     "SELECT file_hash, count(*) AS n, min(file_size) AS b, sum(file_size) AS t FROM blobs "
     "WHERE file_hash IS NOT NULL GROUP BY file_hash "

@@ -294,7 +294,8 @@ def q_duplicate_overview(spark, sf_dir):
     with_people(
         " UNION ALL ".join(
             f"SELECT (SELECT count(*) FROM people) AS rows, '{c}' AS column_name, "
-            f"count_if({c} IS NULL) AS null_count, count_if(trim({c}) = '') AS blank_count FROM people"
+            f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, "
+            f"CAST(count_if(trim({c}) = '') AS BIGINT) AS blank_count FROM people"
             for c in ("name", "email", "address")
         )
     ),
