@@ -31,6 +31,7 @@ HEADLINE = [
     "bloom_then_exact",
     "hll_distinct",
     "blob_report",
+    "hll_blobs",
     "duplicate_groups",
     "one_per_hash",
     "levenshtein_names",

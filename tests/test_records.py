@@ -183,6 +183,12 @@ def test_duplicate_keys_and_overview(sample):
     assert (r.total_rows, r.unique_keys, r.duplicate_rows) == (6, 5, 1)
 
 
+def test_sampled_overview_is_within_the_sample(spark):
+    df = spark.range(10000).select((F.col("id") % 100).alias("k"))
+    r = reports.sampled_overview(df, ["k"], 0.1, 7).first()
+    assert 500 < r.total_rows < 1500 and r.unique_keys <= 100
+
+
 def test_distinct_counts_count_null_as_value(spark):
     df = spark.createDataFrame([("a",), (None,), ("a",)], "c string")
     assert reports.distinct_counts(df, ["c"]).first().distinct_count == 2

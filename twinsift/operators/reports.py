@@ -74,6 +74,13 @@ def duplicate_overview(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def sampled_overview(df: DataFrame, keys: Sequence[str], fraction: float = 0.1, seed: int = 42) -> DataFrame:
+    """``duplicate_overview`` of a Bernoulli sample (a quick look before a
+    full run). Duplicates are counted within the sample, so the rate
+    understates the full table's for pairs split by the sample."""
+    return duplicate_overview(df.sample(fraction=fraction, seed=seed), keys)
+
+
 def key_quality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: NULL values and blank (empty after trim) values."""
     aggs = []

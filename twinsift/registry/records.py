@@ -289,6 +289,12 @@ def q_duplicate_overview(spark, sf_dir):
     return reports.duplicate_overview(people(spark, sf_dir), ["name", "email"])
 
 
+@register("sampled_overview")
+def q_sampled_overview(spark, sf_dir):
+    """Duplicate overview of a 10 % sample of lineitem on its line key."""
+    return reports.sampled_overview(load(spark, sf_dir, "lineitem"), LINE_KEYS, 0.1, 42)
+
+
 @register(
     "key_quality",
     with_people(
