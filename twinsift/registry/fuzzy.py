@@ -88,7 +88,7 @@ _SETS_SQL = (
     _SETS_SQL.format(s=0.7) + "SELECT set_a, set_b, round(j, 6) AS similarity FROM p WHERE j >= 0.7 - 1e-9",
 )
 def q_jaccard_documents(spark, sf_dir):
-    sets = minhash.token_sets(load(spark, sf_dir, "documents"), "text")
+    sets = minhash.materialized_token_sets(load(spark, sf_dir, "documents"), "text")
     return minhash.jaccard_pairs(sets, 0.7).withColumn("similarity", F.round("similarity", 6))
 
 
@@ -99,7 +99,7 @@ def q_jaccard_documents(spark, sf_dir):
 def q_lsh_pairs(spark, sf_dir):
     """Banded MinHash LSH (32 bands x 4 rows, fixed seed) on document token
     sets, candidates re-checked by exact Jaccard: distance < 0.3."""
-    sets = minhash.token_sets(load(spark, sf_dir, "documents"), "text")
+    sets = minhash.materialized_token_sets(load(spark, sf_dir, "documents"), "text")
     return minhash.minhash_pairs(sets, 0.3).withColumn("distance", F.round("distance", 6))
 
 
@@ -107,7 +107,7 @@ def q_lsh_pairs(spark, sf_dir):
 def q_lsh_documents(spark, sf_dir):
     """Raw LSH output as configured in the published method: 1024 hashed
     features, distance on hashed vectors, no re-check."""
-    sets = minhash.token_sets(load(spark, sf_dir, "documents"), "text")
+    sets = minhash.materialized_token_sets(load(spark, sf_dir, "documents"), "text")
     return minhash.mllib_lsh_pairs(sets, 0.3, num_features=1024, verify=False)
 
 
