@@ -32,6 +32,12 @@ SPARK_TO_DUCK = {
 }
 
 
+def _duck_type(spark_type: str) -> str:
+    if spark_type.startswith("array<") and spark_type.endswith(">"):
+        return _duck_type(spark_type[6:-1]) + "[]"
+    return SPARK_TO_DUCK.get(spark_type, spark_type)
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -88,7 +94,7 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con=None) -> dic
     out["duck_sec"] = round(time.time() - t0, 2)
     sc, sr = _rows(s_cols, s_records)
     dc, dr = _rows(d_cols, d_records)
-    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    s_types = {f.name: _duck_type(f.dataType.simpleString()) for f in sdf.schema.fields}
     type_diffs = {c: (s_types[c], d_types.get(c)) for c in s_types if c in d_types and s_types[c] != d_types[c]}
     if sc != dc:
         out["status"] = f"COLUMNS differ: spark={sc} duck={dc}"

@@ -289,6 +289,21 @@ def q_duplicate_overview(spark, sf_dir):
     return reports.duplicate_overview(people(spark, sf_dir), ["name", "email"])
 
 
+@register(
+    "array_key_dedup",
+    keep_one_sql("embeddings", ("vec_id", "embedding", "label"), ["embedding"], ["vec_id"]),
+)
+def q_array_key_dedup(spark, sf_dir):
+    """Deduplication keyed by an array<float> column (first by vec_id)."""
+    return survivors.keep_one(load(spark, sf_dir, "embeddings"), ["embedding"], order_by=["vec_id"])
+
+
+@register("no_duplicates_pages", keep_one_sql("pages", ("page_id", "url", "html"), ["url"], ["page_id"]))
+def q_no_duplicates_pages(spark, sf_dir):
+    """Raw pages keyed by URL: an input without repeats comes back whole."""
+    return exact.exact_dedup(load(spark, sf_dir, "pages"), ["url"], order_by=["page_id"])
+
+
 @register("sampled_overview")
 def q_sampled_overview(spark, sf_dir):
     """Duplicate overview of a 10 % sample of lineitem on its line key."""

@@ -12,7 +12,14 @@ from twinsift.registry import register
 from twinsift.registry.sqltext import EVENTS_COLUMNS, keep_one_sql
 from twinsift.session import scratch_path
 from twinsift.sources.tables import load
-from twinsift.streaming.dedup import SeenTableSink, read_parquet_stream, run_available, within_watermark
+from twinsift.operators.bloom import BloomSpec
+from twinsift.streaming.dedup import (
+    BloomSeenTableSink,
+    SeenTableSink,
+    read_parquet_stream,
+    run_available,
+    within_watermark,
+)
 
 KEYS = ["user_id", "event_type"]
 
@@ -39,3 +46,15 @@ def q_stream_seen_table(spark, sf_dir):
     target = f"{base}/target"
     run_available(_events_stream(spark, sf_dir), f"{base}/checkpoint", sink=SeenTableSink(target, KEYS, ["ts"]))
     return spark.read.parquet(target).select(*[F.col(c) for c in EVENTS_COLUMNS])
+
+
+@register("stream_bloom_seen_table", keep_one_sql("events", EVENTS_COLUMNS, ["user_id"], ["ts"], "first"))
+def q_stream_bloom_seen_table(spark, sf_dir):
+    """foreachBatch with a Bloom filter table of the target's keys as first
+    pass: per user the earliest event, appended once."""
+    base = scratch_path(spark, "stream-bloom")
+    target = f"{base}/target"
+    users = load(spark, sf_dir, "events").agg(F.approx_count_distinct("user_id")).first()[0]
+    sink = BloomSeenTableSink(target, "user_id", f"{base}/filter", BloomSpec.for_items(max(users, 1) * 2, 0.01), ["ts"])
+    run_available(_events_stream(spark, sf_dir), f"{base}/checkpoint", sink=sink)
+    return spark.read.parquet(target).select(*[F.col(c) for c in EVENTS_COLUMNS])
