@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from twinsift.operators.incremental import unseen_rows
-from twinsift.session import scratch_path
+from twinsift.session import path_exists, scratch_path
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> str:
@@ -23,16 +23,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     return path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
-
-
 def append_unseen(spark: SparkSession, new: DataFrame, target_path: str, key: str | Sequence[str]) -> int:
     """Append to the Parquet table at ``target_path`` only the new rows whose
     key it does not hold yet; returns the number of rows appended."""
-    if not _exists(spark, target_path):
+    if not path_exists(spark, target_path):
         write_parquet(new, target_path)
         return spark.read.parquet(target_path).count()
     stage = scratch_path(spark, "append-stage")

@@ -23,6 +23,7 @@ from twinsift.operators import bloom
 from twinsift.operators.files import hash_files
 from twinsift.operators.incremental import unseen_rows
 from twinsift.operators.survivors import keep_one
+from twinsift.session import path_exists
 from twinsift.sources.files import stream_files
 
 
@@ -51,12 +52,6 @@ def within_watermark(stream: DataFrame, keys: Sequence[str], ts: str, delay: str
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 class SeenTableSink:
     """``foreachBatch`` sink: per batch keep one row per key (first in
     ``order_by``), drop keys already in the Parquet table at ``target``,
@@ -70,7 +65,7 @@ class SeenTableSink:
     def new_rows(self, batch: DataFrame) -> DataFrame:
         spark = batch.sparkSession
         fresh = keep_one(batch, self.keys, order_by=self.order_by)
-        if _exists(spark, self.target):
+        if path_exists(spark, self.target):
             fresh = unseen_rows(spark.read.parquet(self.target), fresh, self.keys)
         return fresh
 
@@ -99,7 +94,7 @@ class BloomSeenTableSink(SeenTableSink):
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = keep_one(batch, self.keys, order_by=self.order_by)
-        if _exists(spark, self.filter_path):
+        if path_exists(spark, self.filter_path):
             filt = spark.read.parquet(self.filter_path)
             flagged = bloom.probe(fresh, self.key, filt, self.spec, "__maybe")
             surely_new = flagged.filter(~F.col("__maybe")).drop("__maybe")
