@@ -9,10 +9,10 @@ aggregation and joined with AQE's skew handling. Every round is written to
 the shared checkpoint folder (``checkpoint()``, never a local one), so a lost
 executor costs at most one round and lineage stays short.
 
-Rows are linked through VALUE nodes rather than row pairs: a row connects to
-the node of each of its (normalised) key values, and similar values connect
-to each other. A key shared by a million rows is a star of a million edges,
-not half a trillion pairs.
+The graph has VALUE nodes only: a row is an edge between its (normalised)
+key values, similar values are edges too, and rows take the component of
+their values at the end. A key shared by a million rows is one node, not a
+million row nodes, let alone half a trillion row pairs.
 """
 
 from __future__ import annotations
@@ -86,7 +86,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     return nodes.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
-ROW, VALUE, SET = "r", "v", "s"
+VALUE, SET = "v", "s"
 
 
 def _node(kind: str, *parts) -> F.Column:
@@ -100,17 +100,18 @@ def similarity_edges(
     method: str = "fuzzy_levenshtein",
     threshold: float | None = None,
 ) -> DataFrame:
-    """Graph edges ``src, dst``: row -> value node of each normalised column,
-    and value -> value for similar values of the same column. For ``lsh``
+    """Graph edges ``src, dst`` over VALUE nodes: each distinct combination
+    of a row's normalised values links them (a row is an edge, not a node),
+    and similar values of one column link to each other. For ``lsh``
     (token-set similarity) values link to their token-set node, and similar
     sets link to each other, so equal sets never expand into value pairs."""
+    nodes = [_node(VALUE, F.lit(c), normalized(c)) for c in columns]
     edges = None
+    for left, right in zip(nodes, nodes[1:]):
+        part = df.select(left.alias("src"), right.alias("dst")).distinct()
+        edges = part if edges is None else edges.unionByName(part)
     for c in columns:
-        key = normalized(c)
-        rows = df.select(
-            _node(ROW, F.col(id_col).cast("string")).alias("src"), _node(VALUE, F.lit(c), key).alias("dst")
-        )
-        values = df.select(key.alias("v"))
+        values = df.select(normalized(c).alias("v"))
         if method == "fuzzy_levenshtein":
             pairs = edit_pairs(values, int(threshold if threshold is not None else 2))
         elif method == "fuzzy_fuzzywuzzy":
@@ -126,8 +127,7 @@ def similarity_edges(
             )
         else:
             sim = _token_set_edges(values, c, 1.0 - (threshold if threshold is not None else 0.3))
-        part = rows.unionByName(sim)
-        edges = part if edges is None else edges.unionByName(part)
+        edges = sim if edges is None else edges.unionByName(sim)
     return edges
 
 
@@ -157,12 +157,12 @@ def entity_clusters(
     chain of equal or similar key values links them (any of ``columns``);
     the cluster is named by its smallest id."""
     comps = connected_components(similarity_edges(df, columns, id_col, method, threshold))
-    prefix = f"{ROW}\u0001"
-    rows = comps.filter(F.col("node").startswith(prefix)).select(
-        F.substring("node", len(prefix) + 1, 1 << 30).alias(id_col), "component"
-    )
+    first = _node(VALUE, F.lit(columns[0]), normalized(columns[0]))
+    rows = df.select(F.col(id_col).cast("string").alias(id_col), first.alias("node")).distinct()
+    # a value in no edge at all (one column, nothing similar) is its own component
+    rows = rows.join(comps, "node", "left").select(id_col, F.coalesce("component", "node").alias("component"))
     named = rows.groupBy("component").agg(F.min(id_col).alias("cluster_id"))
-    return rows.join(named, "component").select(id_col, "cluster_id")
+    return rows.join(named, "component").select(id_col, "cluster_id").distinct()
 
 
 def resolve_entities(
