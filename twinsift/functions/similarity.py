@@ -3,11 +3,18 @@ ratio (an Arrow-batched pandas UDF; Spark has no LCS built in)."""
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+# The UDF and its helpers travel with the task (pickled by value), so the
+# Python workers need pandas but not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
