@@ -16,6 +16,7 @@ from twinsift.operators.bloom import BloomSpec
 from twinsift.streaming.dedup import (
     BloomSeenTableSink,
     SeenTableSink,
+    file_arrivals,
     read_parquet_stream,
     run_available,
     within_watermark,
@@ -58,3 +59,20 @@ def q_stream_bloom_seen_table(spark, sf_dir):
     sink = BloomSeenTableSink(target, "user_id", f"{base}/filter", BloomSpec.for_items(max(users, 1) * 2, 0.01), ["ts"])
     run_available(_events_stream(spark, sf_dir), f"{base}/checkpoint", sink=sink)
     return spark.read.parquet(target).select(*[F.col(c) for c in EVENTS_COLUMNS])
+
+
+@register(
+    "stream_file_arrivals",
+    "SELECT DISTINCT md5(text || chr(10)) AS file_hash, CAST(strlen(text) + 1 AS BIGINT) AS file_size "
+    "FROM documents WHERE text IS NOT NULL",
+)
+def q_stream_file_arrivals(spark, sf_dir):
+    """Every document lands as its own text file; the file stream hashes the
+    files on the executors and keeps one file per content."""
+    base = scratch_path(spark, "file-arrivals")
+    docs = load(spark, sf_dir, "documents").filter(F.col("text").isNotNull()).select("doc_id", "text")
+    docs.repartition("doc_id").write.partitionBy("doc_id").text(f"{base}/landing")
+    target = f"{base}/target"
+    stream = file_arrivals(spark, f"{base}/landing", recursive=True)
+    run_available(stream, f"{base}/checkpoint", sink=SeenTableSink(target, ["file_hash"], ["file_path"]))
+    return spark.read.parquet(target).select("file_hash", "file_size")

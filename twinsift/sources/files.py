@@ -41,11 +41,19 @@ def scan_files(
     return as_files(df)
 
 
-def stream_files(spark: SparkSession, path: str, glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_files(
+    spark: SparkSession,
+    path: str,
+    glob: str | None = None,
+    max_files_per_trigger: int | None = None,
+    recursive: bool = False,
+) -> DataFrame:
     """Streaming form of ``scan_files``: files are picked up as they arrive."""
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return as_files(reader.load(path))

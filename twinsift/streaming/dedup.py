@@ -113,10 +113,12 @@ class BloomSeenTableSink(SeenTableSink):
         rows.write.mode("append").parquet(self.target)
 
 
-def file_arrivals(spark: SparkSession, folder: str, hash_type: str = "md5", glob: str | None = None) -> DataFrame:
+def file_arrivals(
+    spark: SparkSession, folder: str, hash_type: str = "md5", glob: str | None = None, recursive: bool = False
+) -> DataFrame:
     """Stream of arriving files as ``file_path, file_name, file_size,
     file_hash``; pair with ``SeenTableSink(target, ['file_hash'])``."""
-    return hash_files(stream_files(spark, folder, glob=glob), hash_type)
+    return hash_files(stream_files(spark, folder, glob=glob, recursive=recursive), hash_type)
 
 
 def run_available(stream: DataFrame, checkpoint: str, sink=None, path: str | None = None, output_mode: str = "append"):
