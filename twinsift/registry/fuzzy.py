@@ -111,6 +111,21 @@ def q_lsh_documents(spark, sf_dir):
     return minhash.mllib_lsh_pairs(sets, 0.3, num_features=1024, verify=False)
 
 
+@register("lsh_recall")
+def q_lsh_recall(spark, sf_dir):
+    """MLlib LSH (published configuration) and banded MinHash against the
+    exact Jaccard join on document token sets (distance < 0.3)."""
+    sets = minhash.materialized_token_sets(load(spark, sf_dir, "documents"), "text")
+    exact = minhash.jaccard_pairs(sets, 0.7).filter(F.col("similarity") > 0.7 + minhash.EPS)
+    return minhash.recall_report(
+        exact,
+        {
+            "mllib_lsh_1024": minhash.mllib_lsh_pairs(sets, 0.3, num_features=1024, verify=False),
+            "banded_minhash": minhash.minhash_pairs(sets, 0.3),
+        },
+    )
+
+
 _GRAPH_CTES = (
     ", np AS (SELECT id, " + norm("name") + " AS nn, " + norm("email") + " AS ne FROM people)"
     ", pn AS (" + _edit_sql("SELECT DISTINCT nn AS v FROM np") + ")"
