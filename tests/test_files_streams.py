@@ -60,6 +60,21 @@ def test_non_recursive_scan_and_glob(spark):
     assert scan_files(spark, root, glob="c.*").count() == 1
 
 
+def test_image_files_by_glob(spark):
+    root = tempfile.mkdtemp(prefix="twinsift-images-")
+    for name, data in (("a.jpg", b"\xff\xd8img"), ("b.png", b"\x89PNGimg"), ("c.jpg", b"\xff\xd8img"), ("d.txt", b"text")):
+        _write(f"{root}/{name}", data)
+    rep = run_file_job(spark, root, glob="*.{jpg,png}")["report"].first()
+    assert (rep.total_files, rep.unique_files, rep.duplicate_groups, rep.saved_bytes) == (3, 2, 1, 5)
+
+
+def test_join_path_keeps_schemes():
+    from twinsift.sources.tables import join_path
+
+    assert join_path("s3a://bucket/data/", "/x", "y.parquet") == "s3a://bucket/data/x/y.parquet"
+    assert join_path("/tmp/a", "b") == "/tmp/a/b"
+
+
 def test_space_savings_on_lab_fixture(spark):
     """Pairs of 484, 797 and 981 bytes: keeping one copy saves 2262 bytes."""
     rows = [(f"f{i}{c}", s, f"h{i}") for i, s in enumerate([484, 797, 981]) for c in "ab"]

@@ -10,9 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def join_path(base: str, *parts: str) -> str:
+    """Join path parts onto a folder or URI (``s3a://b/x``, ``hdfs://n/x``,
+    ``file:/x`` or a plain path) with single slashes; the file system behind
+    the scheme is Hadoop's business."""
+    out = base.rstrip("/")
+    for p in parts:
+        out = f"{out}/{p.strip('/')}"
+    return out
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the provided test tables, e.g. ``load(spark, dir, "lineitem")``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(join_path(sf_dir, f"{name}.parquet"))
 
 
 def read_table(
