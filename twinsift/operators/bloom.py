@@ -21,7 +21,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinsift.operators.incremental import unseen_rows
 from twinsift.plans.sizing import DEFAULT_MAX_BYTES, broadcast_if_bytes
 
 BITS_PER_ROW = 32768
@@ -113,9 +112,16 @@ def unseen_by_bloom(existing: DataFrame, new: DataFrame, key: str, spec: BloomSp
 
 
 def unseen_verified(existing: DataFrame, new: DataFrame, key: str, spec: BloomSpec) -> DataFrame:
-    """Bloom prefilter, then an exact check of the 'maybe' rows only: rows the
-    filter rules out skip the anti join. The result equals ``unseen_rows``."""
+    """Bloom prefilter, then an exact check of the 'maybe' rows only. The
+    result equals ``unseen_rows``.
+
+    The existing keys are never shuffled whole: they are first reduced to
+    those among the (few) 'maybe' keys by a semi join, which AQE turns into
+    a broadcast when the maybe-set's runtime size allows (a shuffle join
+    otherwise); the filter itself is a bounded table of bitmaps."""
     flagged = probe(new, key, build(existing, key, spec), spec, "__maybe")
     surely_new = flagged.filter(~F.col("__maybe")).drop("__maybe")
     maybe = flagged.filter(F.col("__maybe")).drop("__maybe")
-    return surely_new.unionByName(unseen_rows(existing, maybe, key))
+    maybe_keys = maybe.select(key).distinct()
+    seen = existing.select(key).join(maybe_keys, key, "left_semi").distinct()
+    return surely_new.unionByName(maybe.join(seen, key, "left_anti"))
