@@ -99,7 +99,10 @@ class BloomSeenTableSink(SeenTableSink):
             flagged = bloom.probe(fresh, self.key, filt, self.spec, "__maybe")
             surely_new = flagged.filter(~F.col("__maybe")).drop("__maybe")
             maybe = flagged.filter(F.col("__maybe")).drop("__maybe")
-            fresh = surely_new.unionByName(unseen_rows(spark.read.parquet(self.target), maybe, self.keys))
+            # only target keys among the batch's 'maybe' keys are compared
+            maybe_keys = maybe.select(self.key).distinct()
+            seen = spark.read.parquet(self.target).select(self.key).join(maybe_keys, self.key, "left_semi").distinct()
+            fresh = surely_new.unionByName(maybe.join(seen, self.key, "left_anti"))
         else:
             filt = None
         rows = self._stage(fresh, batch_id)
