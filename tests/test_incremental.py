@@ -21,6 +21,14 @@ def test_anti_join_keeps_unseen_and_null_keys(spark):
     assert out == ["5", "6", "7", "8"]  # NULLs never match; repeats inside new survive
 
 
+def test_reduced_existing_gives_the_same_rows(spark):
+    existing = _people(spark, [(str(i), f"e{i % 50}") for i in range(500)] + [("x", None)])
+    new = _people(spark, [("n1", "e3"), ("n2", "zz"), ("n3", None), ("n4", "zz")])
+    a = sorted(r.id for r in incremental.unseen_rows(existing, new, "email").collect())
+    b = sorted(r.id for r in incremental.unseen_rows(existing, new, "email", reduce_existing=True).collect())
+    assert a == b == ["n2", "n3", "n4"]
+
+
 def test_incremental_report(spark):
     existing = _people(spark, [("1", "a"), ("2", "b")])
     new = _people(spark, [("3", "a"), ("4", "c")])

@@ -24,11 +24,20 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def unseen_rows(existing: DataFrame, new: DataFrame, key: str | Sequence[str] = "email") -> DataFrame:
-    """New rows whose key does not occur in ``existing``."""
+def unseen_rows(
+    existing: DataFrame, new: DataFrame, key: str | Sequence[str] = "email", reduce_existing: bool = False
+) -> DataFrame:
+    """New rows whose key does not occur in ``existing``.
+
+    ``reduce_existing`` is for a small batch against a large table: the
+    existing keys are first cut to the batch's keys by a semi join (AQE
+    broadcasts the batch's keys when their runtime size allows), so the large
+    side is filtered where it is read instead of being shuffled whole."""
     keys = _keys(key)
-    seen = existing.select(*keys).distinct()
-    return new.join(seen, keys, "left_anti")
+    seen = existing.select(*keys)
+    if reduce_existing:
+        seen = seen.join(new.select(*keys).distinct(), keys, "left_semi")
+    return new.join(seen.distinct(), keys, "left_anti")
 
 
 def incremental_report(existing: DataFrame, new: DataFrame, key: str | Sequence[str] = "email") -> DataFrame:

@@ -30,7 +30,7 @@ def append_unseen(spark: SparkSession, new: DataFrame, target_path: str, key: st
         write_parquet(new, target_path)
         return spark.read.parquet(target_path).count()
     stage = scratch_path(spark, "append-stage")
-    write_parquet(unseen_rows(spark.read.parquet(target_path), new, key), stage)
+    write_parquet(unseen_rows(spark.read.parquet(target_path), new, key, reduce_existing=True), stage)
     staged = spark.read.parquet(stage)
     staged.write.mode("append").parquet(target_path)
     return staged.count()

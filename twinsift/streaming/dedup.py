@@ -66,7 +66,7 @@ class SeenTableSink:
         spark = batch.sparkSession
         fresh = keep_one(batch, self.keys, order_by=self.order_by)
         if path_exists(spark, self.target):
-            fresh = unseen_rows(spark.read.parquet(self.target), fresh, self.keys)
+            fresh = unseen_rows(spark.read.parquet(self.target), fresh, self.keys, reduce_existing=True)
         return fresh
 
     def _stage(self, rows: DataFrame, batch_id: int) -> DataFrame:
