@@ -77,16 +77,15 @@ def _bit_set(bits: str, pos: str) -> Column:
     return F.expr(f"({byte} & shiftleft(1, CAST({pos} % 8 AS INT))) != 0")
 
 
-def probe(
+def maybe_keys(
     df: DataFrame,
     key: str,
     bloom: DataFrame,
     spec: BloomSpec,
-    flag: str = "maybe_seen",
     max_broadcast_bytes: int = DEFAULT_MAX_BYTES,
 ) -> DataFrame:
-    """``df`` with a boolean ``flag``: True when the key may be in the filter
-    (false positives possible, false negatives never); NULL keys are False."""
+    """The distinct non-NULL keys of ``df`` the filter may contain (false
+    positives possible, false negatives never), as one column ``key``."""
     keys = df.select(F.col(key).alias("__k")).filter(F.col("__k").isNotNull()).distinct()
     pos = keys.select("__k", F.explode(_positions(F.col("__k"), spec)).alias("p")).select(
         "__k",
@@ -94,34 +93,44 @@ def probe(
         F.bitmap_bit_position("p").alias("bit"),
     )
     side = broadcast_if_bytes(bloom, spec.size_bytes, max_broadcast_bytes)
-    hits = (
+    return (
         pos.join(side, "bucket", "left")
         .groupBy("__k")
         .agg(F.min(F.coalesce(_bit_set("bits", "bit"), F.lit(False)).cast("int")).alias("__hit"))
         .filter(F.col("__hit") == 1)
-        .select(F.col("__k").alias(key), F.lit(True).alias(flag))
+        .select(F.col("__k").alias(key))
     )
+
+
+def probe(
+    df: DataFrame,
+    key: str,
+    bloom: DataFrame,
+    spec: BloomSpec,
+    flag: str = "maybe_seen",
+    max_broadcast_bytes: int = DEFAULT_MAX_BYTES,
+) -> DataFrame:
+    """``df`` with a boolean ``flag``: True when the key may be in the filter;
+    NULL keys are False."""
+    hits = maybe_keys(df, key, bloom, spec, max_broadcast_bytes).withColumn(flag, F.lit(True))
     return df.join(hits, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def unseen_by_bloom(existing: DataFrame, new: DataFrame, key: str, spec: BloomSpec) -> DataFrame:
     """New rows the filter says were never seen. A false positive DROPS a
     genuinely new row; use ``unseen_verified`` when every new row matters."""
-    flagged = probe(new, key, build(existing, key, spec), spec, "__maybe")
-    return flagged.filter(~F.col("__maybe")).drop("__maybe")
+    return new.join(maybe_keys(new, key, build(existing, key, spec), spec), key, "left_anti")
 
 
 def unseen_verified(existing: DataFrame, new: DataFrame, key: str, spec: BloomSpec) -> DataFrame:
-    """Bloom prefilter, then an exact check of the 'maybe' rows only. The
+    """Bloom prefilter, then an exact check of the 'maybe' keys only. The
     result equals ``unseen_rows``.
 
-    The existing keys are never shuffled whole: they are first reduced to
-    those among the (few) 'maybe' keys by a semi join, which AQE turns into
-    a broadcast when the maybe-set's runtime size allows (a shuffle join
-    otherwise); the filter itself is a bounded table of bitmaps."""
-    flagged = probe(new, key, build(existing, key, spec), spec, "__maybe")
-    surely_new = flagged.filter(~F.col("__maybe")).drop("__maybe")
-    maybe = flagged.filter(F.col("__maybe")).drop("__maybe")
-    maybe_keys = maybe.select(key).distinct()
-    seen = existing.select(key).join(maybe_keys, key, "left_semi").distinct()
-    return surely_new.unionByName(maybe.join(seen, key, "left_anti"))
+    A key the filter rules out is certainly not in ``existing``, so only the
+    'maybe' keys need the exact check: the existing keys are cut to them by a
+    semi join (AQE broadcasts the maybe-set when its runtime size allows),
+    and the new rows are anti-joined with what remains. The existing keys
+    are never shuffled whole; the filter is a bounded table of bitmaps."""
+    maybe = maybe_keys(new, key, build(existing, key, spec), spec)
+    seen = existing.select(key).join(maybe, key, "left_semi").distinct()
+    return new.join(seen, key, "left_anti")

@@ -96,13 +96,10 @@ class BloomSeenTableSink(SeenTableSink):
         fresh = keep_one(batch, self.keys, order_by=self.order_by)
         if path_exists(spark, self.filter_path):
             filt = spark.read.parquet(self.filter_path)
-            flagged = bloom.probe(fresh, self.key, filt, self.spec, "__maybe")
-            surely_new = flagged.filter(~F.col("__maybe")).drop("__maybe")
-            maybe = flagged.filter(F.col("__maybe")).drop("__maybe")
             # only target keys among the batch's 'maybe' keys are compared
-            maybe_keys = maybe.select(self.key).distinct()
-            seen = spark.read.parquet(self.target).select(self.key).join(maybe_keys, self.key, "left_semi").distinct()
-            fresh = surely_new.unionByName(maybe.join(seen, self.key, "left_anti"))
+            maybe = bloom.maybe_keys(fresh, self.key, filt, self.spec)
+            seen = spark.read.parquet(self.target).select(self.key).join(maybe, self.key, "left_semi").distinct()
+            fresh = fresh.join(seen, self.key, "left_anti")
         else:
             filt = None
         rows = self._stage(fresh, batch_id)
