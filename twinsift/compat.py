@@ -22,7 +22,7 @@ from twinsift.operators import bloom, exact, fuzzy, incremental, minhash, report
 from twinsift.operators import files as file_ops
 from twinsift.operators.survivors import keep_one
 from twinsift.plans.jobs import FILE_OUTPUT, run_job
-from twinsift.session import path_exists
+from twinsift.session import cut_lineage, path_exists
 from twinsift.sources.files import as_files
 from twinsift.sources.sinks import write_parquet
 from twinsift.sources.tables import read_table
@@ -153,7 +153,7 @@ def _hashed_files(spark: SparkSession, file_paths: Sequence[str], hash_type: str
     if not present:
         return None
     binary = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(present)
-    return file_ops.hash_files(as_files(binary), hash_type)
+    return cut_lineage(file_ops.hash_files(as_files(binary), hash_type))
 
 
 def compute_file_hash(file_path: str, hash_type: str = "md5") -> str | None:

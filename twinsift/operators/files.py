@@ -34,10 +34,9 @@ def hash_files(files: DataFrame, hash_type: str = "md5") -> DataFrame:
 
 def unique_files(hashed: DataFrame) -> DataFrame:
     """One file per content, the first path in path order; files with a NULL
-    hash are each kept."""
-    known = hashed.filter(F.col("file_hash").isNotNull())
-    unknown = hashed.filter(F.col("file_hash").isNull())
-    return keep_one(known, ["file_hash"], order_by=["file_path"]).unionByName(unknown)
+    hash (unreadable) are each kept. One pass over ``hashed``."""
+    content_key = F.coalesce(F.col("file_hash"), F.concat(F.lit("\u0000"), F.col("file_path")))
+    return keep_one(hashed, [content_key], order_by=["file_path"])
 
 
 def file_groups(hashed: DataFrame) -> DataFrame:
@@ -48,24 +47,20 @@ def file_groups(hashed: DataFrame) -> DataFrame:
 
 def file_report(hashed: DataFrame) -> DataFrame:
     """One row: total_files, unique_files, duplicate_groups, duplicate_files,
-    total_bytes, saved_bytes (bytes freed by keeping one file per content)."""
-    per = (
-        hashed.filter(F.col("file_hash").isNotNull())
-        .groupBy("file_hash")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("file_size").alias("b"), F.sum("file_size").alias("t"))
+    total_bytes, saved_bytes (bytes freed by keeping one file per content).
+    Unreadable files (NULL hash) count as unique files without bytes. One
+    pass: a per-content aggregate, then a one-row aggregate."""
+    per = hashed.groupBy("file_hash").agg(
+        F.count(F.lit(1)).alias("n"), F.min("file_size").alias("b"), F.sum("file_size").alias("t")
     )
-    unreadable = hashed.filter(F.col("file_hash").isNull()).select(
-        F.lit(None).cast("string").alias("file_hash"), F.lit(1).cast("bigint").alias("n"),
-        F.lit(0).cast("bigint").alias("b"), F.lit(0).cast("bigint").alias("t"), F.lit(True).alias("__u"),
-    )
-    both = per.withColumn("__u", F.lit(False)).unionByName(unreadable)
-    return both.agg(
+    known = F.col("file_hash").isNotNull()
+    return per.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_files"),
-        F.count(F.lit(1)).alias("unique_files"),
-        F.count_if(F.col("n") > 1).cast("bigint").alias("duplicate_groups"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_files"),
-        F.coalesce(F.sum("t"), F.lit(0)).cast("bigint").alias("total_bytes"),
-        F.coalesce(F.sum((F.col("n") - 1) * F.col("b")), F.lit(0)).cast("bigint").alias("saved_bytes"),
+        (F.count_if(known) + F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0))).cast("bigint").alias("unique_files"),
+        F.count_if(known & (F.col("n") > 1)).cast("bigint").alias("duplicate_groups"),
+        F.coalesce(F.sum(F.when(known, F.col("n") - 1)), F.lit(0)).cast("bigint").alias("duplicate_files"),
+        F.coalesce(F.sum(F.when(known, F.col("t"))), F.lit(0)).cast("bigint").alias("total_bytes"),
+        F.coalesce(F.sum(F.when(known, (F.col("n") - 1) * F.col("b"))), F.lit(0)).cast("bigint").alias("saved_bytes"),
     )
 
 

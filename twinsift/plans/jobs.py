@@ -18,6 +18,7 @@ from twinsift.operators import files as file_ops
 from twinsift.operators.reports import dedup_report
 from twinsift.plans.methods import DEFAULT_KEYS, dedup
 from twinsift.plans.sizing import tune_shuffle
+from twinsift.session import cut_lineage
 from twinsift.sources.files import scan_files
 from twinsift.sources.sinks import write_parquet
 from twinsift.sources.tables import read_sources, read_table
@@ -109,7 +110,8 @@ def run_file_job(
 ) -> dict[str, DataFrame]:
     """List, hash and group files on the executors; with ``output_dir`` the
     unique files are written to ``file_deduplication_results.parquet``."""
-    hashed = file_ops.hash_files(scan_files(spark, path, glob=glob, recursive=recursive), hash_type)
+    # the small hashed table (no content) is written once: file bytes are read once
+    hashed = cut_lineage(file_ops.hash_files(scan_files(spark, path, glob=glob, recursive=recursive), hash_type))
     unique = file_ops.unique_files(hashed)
     if output_dir:
         out = f"{output_dir.rstrip('/')}/{FILE_OUTPUT}"
