@@ -45,8 +45,8 @@ def main(argv: list[str]) -> None:
     print("exchanges not counted). At run time AQE may turn a sort-merge join into a broadcast join from")
     print("measured sizes, coalesce partitions and split skewed ones. Streaming queries are")
     print("planned per micro-batch and are not listed. `oracle`: sql = DuckDB oracle, rows = rows-only.")
-    print("`sort agg` appears where a group keeps a string minimum or maximum (first/last member):")
-    print("Spark's hash aggregate cannot hold string buffers. It still aggregates partially before the")
+    print("`sort agg` appears where a group keeps a string minimum or maximum (first/last member) or builds")
+    print("a Bloom bitmap: Spark's hash aggregate cannot hold such buffers. It still aggregates partially before the")
     print("shuffle. `group limit` counts the partial and final WindowGroupLimit of keep-one plans.\n")
     print("| query | oracle | " + " | ".join(name for name, _ in OPERATORS) + " |")
     print("| --- | --- | " + " | ".join("---" for _ in OPERATORS) + " |")
