@@ -118,6 +118,13 @@ def test_entity_clusters_on_sample(sample):
     assert got == {"ID1": "ID1", "ID2": "ID1", "ID4": "ID1", "ID5": "ID1", "ID3": "ID3", "ID6": "ID6"}
 
 
+def test_single_column_clusters(sample):
+    got = {r.id: r.cluster_id for r in clusters.entity_clusters(sample, ["email"]).collect()}
+    assert got == {"ID1": "ID1", "ID2": "ID1", "ID4": "ID1", "ID5": "ID1", "ID3": "ID3", "ID6": "ID6"}
+    alone = {r.id: r.cluster_id for r in clusters.entity_clusters(sample, ["address"], threshold=0).collect()}
+    assert alone["ID3"] == "ID3" and alone["ID6"] == "ID6" and alone["ID2"] == "ID1"
+
+
 def test_resolve_by_ratio_and_token_sets(sample):
     # john@example.com ~ jane@example.com: ratio 88 >= 85, so ID3 joins ID1's cluster
     assert ids(clusters.resolve_entities(sample, "fuzzy_fuzzywuzzy", threshold=85)) == ["ID1", "ID6"]
