@@ -197,6 +197,21 @@ def test_stream_dedup_equals_batch_and_restart_adds_nothing(spark):
     assert spark.read.parquet(out).count() == ev.count()
 
 
+def test_watermark_dedup_drops_late_rows(spark):
+    import datetime as dt
+
+    folder = tempfile.mkdtemp(prefix="twinsift-late-")
+    schema = "k string, ts timestamp"
+    spark.createDataFrame([("a", dt.datetime(2024, 1, 10)), ("b", dt.datetime(2024, 1, 10))], schema).write.mode("append").parquet(f"{folder}/in")
+    stream = read_parquet_stream(spark, f"{folder}/in", spark.createDataFrame([], schema).schema)
+    run_available(within_watermark(stream, ["k"], "ts", "1 day"), f"{folder}/ck", path=f"{folder}/out")
+    # a repeat of 'a' in time, and 'c' five days older than the watermark: both dropped
+    spark.createDataFrame([("a", dt.datetime(2024, 1, 10, 1)), ("c", dt.datetime(2024, 1, 4))], schema).write.mode("append").parquet(f"{folder}/in")
+    stream = read_parquet_stream(spark, f"{folder}/in", spark.createDataFrame([], schema).schema)
+    run_available(within_watermark(stream, ["k"], "ts", "1 day"), f"{folder}/ck", path=f"{folder}/out")
+    assert sorted(r.k for r in spark.read.parquet(f"{folder}/out").collect()) == ["a", "b"]
+
+
 def test_seen_table_sinks_equal_batch(spark):
     from tests.conftest import SF0001
 
