@@ -235,3 +235,19 @@ def test_file_arrival_stream(spark):
     target = f"{folder}/target"
     run_available(file_arrivals(spark, root, glob="*.txt"), f"{folder}/ck", sink=SeenTableSink(target, ["file_hash"], ["file_path"]))
     assert spark.read.parquet(target).count() == 2  # same, other (sub/ not listed, empty file skipped)
+
+
+def test_command_line_files_report():
+    import json
+    import subprocess
+    import sys
+
+    root = _file_tree()
+    out = subprocess.run(
+        [sys.executable, "-m", "twinsift", "--master", "local[2]", "files", root, "--glob", "*.txt"],
+        cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+        capture_output=True, text=True, timeout=600,
+    )
+    assert out.returncode == 0, out.stderr[-2000:]
+    report = json.loads(out.stdout.strip().splitlines()[-1])
+    assert report["total_files"] == 4 and report["duplicate_groups"] == 2
