@@ -72,6 +72,14 @@ def test_blocked_edit_pairs_equal_brute_force(spark, t):
     assert got == want
 
 
+def test_blocked_edit_pairs_unicode_equal_brute_force(spark):
+    vals = random_values(99, n=200, alphabet="aé日😀")
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    got = {(r.value_a, r.value_b, r.distance) for r in fuzzy.edit_pairs(df, 2).collect()}
+    want = {(a, b, lev(a, b)) for i, a in enumerate(vals) for b in vals[i + 1 :] if lev(a, b) <= 2}
+    assert got == want
+
+
 @pytest.mark.parametrize("thr", [70, 85])
 def test_blocked_ratio_pairs_equal_brute_force(spark, thr):
     vals = random_values(10 + thr)
