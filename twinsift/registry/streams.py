@@ -71,8 +71,8 @@ def q_stream_file_arrivals(spark, sf_dir):
     files on the executors and keeps one file per content."""
     base = scratch_path(spark, "file-arrivals")
     docs = load(spark, sf_dir, "documents").filter(F.col("text").isNotNull()).select("doc_id", "text")
-    docs.repartition("doc_id").write.partitionBy("doc_id").text(f"{base}/landing")
+    docs.select("text").write.option("maxRecordsPerFile", 1).text(f"{base}/landing")
     target = f"{base}/target"
-    stream = file_arrivals(spark, f"{base}/landing", recursive=True)
+    stream = file_arrivals(spark, f"{base}/landing")
     run_available(stream, f"{base}/checkpoint", sink=SeenTableSink(target, ["file_hash"], ["file_path"]))
     return spark.read.parquet(target).select("file_hash", "file_size")
