@@ -4,9 +4,11 @@ Pairs are found among DISTINCT values (a value repeated a million times is
 one candidate), with exact blocking by the pigeonhole principle (Pass-Join,
 Li et al., VLDB 2011): cut the value ``s`` into ``tau + 1`` segments; if
 ``r`` is within ``tau`` edits of ``s``, one segment of ``s`` appears
-untouched in ``r``, shifted by at most ``tau`` positions. Each value emits
-its segments (index side) and the substrings where a partner's segment could
-sit (probe side); an equi-join on ``(len_s, len_r, segment no, text)`` gives
+untouched in ``r``; by the position-aware selection of Pass-Join, some
+untouched segment ``i`` is shifted by at most ``i`` and lies within
+``tau - i`` of its place counted from the end. Each value emits its segments
+(index side) and the substrings where a partner's segment could sit (probe
+side); an equi-join on ``(len_s, len_r, segment no, text)`` gives
 candidates, which are then verified exactly. No pair within the threshold
 is lost, and no pair outside it is returned.
 
@@ -55,8 +57,12 @@ def _index_sql(tau: TauFn, lo: Callable[[str], str], hi: Callable[[str], str]) -
 def _probe_sql(tau: TauFn, lo: Callable[[str], str], hi: Callable[[str], str]) -> str:
     t = tau("x", "L")
     start, seg_len = _segment_sql("x", t, "i")
-    p_lo = f"greatest(0, {start} - {t})"
-    p_hi = f"least(L - {seg_len}, {start} + {t})"
+    # position-aware selection (Pass-Join): segment i may shift by at most i
+    # (edits before it) and, seen from the end, by at most tau - i around
+    # the length difference (edits after it)
+    delta = "(L - x)"
+    p_lo = f"greatest(0, {start} - i, {start} + {delta} - ({t} - i))"
+    p_hi = f"least(L - {seg_len}, {start} + i, {start} + {delta} + ({t} - i))"
     positions = f"CASE WHEN {p_lo} <= {p_hi} THEN sequence({p_lo}, {p_hi}) ELSE CAST(array() AS array<int>) END"
     return (
         f"flatten(flatten(transform({_partners('L', lo('L'), hi('L'), tau)}, x -> "
