@@ -54,6 +54,19 @@ def test_file_job_groups_and_savings(spark):
     assert "über.txt" in names
 
 
+def test_chunked_hashing_equals_whole_content_hashing(spark):
+    root = _file_tree()
+    _write(f"{root}/big.bin", os.urandom(3 * 1024 * 1024 + 17))
+    for kind in ("md5", "sha256"):
+        whole = {(r.file_path, r.file_hash) for r in file_ops.hash_files(scan_files(spark, root, recursive=True), kind).collect()}
+        chunked = {(r.file_path, r.file_hash) for r in file_ops.hash_files_chunked(spark, root, kind, recursive=True, chunk_bytes=1 << 20).collect()}
+        assert whole == chunked and len(whole) == 5
+    plan = file_ops.hash_files_chunked(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0]  # no bytes read by the listing
+    rep = run_file_job(spark, root, chunked=True)["report"].first()
+    assert rep.total_files == 5 and rep.duplicate_groups == 2
+
+
 def test_non_recursive_scan_and_glob(spark):
     root = _file_tree()
     assert scan_files(spark, root).count() == 3  # sub/ not entered, empty file skipped

@@ -107,11 +107,17 @@ def run_file_job(
     hash_type: str = "md5",
     glob: str | None = None,
     recursive: bool = True,
+    chunked: bool = False,
 ) -> dict[str, DataFrame]:
     """List, hash and group files on the executors; with ``output_dir`` the
-    unique files are written to ``file_deduplication_results.parquet``."""
+    unique files are written to ``file_deduplication_results.parquet``.
+    ``chunked`` hashes files of any size in chunks (no 2 GiB cell limit)."""
+    if chunked:
+        hashed = file_ops.hash_files_chunked(spark, path, hash_type, glob=glob, recursive=recursive)
+    else:
+        hashed = file_ops.hash_files(scan_files(spark, path, glob=glob, recursive=recursive), hash_type)
     # the small hashed table (no content) is written once: file bytes are read once
-    hashed = cut_lineage(file_ops.hash_files(scan_files(spark, path, glob=glob, recursive=recursive), hash_type))
+    hashed = cut_lineage(hashed)
     unique = file_ops.unique_files(hashed)
     if output_dir:
         out = f"{output_dir.rstrip('/')}/{FILE_OUTPUT}"
