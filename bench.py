@@ -38,6 +38,7 @@ HEADLINE = [
     "one_per_hash",
     "levenshtein_names",
     "levenshtein_pairs",
+    "ratio_pairs",
     "fuzzy_dedup",
     "jaccard_documents",
     "lsh_pairs",
