@@ -138,6 +138,18 @@ def test_csv_with_and_without_schema_and_run_job(spark, sample):
     assert (r.original_count, r.deduplicated_count) == (6, 5)
 
 
+def test_run_job_with_shuffle_tuning(spark, sample):
+    folder = tempfile.mkdtemp(prefix="twinsift-tune-")
+    sample.toPandas().to_csv(f"{folder}/people.csv", index=False)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        _, report = run_job(spark, f"{folder}/people.csv", folder, "normalized", schema=PEOPLE_SCHEMA, tune=True)
+        assert report.first().deduplicated_count == 3
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_sources_job_reports_per_file_and_skips_outputs(spark, sample):
     folder = tempfile.mkdtemp(prefix="twinsift-src-")
     for name in ("one", "two", "deduplicated_one"):
