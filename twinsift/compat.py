@@ -57,8 +57,9 @@ def fuzzy_deduplication_fuzzywuzzy(df: DataFrame, threshold: int = 85) -> DataFr
 
 def lsh_deduplication(df: DataFrame, threshold: float = 0.3) -> DataFrame:
     """Token sets of ``name`` closer than ``threshold`` (Jaccard distance) by
-    MinHash LSH with 1024 hashed features and 5 tables."""
-    sets = minhash.token_sets(df.filter(F.col("name").isNotNull()), "name")
+    MinHash LSH with 1024 hashed features and 5 tables, tokenised as MLlib's
+    ``Tokenizer`` does (single-blank splits; empty tokens count)."""
+    sets = minhash.token_sets(df.filter(F.col("name").isNotNull()), "name", pattern=r"\s", keep_empty=True)
     return minhash.mllib_lsh_pairs(sets, threshold, num_features=1024, verify=False)
 
 
