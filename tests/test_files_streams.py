@@ -262,6 +262,26 @@ def test_file_arrival_stream(spark):
     assert spark.read.parquet(target).count() == 2  # same, other (sub/ not listed, empty file skipped)
 
 
+def test_command_line_records_with_keys():
+    import json
+    import subprocess
+    import sys
+
+    folder = tempfile.mkdtemp(prefix="twinsift-cli-")
+    with open(f"{folder}/items.csv", "w") as f:
+        f.write("sku,title,price\n1,a,2\n2,a,2\n3,b,5\n")
+    out = subprocess.run(
+        [sys.executable, "-m", "twinsift", "--master", "local[2]", "records", f"{folder}/items.csv",
+         "--output", f"{folder}/out", "--method", "window", "--keys", "title,price", "--order-by", "sku",
+         "--schema", "sku int, title string, price int"],
+        cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+        capture_output=True, text=True, timeout=600,
+    )
+    assert out.returncode == 0, out.stderr[-2000:]
+    report = json.loads(out.stdout.strip().splitlines()[-1])
+    assert (report["original_count"], report["deduplicated_count"]) == (3, 2)
+
+
 def test_command_line_files_report():
     import json
     import subprocess

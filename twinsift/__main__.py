@@ -43,6 +43,9 @@ def main(argv: list[str] | None = None) -> int:
     rec.add_argument("--method", default="exact", choices=METHODS)
     rec.add_argument("--schema", help="DDL schema for CSV input (inferred when absent)")
     rec.add_argument("--tune", action="store_true", help="size shuffle partitions from the input bytes")
+    rec.add_argument("--keys", default="name,email", help="key columns (comma-separated)")
+    rec.add_argument("--hash-columns", default="name,email,address", help="columns of the hash methods")
+    rec.add_argument("--order-by", default="id", help="survivor order for the window method")
 
     src = sub.add_parser("sources", help="per-file duplicate report over many CSV files, in one job")
     src.add_argument("paths", nargs="+")
@@ -58,7 +61,11 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     spark = _session(args.master)
     if args.command == "records":
-        path, report = run_job(spark, args.input, args.output, args.method, schema=args.schema, tune=args.tune)
+        keys = args.keys.split(",")
+        path, report = run_job(
+            spark, args.input, args.output, args.method, schema=args.schema, validate_keys=keys, tune=args.tune,
+            keys=keys, hash_columns=args.hash_columns.split(","), order_by=args.order_by.split(","),
+        )
         print(json.dumps({"output": path}))
         _print(report)
     elif args.command == "sources":
