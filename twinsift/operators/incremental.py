@@ -41,19 +41,25 @@ def unseen_rows(
 
 
 def incremental_report(existing: DataFrame, new: DataFrame, key: str | Sequence[str] = "email") -> DataFrame:
-    """One row: existing_rows, new_rows, unseen_rows, already_seen_rows."""
-    kept = unseen_rows(existing, new, key)
-    parts = (
-        existing.select(F.lit(1).alias("e"), F.lit(0).alias("n"), F.lit(0).alias("u"))
-        .unionByName(new.select(F.lit(0).alias("e"), F.lit(1).alias("n"), F.lit(0).alias("u")))
-        .unionByName(kept.select(F.lit(0).alias("e"), F.lit(0).alias("n"), F.lit(1).alias("u")))
+    """One row: existing_rows, new_rows, unseen_rows, already_seen_rows.
+
+    Each input is read once: one aggregate over the existing keys gives both
+    the distinct keys and the existing row count; one left join marks the new
+    rows whose key was seen (a NULL key never is)."""
+    from twinsift.operators.reports import _combine
+
+    keys = _keys(key)
+    per_key = existing.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
+    ex = per_key.agg(F.coalesce(F.sum("__c"), F.lit(0)).cast("bigint").alias("existing_rows"))
+    marked = new.select(*keys).join(per_key.select(*keys, F.lit(1).alias("__seen")), keys, "left")
+    nw = marked.agg(
+        F.count(F.lit(1)).alias("new_rows"),
+        F.count_if(F.col("__seen").isNull()).cast("bigint").alias("unseen_rows"),
     )
-    agg = parts.agg(
-        F.coalesce(F.sum("e"), F.lit(0)).cast("bigint").alias("existing_rows"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("new_rows"),
-        F.coalesce(F.sum("u"), F.lit(0)).cast("bigint").alias("unseen_rows"),
+    both = _combine(ex, nw)
+    return both.select(
+        "existing_rows", "new_rows", "unseen_rows", (F.col("new_rows") - F.col("unseen_rows")).alias("already_seen_rows")
     )
-    return agg.withColumn("already_seen_rows", F.col("new_rows") - F.col("unseen_rows"))
 
 
 def without_known(df: DataFrame, known: DataFrame, key: str = "id", max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
