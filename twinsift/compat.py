@@ -200,15 +200,19 @@ def hyperloglog_file_count(spark: SparkSession, file_paths: Sequence[str], hash_
     hashed = _hashed_files(spark, file_paths, hash_type)
     if hashed is None:
         return {"total_files": 0, "approx_unique": 0, "exact_unique": 0, "duplicates": 0, "error": 0, "error_percent": 0.0}
-    est = sketches.distinct_estimate(hashed, "file_hash").first()
-    total = hashed.count()
+    r = hashed.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.approx_count_distinct("file_hash", sketches.DEFAULT_RSD).alias("approx"),
+        F.count_distinct("file_hash").alias("exact"),
+    ).first()
+    error = abs(r.approx - r.exact)
     return {
-        "total_files": total,
-        "approx_unique": est.approx_count,
-        "exact_unique": est.exact_non_null,
-        "duplicates": total - est.exact_non_null,
-        "error": est.error,
-        "error_percent": est.error_pct,
+        "total_files": r.total,
+        "approx_unique": r.approx,
+        "exact_unique": r.exact,
+        "duplicates": r.total - r.exact,
+        "error": error,
+        "error_percent": round(error * 100.0 / r.exact, 4) if r.exact else 0.0,
     }
 
 
