@@ -156,8 +156,8 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     sized = docs.withColumn("__size", size_of(text)).withColumn("__crc", F.crc32(t.cast("binary"))).withColumn("__sha", F.sha2(t, 256))
     own = [c for c in metadata if c in docs.columns]
     number = {"tinyint", "smallint", "int", "bigint"}
-    dims = {f"d{i}": F.coalesce(F.col(c).cast("long"), F.lit(-1)) if docs.schema[c].dataType.simpleString() in number else _code(F.col(c)) for i, c in enumerate(own)}
-    dims |= {"d_id": F.coalesce(F.col(id_col).cast("long"), F.lit(-1)) if docs.schema[id_col].dataType.simpleString() in number else _code(F.col(id_col)), "d_size": F.col("__size")}
+    dims = {f"__d{i}": F.coalesce(F.col(c).cast("long"), F.lit(-1)) if docs.schema[c].dataType.simpleString() in number else _code(F.col(c)) for i, c in enumerate(own)}
+    dims |= {"__d_id": F.coalesce(F.col(id_col).cast("long"), F.lit(-1)) if docs.schema[id_col].dataType.simpleString() in number else _code(F.col(id_col)), "__d_size": F.col("__size")}
     rest = [c for c in keep if c != text]
     rows = stage(sized.select(*rest, "__size", "__crc", "__sha", *[c.alias(n) for n, c in dims.items()]), "sized")
     groups = rows.groupBy("__sha").agg(F.sum("__size").alias("w"), *[F.min(n).alias(n) for n in dims])

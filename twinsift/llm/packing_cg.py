@@ -280,5 +280,5 @@ def pack(docs: DataFrame, path: str, vocabulary: int, end: int = 2, size: int =
             out.append(np.frombuffer(x.as_buffer(), f"<u{width}", k, s * width).astype("<u4").tobytes())
         return pa.array(out, pa.binary())
 
-    whole = table.withColumnRenamed("length", "__n").join(places, ["part", "row"])
+    whole = table.withColumnRenamed("length", "__n").join(places.hint("merge"), ["part", "row"])
     return whole.select("doc_id", "doc_tokens", (F.col("start") + F.col("skip")).alias("start"), "length", F.arrow_udf(take, "binary")("ids", "skip", "length").alias("ids"), "sequence_id", "offset")

@@ -114,7 +114,7 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column, text: str = "text",
     ids = docs.where(fold).select("doc_id").distinct().join(marks, "doc_id").select("doc_id", "y", F.xxhash64(F.lit("fm"), "doc_id").alias("h")).orderBy("h", "doc_id").limit(most)
     chosen = F.broadcast(ids.select("doc_id", "y"))  # at most ``most`` rows of 12 bytes
     feats = F.arrow_udf(_features, "binary")
-    rows = docs.join(chosen, "doc_id").select("doc_id", "y", feats(F.col(text).cast("string"), F.col(meta).cast("double")).alias("x")).orderBy(F.xxhash64(F.lit("fm"), "doc_id")).limit(2 * most).collect()
+    rows = docs.select("doc_id", text, meta).join(chosen, "doc_id").select("doc_id", "y", feats(F.col(text).cast("string"), F.col(meta).cast("double")).alias("x")).orderBy(F.xxhash64(F.lit("fm"), "doc_id")).limit(2 * most).collect()
     zero = Model(0.0, np.zeros(WORDS + STATS, np.float32), np.zeros((WORDS + STATS, rank), np.float32), np.zeros(STATS, np.float32), np.ones(STATS, np.float32))
     y = np.array([r["y"] for r in rows], np.float32)
     if not len(y) or y.min() == y.max():

@@ -422,7 +422,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 20, text: str
                     out.append((r["key"], r["class"], r["ord"], r["last"], r["n"], raw[a : a + r["n"] + window - 1].tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 6, [pa.int64()] * 5 + [pa.binary()], strict=True)], ["key", "class", "ord", "last", "n", "piece"])
 
-    pieces = base.join(ask, F.col(rid) == F.col("__doc")).select("q", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).mapInArrow(extract, "key long, class long, ord long, last long, n long, piece binary")
+    pieces = base.join(ask.hint("merge"), F.col(rid) == F.col("__doc")).select("q", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).mapInArrow(extract, "key long, class long, ord long, last long, n long, piece binary")
     answers = stage(pieces.repartition("key").sortWithinPartitions("key").mapInArrow(_compare(window, gram), "key long, class long, lo long, hi long, ord long"), "windows")
 
     def unpack(packed: pa.Array, n: pa.Array) -> pa.Array:
@@ -459,7 +459,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 20, text: str
         cols = list(zip(*out, strict=True)) or [[]] * 4
         return pa.StructArray.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], ["kept", "n_bytes", "n_removed", "spans"])
 
-    joined = base.join(marks, F.col(rid) == F.col("__doc"), "left")
+    joined = base.join(marks.hint("merge"), F.col(rid) == F.col("__doc"), "left")
     done = joined.withColumn("__c", F.arrow_udf(cut, "struct<kept:binary,n_bytes:long,n_removed:long,spans:array<struct<from:long,to:long>>>")(F.coalesce(F.col(text).cast("string"), F.lit("")), F.col("__s")))
     keep = [c for c in base.columns if c != rid]
     return done.select(*keep, "__c.kept", "__c.n_bytes", "__c.n_removed", F.size("__c.spans").cast("long").alias("n_spans"), "__c.spans")
