@@ -46,7 +46,7 @@ def test_all_duplicates_collapse_to_one(spark):
     df = spark.createDataFrame([("1", "A", "a@x", "s")] * 50, PEOPLE)
     assert exact.exact_dedup(df).count() == 1
     assert survivors.repeats(df, ["id", "name", "email", "address"]).count() == 49
-    assert exact.partitioned_dedup(df, ["email"], 8, salt_buckets=4).count() == 1
+    assert exact.partitioned_dedup(df, ["email"], 8).count() == 1
     r = reports.dedup_report(df, exact.exact_dedup(df, ["email"]), ["email"]).first()
     assert (r.duplicates_removed, r.dedup_rate) == (49, 98.0)
 

@@ -38,6 +38,7 @@ def _file_tree() -> str:
     _write(f"{root}/sub/b.txt", b"same content\n")
     _write(f"{root}/c.txt", b"other content\n")
     _write(f"{root}/empty.txt", b"")
+    _write(f"{root}/sub/void file.txt", b"")
     _write(f"{root}/über.txt", b"other content\n")
     return root
 
@@ -46,12 +47,12 @@ def test_file_job_groups_and_savings(spark):
     root = _file_tree()
     out = run_file_job(spark, root, output_dir=tempfile.mkdtemp(prefix="twinsift-out-"))
     rep = out["report"].first()
-    # Spark's file scan skips zero-length files: empty.txt is not a row
-    assert rep.total_files == 4 and rep.unique_files == 2 and rep.duplicate_groups == 2
+    # two with equal bytes, two with others, two without any
+    assert rep.total_files == 6 and rep.unique_files == 3 and rep.duplicate_groups == 3
     assert rep.saved_bytes == len(b"same content\n") + len(b"other content\n")
-    assert out["unique"].count() == 2
+    assert out["unique"].count() == 3 and out["unreadable"].count() == 0
     names = {r.file_name for r in out["hashed"].collect()}
-    assert "über.txt" in names
+    assert {"über.txt", "void file.txt"} <= names
 
 
 def test_chunked_hashing_equals_whole_content_hashing(spark):
@@ -60,17 +61,46 @@ def test_chunked_hashing_equals_whole_content_hashing(spark):
     for kind in ("md5", "sha256"):
         whole = {(r.file_path, r.file_hash) for r in file_ops.hash_files(scan_files(spark, root, recursive=True), kind).collect()}
         chunked = {(r.file_path, r.file_hash) for r in file_ops.hash_files_chunked(spark, root, kind, recursive=True, chunk_bytes=1 << 20).collect()}
-        assert whole == chunked and len(whole) == 5
+        assert whole == chunked and len(whole) == 7
     plan = file_ops.hash_files_chunked(spark, root)._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0]  # no bytes read by the listing
-    rep = run_file_job(spark, root, chunked=True)["report"].first()
-    assert rep.total_files == 5 and rep.duplicate_groups == 2
+    rep = run_file_job(spark, root)["report"].first()
+    assert rep.total_files == 7 and rep.duplicate_groups == 3
 
 
 def test_non_recursive_scan_and_glob(spark):
     root = _file_tree()
-    assert scan_files(spark, root).count() == 3  # sub/ not entered, empty file skipped
+    assert scan_files(spark, root).count() == 4  # sub/ not entered
     assert scan_files(spark, root, glob="c.*").count() == 1
+    assert [r.file_size for r in scan_files(spark, root, glob="e*").collect()] == [0]
+
+
+def test_equal_and_empty_files_in_every_file_function(spark):
+    from twinsift import compat
+
+    root = tempfile.mkdtemp(prefix="twinsift-empty-")
+    for name, data in (("a", b"x"), ("b", b"x"), ("c", b"y"), ("d", b""), ("e", b"")):
+        _write(f"{root}/{name}", data)
+    paths = [f"{root}/{n}" for n in "abcde"]
+    rep = run_file_job(spark, root)["report"].first()
+    assert (rep.total_files, rep.unique_files, rep.duplicate_groups) == (5, 3, 2)
+    unique, groups = compat.file_level_deduplication(spark, [*paths, f"{root}/missing"])
+    assert (unique.count(), groups.count()) == (3, 2)
+    unique, groups = compat.exact_file_deduplication(spark, paths, "sha256")
+    assert (unique.count(), groups.count()) == (3, 2)
+    hll = compat.hyperloglog_file_count(spark, paths)
+    assert (hll["total_files"], hll["exact_unique"], hll["duplicates"]) == (5, 3, 2)
+    assert compat.bloom_filter_file_deduplication(spark, paths[:2], paths[2:]).count() == 3
+    assert compat.file_level_deduplication(spark, [f"{root}/missing"]) == (None, None)
+    assert compat.compute_file_hash(paths[3]) == "d41d8cd98f00b204e9800998ecf8427e"
+
+
+def test_unreadable_files_are_reported_with_a_reason():
+    from twinsift.functions.digest import file_digest
+
+    assert file_digest("/no/such/file") [0] is None
+    digest, why = file_digest("nofs://bucket/x")
+    assert digest is None and why
 
 
 def test_image_files_by_glob(spark):
@@ -170,7 +200,7 @@ def test_sources_job_counts_malformed_rows(spark):
 def test_append_unseen_and_rewrite(spark, sample):
     target = scratch_path(spark, "append-target")
     assert sinks.append_unseen(spark, sample, target, "email") == 6
-    more = spark.createDataFrame([("ID7", "New", "new@example.com", "x"), ("ID8", "Dup", "bob@example.com", "y")], PEOPLE_SCHEMA)
+    more = spark.createDataFrame([("ID7", "New", "new@example.com", "x"), ("ID8", "Dup", "pelle@lindenpost.org", "y")], PEOPLE_SCHEMA)
     assert sinks.append_unseen(spark, more, target, "email") == 1
     assert spark.read.parquet(target).count() == 7
     from twinsift.operators.exact import exact_dedup
@@ -186,7 +216,7 @@ def test_bucketed_table_dedup_has_no_exchange(spark, sample):
     try:
         sinks.write_bucketed(sample, "people_bucketed", ["name", "email"], buckets=4)
         t = spark.table("people_bucketed")
-        plan = partitioned_dedup(t, ["name", "email"], 4, salt_buckets=0)._jdf.queryExecution().executedPlan().toString()
+        plan = partitioned_dedup(t, ["name", "email"], 4)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange") <= 1
         from twinsift.operators.survivors import keep_one
 
@@ -295,4 +325,4 @@ def test_command_line_files_report():
     )
     assert out.returncode == 0, out.stderr[-2000:]
     report = json.loads(out.stdout.strip().splitlines()[-1])
-    assert report["total_files"] == 4 and report["duplicate_groups"] == 2
+    assert report["total_files"] == 6 and report["duplicate_groups"] == 3

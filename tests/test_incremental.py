@@ -40,12 +40,20 @@ def test_without_known_ids(spark):
     df = spark.createDataFrame([(i,) for i in range(10)], "id int")
     known = spark.createDataFrame([(1,), (3,), (3,)], "id int")
     assert sorted(r.id for r in incremental.without_known(df, known).collect()) == [0, 2, 4, 5, 6, 7, 8, 9]
-    # above the row bound the list is not broadcast, the answer is the same
-    assert incremental.without_known(df, known, max_broadcast_rows=1).count() == 8
 
 
-def test_has_at_most(spark):
-    assert sizing.has_at_most(spark.range(5), 5) and not sizing.has_at_most(spark.range(6), 5)
+def test_null_safe_anti_join_takes_null_for_a_key(spark):
+    existing = _people(spark, [("1", "a"), ("3", None)])
+    new = _people(spark, [("4", "a"), ("5", "c"), ("6", None)])
+    assert [r.id for r in incremental.unseen_rows(existing, new, "email", null_safe=True).collect()] == ["5"]
+
+
+def test_every_new_row_is_flagged_and_none_dropped(spark):
+    existing = _people(spark, [(str(i), f"e{i}") for i in range(200)])
+    new = _people(spark, [(f"n{i}", f"e{i}") for i in range(100, 400)] + [("x", None)])
+    flags = {r.id: r.maybe_seen for r in bloom.flag_new_rows(existing, new, "email", bloom.BloomSpec(m=600, k=2)).collect()}
+    assert len(flags) == 301 and flags["x"] is False
+    assert all(flags[f"n{i}"] for i in range(100, 200))  # no false negative, though the filter is crowded
 
 
 def test_tune_shuffle_from_input_bytes(spark):

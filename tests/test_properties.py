@@ -54,7 +54,7 @@ def test_survivors_and_repeats_partition_the_input(spark, rows):
 @given(rows=rows_st)
 def test_salted_partitioned_dedup_equals_keep_one(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
-    a = _bag(exact.partitioned_dedup(df, ["k"], 3, salt_buckets=4).collect())
+    a = _bag(exact.partitioned_dedup(df, ["k"], 3).collect())
     b = _bag(survivors.keep_one(df, ["k"]).collect())
     assert a == b
 

@@ -43,15 +43,15 @@ def test_normalized_dedup_three(sample):
     assert out.count() == 3
     assert out.columns == sample.columns
     assert ids(out) == ["ID1", "ID3", "ID6"]
-    assert out.filter(F.col("id") == "ID1").first().name == "John Doe"  # original value kept
+    assert out.filter(F.col("id") == "ID1").first().name == "Tarik Oduya"  # original value kept
 
 
 def test_normalize_columns_added_and_lowercase(sample):
     out = keys.normalize_columns(sample)
     assert {"name_normalized", "email_normalized", "address_normalized"} <= set(out.columns)
     row = out.filter(F.col("id") == "ID4").first()
-    assert row.name_normalized == "john doe" and row.email_normalized == "john@example.com"
-    assert out.filter(F.col("id") == "ID5").first().name_normalized == "john doe"
+    assert row.name_normalized == "tarik oduya" and row.email_normalized == "tarik@lindenpost.org"
+    assert out.filter(F.col("id") == "ID5").first().name_normalized == "tarik oduya"
 
 
 def test_normalize_nulls_become_empty(spark):
@@ -132,12 +132,23 @@ def test_repeats_with_exact_copies_and_nulls(spark):
     assert got == sorted([("k", None, 1), ("k", None, 1), ("k", "b", 2), ("j", None, 3)], key=str)
 
 
-def test_partitioned_dedup_salted_and_plain_agree(spark):
+def test_partitioned_dedup_equals_exact_dedup(spark):
     rows = [("hot", i % 7, f"v{i}") for i in range(500)] + [("cold", 1, "x")]
     df = spark.createDataFrame(rows, "k string, a int, b string")
-    plain = sorted(exact.partitioned_dedup(df, ["k"], 4, salt_buckets=0).collect())
-    salted = sorted(exact.partitioned_dedup(df, ["k"], 4, salt_buckets=8).collect())
-    assert plain == salted == sorted(exact.exact_dedup(df, ["k"]).collect())
+    got = exact.partitioned_dedup(df, ["k"], 4)
+    assert got.rdd.getNumPartitions() == 4 and sorted(got.collect()) == sorted(exact.exact_dedup(df, ["k"]).collect())
+    with_map = df.withColumn("m", F.create_map("k", "b"))
+    assert exact.partitioned_dedup(with_map, ["k"], 4).count() == 2
+
+
+def test_repeats_of_a_hot_row_go_to_many_tasks(spark):
+    df = spark.range(200_000).select(F.when(F.col("id") % 10 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # it merges what is small here
+    try:
+        sizes = [n for n in survivors.repeats(df, ["k"]).rdd.glom().map(len).collect() if n]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 179_999 and max(sizes) < 0.6 * sum(sizes)
 
 
 def test_latest_wins(spark):

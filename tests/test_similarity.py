@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import ids
 from twinsift.functions.similarity import lcs_length, ratio_value
@@ -126,6 +127,15 @@ def test_entity_clusters_on_sample(sample):
     assert got == {"ID1": "ID1", "ID2": "ID1", "ID4": "ID1", "ID5": "ID1", "ID3": "ID3", "ID6": "ID6"}
 
 
+def test_missing_values_link_nobody(spark):
+    rows = [("1", "Ann Ode", None), ("2", "Bob Elm", ""), ("3", "Cyd Fir", "  "), ("4", None, None), ("5", "", None), ("6", None, "c@x.org"), ("7", "Cyd Fir", "c@x.org")]
+    df = spark.createDataFrame(rows, "id string, name string, email string")
+    got = {r.id: r.cluster_id for r in clusters.entity_clusters(df).collect()}
+    assert got == {"1": "1", "2": "2", "3": "3", "4": "4", "5": "5", "6": "3", "7": "3"}
+    three = df.withColumn("phone", F.when(F.col("id").isin("1", "4"), "555"))
+    assert {r.id: r.cluster_id for r in clusters.entity_clusters(three, ["name", "email", "phone"]).collect()}["4"] == "1"
+
+
 def test_single_column_clusters(sample):
     got = {r.id: r.cluster_id for r in clusters.entity_clusters(sample, ["email"]).collect()}
     assert got == {"ID1": "ID1", "ID2": "ID1", "ID4": "ID1", "ID5": "ID1", "ID3": "ID3", "ID6": "ID6"}
@@ -134,8 +144,9 @@ def test_single_column_clusters(sample):
 
 
 def test_resolve_by_ratio_and_token_sets(sample):
-    # john@example.com ~ jane@example.com: ratio 88 >= 85, so ID3 joins ID1's cluster
-    assert ids(clusters.resolve_entities(sample, "fuzzy_fuzzywuzzy", threshold=85)) == ["ID1", "ID6"]
+    assert ids(clusters.resolve_entities(sample, "fuzzy_fuzzywuzzy", threshold=85)) == ["ID1", "ID3", "ID6"]
+    # at 80 the mail addresses of one domain are near: all are one cluster
+    assert ids(clusters.resolve_entities(sample, "fuzzy_fuzzywuzzy", threshold=80)) == ["ID1"]
     assert ids(clusters.resolve_entities(sample, "lsh", threshold=0.3)) == ["ID1", "ID3", "ID6"]
 
 

@@ -10,20 +10,19 @@ raise ``ValueError``; files are hashed on the executors.
 
 from __future__ import annotations
 
-import hashlib
 import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twinsift.functions.digest import file_digest
 from twinsift.functions.keys import normalize_columns
 from twinsift.operators import bloom, exact, fuzzy, incremental, minhash, reports, sketches
 from twinsift.operators import files as file_ops
 from twinsift.operators.survivors import keep_one
 from twinsift.plans.jobs import FILE_OUTPUT, run_job
-from twinsift.session import cut_lineage, path_exists
-from twinsift.sources.files import as_files
+from twinsift.session import cut_lineage
 from twinsift.sources.sinks import write_parquet
 from twinsift.sources.tables import read_table
 
@@ -108,10 +107,10 @@ def process_file_spark(spark: SparkSession, input_path: str, output_dir: str | N
 def bloom_filter_deduplication_exact(
     spark: SparkSession, existing_df: DataFrame, new_df: DataFrame, key_column: str = "email", error_rate: float = 0.01
 ) -> DataFrame:
-    """New rows the Bloom filter of the existing keys does not contain (a
-    false positive drops a new row, as with any pure Bloom filter)."""
+    """New rows the Bloom filter of the existing keys does not contain: those
+    it is sure of, as published (``bloom.flag_new_rows`` keeps the others too)."""
     n = existing_df.agg(F.approx_count_distinct(key_column)).first()[0]
-    return bloom.unseen_by_bloom(existing_df, new_df, key_column, bloom.BloomSpec.for_items(max(n, 1) * 1.2, error_rate))
+    return bloom.surely_new(existing_df, new_df, key_column, bloom.BloomSpec.for_items(max(n, 1) * 1.2, error_rate))
 
 
 def bloom_filter_deduplication_spark(
@@ -150,26 +149,14 @@ def incremental_deduplication_example(spark: SparkSession, existing_path: str, n
 
 
 def _hashed_files(spark: SparkSession, file_paths: Sequence[str], hash_type: str = "md5") -> DataFrame | None:
-    present = [p for p in file_paths if path_exists(spark, p)]
-    if not present:
-        return None
-    binary = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(present)
-    return cut_lineage(file_ops.hash_files(as_files(binary), hash_type))
+    hashed = cut_lineage(file_ops.hash_paths(spark, file_paths, hash_type).drop("error"))
+    return None if hashed.isEmpty() else hashed
 
 
 def compute_file_hash(file_path: str, hash_type: str = "md5") -> str | None:
     """Hex digest of one file read on the caller's machine; None when the file
     cannot be read. For many files use the Spark functions below."""
-    if hash_type not in ("md5", "sha256"):
-        raise ValueError(f"hash_type must be 'md5' or 'sha256', got {hash_type!r}")
-    digest = hashlib.md5() if hash_type == "md5" else hashlib.sha256()
-    try:
-        with open(file_path, "rb") as f:
-            for chunk in iter(lambda: f.read(1 << 20), b""):
-                digest.update(chunk)
-    except OSError:
-        return None
-    return digest.hexdigest()
+    return file_digest(file_path, hash_type)[0]
 
 
 def file_level_deduplication(spark: SparkSession, file_paths: Sequence[str], output_dir: str = "data"):

@@ -115,3 +115,8 @@ def tokens(col: str | Column) -> Column:
     ``Tokenizer``: leading blanks give empty tokens)."""
     c = F.col(col) if isinstance(col, str) else col
     return F.split(F.lower(c), r"\s")
+
+
+def digest_bucket(column: str, n: int) -> Column:
+    """Bucket 0..n-1 of the value's md5: any engine can compute the same."""
+    return F.conv(F.substring(F.md5(F.col(column).cast("string")), 1, 8), 16, 10).cast("bigint") % n

@@ -8,8 +8,8 @@ Bit ``p`` (1-based, ``p`` in ``[1, m]``) of the filter lives in row
 same ``(m, k)`` merge with ``bitmap_or_agg``.
 
 The filter's size is ``ceil(m / 32768) * 4096`` bytes whatever the data, so
-it is broadcast to the probe when that is within a bound, and shuffled by
-bucket beyond it. Probing works on DISTINCT keys, so a hot key costs one
+it is AQE that broadcasts it to the probe where its measured bytes allow, and
+shuffles by bucket beyond. Probing works on DISTINCT keys, so a hot key costs one
 probe, not millions.
 """
 
@@ -21,8 +21,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinsift.plans.sizing import DEFAULT_MAX_BYTES, broadcast_if_bytes
-
 BITS_PER_ROW = 32768
 
 
@@ -56,6 +54,7 @@ def build(df: DataFrame, key: str, spec: BloomSpec) -> DataFrame:
     pos = (
         df.select(F.col(key).alias("__k"))
         .filter(F.col("__k").isNotNull())
+        .distinct()  # bits are set once a key, not once a row
         .select(F.explode(_positions(F.col("__k"), spec)).alias("p"))
     )
     return pos.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(
@@ -73,8 +72,8 @@ def merge(*filters: DataFrame) -> DataFrame:
 
 def _bit_set(bits: str, pos: str) -> Column:
     """Whether bit ``pos`` (LSB first within each byte) of ``bits`` is set."""
-    byte = f"CAST(conv(hex(substring({bits}, CAST({pos} DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
-    return F.expr(f"({byte} & shiftleft(1, CAST({pos} % 8 AS INT))) != 0")
+    byte = f"ascii(decode(substring({bits}, CAST({pos} DIV 8 AS INT) + 1, 1), 'ISO-8859-1'))"
+    return F.expr(f"bit_get({byte}, CAST({pos} % 8 AS INT)) = 1")
 
 
 def maybe_keys(
@@ -82,7 +81,6 @@ def maybe_keys(
     key: str,
     bloom: DataFrame,
     spec: BloomSpec,
-    max_broadcast_bytes: int = DEFAULT_MAX_BYTES,
 ) -> DataFrame:
     """The distinct non-NULL keys of ``df`` the filter may contain (false
     positives possible, false negatives never), as one column ``key``."""
@@ -92,9 +90,8 @@ def maybe_keys(
         F.bitmap_bucket_number("p").alias("bucket"),
         F.bitmap_bit_position("p").alias("bit"),
     )
-    side = broadcast_if_bytes(bloom, spec.size_bytes, max_broadcast_bytes)
     return (
-        pos.join(side, "bucket", "left")
+        pos.join(bloom, "bucket", "left")
         .groupBy("__k")
         .agg(F.min(F.coalesce(_bit_set("bits", "bit"), F.lit(False)).cast("int")).alias("__hit"))
         .filter(F.col("__hit") == 1)
@@ -108,18 +105,26 @@ def probe(
     bloom: DataFrame,
     spec: BloomSpec,
     flag: str = "maybe_seen",
-    max_broadcast_bytes: int = DEFAULT_MAX_BYTES,
 ) -> DataFrame:
     """``df`` with a boolean ``flag``: True when the key may be in the filter;
     NULL keys are False."""
-    hits = maybe_keys(df, key, bloom, spec, max_broadcast_bytes).withColumn(flag, F.lit(True))
-    return df.join(hits, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    hits = maybe_keys(df, key, bloom, spec).withColumn(flag, F.lit(True))
+    # rows without a key match nothing: they are kept out of the join, where they would meet in one task
+    keyed, rest = df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())
+    flagged = keyed.join(hits, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return flagged.unionByName(rest.withColumn(flag, F.lit(False)))
+
+
+def flag_new_rows(existing: DataFrame, new: DataFrame, key: str, spec: BloomSpec) -> DataFrame:
+    """Every new row with ``maybe_seen``: False is certain, True needs a look
+    (``unseen_verified`` has it). No row is dropped on the filter's word."""
+    return probe(new, key, build(existing, key, spec), spec)
 
 
-def unseen_by_bloom(existing: DataFrame, new: DataFrame, key: str, spec: BloomSpec) -> DataFrame:
-    """New rows the filter says were never seen. A false positive DROPS a
-    genuinely new row; use ``unseen_verified`` when every new row matters."""
-    return new.join(maybe_keys(new, key, build(existing, key, spec), spec), key, "left_anti")
+def surely_new(existing: DataFrame, new: DataFrame, key: str, spec: BloomSpec) -> DataFrame:
+    """New rows that the filter alone proves unseen; rows it can't tell are
+    not among them (take ``flag_new_rows`` to have both)."""
+    return flag_new_rows(existing, new, key, spec).filter(~F.col("maybe_seen")).drop("maybe_seen")
 
 
 def unseen_verified(existing: DataFrame, new: DataFrame, key: str, spec: BloomSpec) -> DataFrame:

@@ -64,7 +64,7 @@ def _is_star_forest(edges: DataFrame) -> bool:
     return per_node.filter((F.col("leaf") > 1) | ((F.col("leaf") == 1) & (F.col("center") == 1))).isEmpty()
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 200) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """``node, component`` for every node of the undirected graph; the
     component is named by its smallest node."""
     # one reliable copy of the input: the node list and round 0 both read it
@@ -76,23 +76,28 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     base = cut_lineage(base)
     nodes = base.select(F.col("a").alias("node")).unionByName(base.select(F.col("b").alias("node"))).distinct()
     e = base.filter(F.col("a") != F.col("b"))
-    for _ in range(max_rounds):
+    while True:
         e = cut_lineage(_small_star(_large_star(e)))
         if _is_star_forest(e):
             break
-    else:
-        raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     labels = e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
-VALUE, SET = "v", "s"
+VALUE, SET, ROW = "v", "s", "r"
 
 
 def _node(kind: str, *parts) -> F.Column:
     return F.concat_ws("\u0001", F.lit(kind), *parts)
 
 
+def _value_node(column: str) -> F.Column:
+    """The node of a row's value; NULL for a missing or blank one, which says
+    nothing about whom it belongs to and so links nobody."""
+    v = normalized(column)
+    return F.when(v != "", _node(VALUE, F.lit(column), v))
+
+
 def similarity_edges(
     df: DataFrame,
     columns: Sequence[str],
@@ -105,13 +110,13 @@ def similarity_edges(
     and similar values of one column link to each other. For ``lsh``
     (token-set similarity) values link to their token-set node, and similar
     sets link to each other, so equal sets never expand into value pairs."""
-    nodes = [_node(VALUE, F.lit(c), normalized(c)) for c in columns]
     edges = None
-    for left, right in zip(nodes, nodes[1:]):
-        part = df.select(left.alias("src"), right.alias("dst")).distinct()
-        edges = part if edges is None else edges.unionByName(part)
+    if len(columns) > 1:
+        present = F.filter(F.array(*[_value_node(c) for c in columns]), lambda n: n.isNotNull())
+        steps = F.zip_with(F.slice(present, 1, F.size(present) - 1), F.slice(present, 2, F.size(present)), lambda a, b: F.struct(a.alias("src"), b.alias("dst")))
+        edges = df.select(F.explode(F.when(F.size(present) > 1, steps)).alias("e")).select("e.src", "e.dst").distinct()
     for c in columns:
-        values = df.select(normalized(c).alias("v"))
+        values = df.select(normalized(c).alias("v")).filter("v <> ''")
         if method == "fuzzy_levenshtein":
             pairs = edit_pairs(values, int(threshold if threshold is not None else 2))
         elif method == "fuzzy_fuzzywuzzy":
@@ -157,7 +162,8 @@ def entity_clusters(
     chain of equal or similar key values links them (any of ``columns``);
     the cluster is named by its smallest id."""
     comps = connected_components(similarity_edges(df, columns, id_col, method, threshold))
-    first = _node(VALUE, F.lit(columns[0]), normalized(columns[0]))
+    # a row is in the component of any of its values; one without values is alone
+    first = F.coalesce(*[_value_node(c) for c in columns], _node(ROW, F.col(id_col).cast("string")))
     rows = df.select(F.col(id_col).cast("string").alias(id_col), first.alias("node")).distinct()
     # a value in no edge at all (one column, nothing similar) is its own component
     rows = rows.join(comps, "node", "left").select(id_col, F.coalesce("component", "node").alias("component"))

@@ -92,25 +92,14 @@ def partitioned_dedup(
     keys: Sequence[str],
     num_partitions: int = 100,
     order_by: Sequence[str] = (),
-    salt_buckets: int = 16,
 ) -> DataFrame:
-    """Hash-partition by the keys into ``num_partitions``, then deduplicate
-    inside the partitions.
-
-    With ``salt_buckets > 1`` (default) the partitioning key is the keys
-    plus a salt from a hash of the whole row, so a key holding a third of all
-    rows is spread over ``salt_buckets`` tasks; each keeps one row per
-    (key, salt), and a second, already reduced, pass keeps one per key (the
-    total order makes both passes agree). ``salt_buckets=0`` gives the plain
-    single-exchange plan: ``repartition(n, *keys)`` already satisfies the
-    window's clustering, so only ONE exchange appears (right for bucketed or
-    unskewed input)."""
+    """One row per key, hash-partitioned by the keys into ``num_partitions``.
+
+    The rows are reduced first (``keep_one`` limits each key's rows before its
+    shuffle), so a key that holds a third of all rows is one row by the time
+    that rows are dealt out; the result has the promised partitioning."""
     keys = list(keys)
-    if salt_buckets and salt_buckets > 1:
-        salted = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salt_buckets)))
-        local = keep_one(salted.repartition(num_partitions, *keys, "__salt"), [*keys, "__salt"], order_by=order_by)
-        return keep_one(local.drop("__salt"), keys, order_by=order_by)
-    return keep_one(df.repartition(num_partitions, *keys), keys, order_by=order_by)
+    return keep_one(df, keys, order_by=order_by).repartition(num_partitions, *keys)
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,9 +1,9 @@
 """File-level deduplication by content hash: hashes, duplicate groups, one
 file per content, savings, approximate counts and new-against-existing.
 
-Hashing is ``md5(content)`` / ``sha2(content, 256)`` on the executors, over
-the whole content. A file is one cell, so a single file must stay below
-2 GiB (a ``binaryFile`` limit).
+Files are hashed in chunks on the executors, whatever their size
+(``hash_listed``); content that is a column already is hashed by
+``hash_files``. Both give the same digests.
 """
 
 from __future__ import annotations
@@ -32,6 +32,18 @@ def hash_files(files: DataFrame, hash_type: str = "md5") -> DataFrame:
     return files.select("file_path", "file_name", "file_size", content_hash("content", hash_type).alias("file_hash"))
 
 
+def hash_listed(listing: DataFrame, hash_type: str = "md5", chunk_bytes: int = 8 << 20) -> DataFrame:
+    """``file_path, file_name, file_size, file_hash, error`` of listed files
+    of ANY size: each is hashed in chunks on an executor. A file that can't be
+    read has a NULL hash and the reason in ``error``."""
+    from twinsift.functions.digest import digest_batches
+
+    if hash_type not in HASH_TYPES:
+        raise ValueError(f"hash_type must be one of {HASH_TYPES}, got {hash_type!r}")
+    schema = "file_path string, file_name string, file_size bigint, file_hash string, error string"
+    return listing.select("file_path", "file_name", "file_size").mapInPandas(digest_batches(hash_type, chunk_bytes), schema)
+
+
 def hash_files_chunked(
     spark,
     path: str,
@@ -40,25 +52,21 @@ def hash_files_chunked(
     recursive: bool = False,
     chunk_bytes: int = 8 << 20,
 ) -> DataFrame:
-    """Like ``hash_files(scan_files(...))`` for files of ANY size: the listing
-    reads no content, and each file is hashed in chunks on an executor. The
-    digests equal ``md5``/``sha2`` of the whole content."""
-    from twinsift.functions.digest import digest_batches
+    """Like ``hash_files(scan_files(...))`` without a file in one cell: the
+    listing reads no content."""
+    from twinsift.sources.files import list_files
 
-    if hash_type not in HASH_TYPES:
-        raise ValueError(f"hash_type must be one of {HASH_TYPES}, got {hash_type!r}")
-    reader = spark.read.format("binaryFile").option("ignoreMissingFiles", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    from twinsift.functions.keys import basename
-
-    listing = reader.load(path).select(
-        F.col("path").alias("file_path"), basename("path").alias("file_name"), F.col("length").alias("file_size")
-    )
-    schema = "file_path string, file_name string, file_size bigint, file_hash string"
-    return listing.mapInPandas(digest_batches(hash_type, chunk_bytes), schema)
+    return hash_listed(list_files(spark, path, glob, recursive), hash_type, chunk_bytes).drop("error")
+
+
+def hash_paths(spark, paths, hash_type: str = "md5", chunk_bytes: int = 8 << 20) -> DataFrame:
+    """``hash_listed`` of the files among ``paths`` that exist; tasks ask the
+    file systems, not the driver."""
+    from twinsift.functions.digest import stat_batches
+
+    rows = spark.createDataFrame([(str(p),) for p in paths], "file_path string").distinct()
+    found = rows.mapInPandas(stat_batches(), "file_path string, file_name string, file_size bigint")
+    return hash_listed(found, hash_type, chunk_bytes)
 
 
 def unique_files(hashed: DataFrame) -> DataFrame:

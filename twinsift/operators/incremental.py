@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from twinsift.functions.keys import checksum
 from twinsift.operators.survivors import keep_one
-from twinsift.plans.sizing import DEFAULT_MAX_ROWS, broadcast_if_small
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -25,18 +24,24 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 
 
 def unseen_rows(
-    existing: DataFrame, new: DataFrame, key: str | Sequence[str] = "email", reduce_existing: bool = False
+    existing: DataFrame, new: DataFrame, key: str | Sequence[str] = "email", reduce_existing: bool = False, null_safe: bool = False
 ) -> DataFrame:
     """New rows whose key does not occur in ``existing``.
 
     ``reduce_existing`` is for a small batch against a large table: the
     existing keys are first cut to the batch's keys by a semi join (AQE
     broadcasts the batch's keys when their runtime size allows), so the large
-    side is filtered where it is read instead of being shuffled whole."""
+    side is filtered where it is read instead of being shuffled whole.
+    ``null_safe`` takes NULL for a key value like any other (a NULL key that
+    exists already is seen)."""
     keys = _keys(key)
     seen = existing.select(*keys)
     if reduce_existing:
         seen = seen.join(new.select(*keys).distinct(), keys, "left_semi")
+    if null_safe:
+        named = seen.distinct().toDF(*[f"__k{i}" for i in range(len(keys))])
+        same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+        return new.join(named, same, "left_anti")
     return new.join(seen.distinct(), keys, "left_anti")
 
 
@@ -62,11 +67,10 @@ def incremental_report(existing: DataFrame, new: DataFrame, key: str | Sequence[
     )
 
 
-def without_known(df: DataFrame, known: DataFrame, key: str = "id", max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """Drop rows whose ``key`` is in a list of known duplicates. The list is
-    broadcast only after a bounded count shows it is small."""
-    ids = known.select(key).distinct()
-    return df.join(broadcast_if_small(ids, max_broadcast_rows), key, "left_anti")
+def without_known(df: DataFrame, known: DataFrame, key: str = "id") -> DataFrame:
+    """Drop rows whose ``key`` is in a list of known duplicates. AQE broadcasts
+    the list where its measured bytes allow."""
+    return df.join(known.select(key).distinct(), key, "left_anti")
 
 
 def unseen_by_checksum(

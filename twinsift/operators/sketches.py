@@ -1,5 +1,6 @@
-"""Approximate distinct counts (HyperLogLog++) next to the exact count, in
-ONE aggregate over the data."""
+"""Approximate distinct counts (HyperLogLog++) next to the exact count. The
+distinct values are found first (reduced before their shuffle); one aggregate
+over them makes the sketches and counts, so a sketch is never kept per value."""
 
 from __future__ import annotations
 
@@ -27,9 +28,9 @@ def distinct_estimate(df: DataFrame, column: str, rsd: float = DEFAULT_RSD) -> D
     ``select(c).distinct().count()``: NULL counts as one value),
     exact_non_null, and the error of the estimate against exact_non_null
     (error_pct 0 when that is 0), rsd."""
-    agg = df.agg(
+    agg = df.select(column).distinct().agg(
         F.approx_count_distinct(column, rsd).cast("bigint").alias("approx_count"),
-        F.count_distinct(column).cast("bigint").alias("exact_non_null"),
+        F.count(column).cast("bigint").alias("exact_non_null"),
         F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0)).alias("__has_null"),
     )
     return agg.select(
@@ -44,14 +45,14 @@ def distinct_estimate(df: DataFrame, column: str, rsd: float = DEFAULT_RSD) -> D
 def rsd_sweep(df: DataFrame, column: str, rsds: Sequence[float] = (0.01, 0.05, 0.1)) -> DataFrame:
     """One row per rsd (NULL = Spark's default 0.05): the estimate against
     the exact count, from a single aggregate, unpivoted with ``stack``."""
-    aggs = [F.count_distinct(column).cast("bigint").alias("exact_count")]
+    aggs = [F.count(column).cast("bigint").alias("exact_count")]
     labels = []
     for i, r in enumerate(rsds):
         aggs.append(F.approx_count_distinct(column, r).cast("bigint").alias(f"a{i}"))
         labels.append((f"{r}", f"a{i}"))
     aggs.append(F.approx_count_distinct(column).cast("bigint").alias("a_default"))
     labels.append(("default", "a_default"))
-    wide = df.agg(*aggs)
+    wide = df.select(column).distinct().agg(*aggs)
     stack = ", ".join(f"'{lab}', `{c}`" for lab, c in labels)
     long = wide.selectExpr("exact_count", f"stack({len(labels)}, {stack}) AS (rsd, approx_count)")
     return long.select("rsd", "approx_count", "exact_count", *_error_cols("approx_count", "exact_count"))

@@ -98,9 +98,20 @@ def repeats(df: DataFrame, keys: Sequence[KeyLike], order_by: Sequence[KeyLike]
     joined = counted.join(survivors, cond, "left").select(
         *original, (F.col("__n") - F.coalesce(F.col("__kept"), F.lit(0))).alias("__extra")
     )
-    return joined.filter(F.col("__extra") > 0).select(
-        *original, F.explode(F.sequence(F.lit(1), F.col("__extra").cast("int"))).alias("__copy")
-    ).drop("__copy")
+    # a row's copies are made in blocks, and the blocks dealt out before they
+    # are unrolled: a row that is a third of the table fills no array and no task
+    block = 4096
+    blocks = joined.filter(F.col("__extra") > 0).select(
+        *original, "__extra", F.explode(F.sequence(F.lit(0), F.expr(f"(__extra - 1) div {block}"))).alias("__block")
+    )
+    blocks = blocks.withColumn("__n", F.least(F.lit(block), F.col("__extra") - F.col("__block") * block).cast("int"))
+    dealt = blocks.repartition(F.xxhash64("__block", *_hashable(df, original)))
+    return dealt.select(*original, F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("__copy")).drop("__copy")
+
+
+def _hashable(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns that can be hashed (maps and variants can't)."""
+    return [c for c in columns if not any(t in df.schema[c].dataType.simpleString() for t in ("map<", "variant"))]
 
 
 def latest_wins(existing: DataFrame, new: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:

@@ -19,7 +19,7 @@ from twinsift.operators.reports import dedup_report
 from twinsift.plans.methods import DEFAULT_KEYS, dedup
 from twinsift.plans.sizing import tune_shuffle
 from twinsift.session import cut_lineage
-from twinsift.sources.files import scan_files
+from twinsift.sources.files import list_files
 from twinsift.sources.sinks import write_parquet
 from twinsift.sources.tables import read_sources, read_table
 
@@ -107,17 +107,15 @@ def run_file_job(
     hash_type: str = "md5",
     glob: str | None = None,
     recursive: bool = True,
-    chunked: bool = False,
+    chunk_bytes: int = 8 << 20,
 ) -> dict[str, DataFrame]:
-    """List, hash and group files on the executors; with ``output_dir`` the
-    unique files are written to ``file_deduplication_results.parquet``.
-    ``chunked`` hashes files of any size in chunks (no 2 GiB cell limit)."""
-    if chunked:
-        hashed = file_ops.hash_files_chunked(spark, path, hash_type, glob=glob, recursive=recursive)
-    else:
-        hashed = file_ops.hash_files(scan_files(spark, path, glob=glob, recursive=recursive), hash_type)
+    """List, hash (in chunks, whatever the size) and group files on the
+    executors; with ``output_dir`` the unique files are written to
+    ``file_deduplication_results.parquet``. ``unreadable`` holds the files that
+    can't be read, with the reason."""
     # the small hashed table (no content) is written once: file bytes are read once
-    hashed = cut_lineage(hashed)
+    tried = cut_lineage(file_ops.hash_listed(list_files(spark, path, glob=glob, recursive=recursive), hash_type, chunk_bytes))
+    hashed = tried.drop("error")
     unique = file_ops.unique_files(hashed)
     if output_dir:
         out = f"{output_dir.rstrip('/')}/{FILE_OUTPUT}"
@@ -125,6 +123,7 @@ def run_file_job(
         unique = spark.read.parquet(out)
     return {
         "hashed": hashed,
+        "unreadable": tried.filter(F.col("file_hash").isNull()).select("file_path", "error"),
         "unique": unique,
         "groups": file_ops.file_groups(hashed),
         "report": file_ops.file_report(hashed),

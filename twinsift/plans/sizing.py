@@ -1,37 +1,8 @@
-"""Size checks that guard broadcasts.
-
-A side is broadcast only when its size is bounded: either by construction
-(a Bloom table of a chosen number of bits) or by a bounded count (``limit``
-stops the scan as soon as the bound is passed). Beyond the bound the join
-stays a shuffle join, and AQE may still pick a broadcast from runtime sizes.
-"""
+"""Shuffle sizing from the input's bytes. Broadcasts are left to AQE, which
+decides from measured sizes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_MAX_ROWS = 1_000_000
-DEFAULT_MAX_BYTES = 64 * 1024 * 1024
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows; reads at most
-    ``max_rows + 1`` of them."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when the row count is within ``max_rows``,
-    otherwise ``df`` unchanged (a shuffle join)."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def broadcast_if_bytes(df: DataFrame, size_bytes: int, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
-    """``F.broadcast(df)`` when its known size is within ``max_bytes``."""
-    return F.broadcast(df) if size_bytes <= max_bytes else df
-
-
 DEFAULT_PARTITION_BYTES = 256 * 1024 * 1024
 
 

@@ -128,9 +128,10 @@ def q_lsh_recall(spark, sf_dir):
 
 _GRAPH_CTES = (
     ", np AS (SELECT id, " + norm("name") + " AS nn, " + norm("email") + " AS ne FROM people)"
-    ", pn AS (" + _edit_sql("SELECT DISTINCT nn AS v FROM np") + ")"
-    ", pe AS (" + _edit_sql("SELECT DISTINCT ne AS v FROM np") + ")"
-    ", e AS (SELECT 'r:' || id AS s, 'n:' || nn AS d FROM np UNION SELECT 'r:' || id, 'e:' || ne FROM np "
+    ", pn AS (" + _edit_sql("SELECT DISTINCT nn AS v FROM np WHERE nn <> ''") + ")"
+    ", pe AS (" + _edit_sql("SELECT DISTINCT ne AS v FROM np WHERE ne <> ''") + ")"
+    ", e AS (SELECT 'r:' || id AS s, 'r:' || id AS d FROM np UNION SELECT 'r:' || id, 'n:' || nn FROM np WHERE nn <> '' "
+    "UNION SELECT 'r:' || id, 'e:' || ne FROM np WHERE ne <> '' "
     "UNION SELECT 'n:' || value_a, 'n:' || value_b FROM pn UNION SELECT 'e:' || value_a, 'e:' || value_b FROM pe)"
     ", u AS (SELECT s, d FROM e UNION SELECT d, s FROM e)"
     ", lab AS (SELECT node, min(label) AS comp FROM ("

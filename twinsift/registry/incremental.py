@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinsift.functions.keys import bucket_of
+from twinsift.functions.keys import digest_bucket
 from twinsift.operators import bloom, incremental
 from twinsift.registry import register
 from twinsift.registry.records import people
@@ -94,10 +94,22 @@ def q_merge_insert_only(spark, sf_dir):
     return incremental.merge_insert_only(existing, new, "email")
 
 
-@register("bloom_new_rows")
+@register(
+    "bloom_new_rows",
+    with_people(
+        "SELECT n.*, EXISTS (SELECT 1 FROM existing e WHERE e.email = n.email) AS seen, false AS missed FROM new n",
+        SPLIT_CTES,
+    ),
+)
 def q_bloom_new_rows(spark, sf_dir):
+    """All new rows with the filter's flag held against the truth: ``missed``
+    (seen, but not flagged) is never true, a false positive is no error."""
     existing, new = people_split(spark, sf_dir)
-    return bloom.unseen_by_bloom(existing, new, "email", _spec(existing, "email"))
+    flagged = bloom.flag_new_rows(existing, new, "email", _spec(existing, "email"))
+    truth = existing.select("email").distinct().withColumn("__in", F.lit(True))
+    seen = F.coalesce(F.col("__in"), F.lit(False))
+    both = flagged.join(truth, "email", "left").withColumn("seen", seen)
+    return both.select(*PEOPLE_COLUMNS, "seen", (F.col("seen") & ~F.col("maybe_seen")).alias("missed"))
 
 
 @register("bloom_then_exact", with_people(ANTI_SQL, SPLIT_CTES))
@@ -119,9 +131,14 @@ def q_bloom_membership(spark, sf_dir):
     return bloom.probe(members, "email", bloom.build(existing, "email", spec), spec)
 
 
-@register("hash_split")
+@register(
+    "hash_split",
+    with_people(
+        "SELECT *, CASE WHEN CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % 10 < 7 THEN 'existing' ELSE 'new' END AS part FROM people"
+    ),
+)
 def q_hash_split(spark, sf_dir):
-    """Checkable 70/30 split: bucket of the id's Murmur3 hash, stable across
-    runs and partitionings (unlike ``randomSplit``)."""
+    """Checkable 70/30 split: bucket of the id's md5, stable across runs,
+    partitionings and engines (unlike ``randomSplit``)."""
     p = people(spark, sf_dir)
-    return p.withColumn("part", F.when(bucket_of(["id"], 10) < 7, F.lit("existing")).otherwise(F.lit("new")))
+    return p.withColumn("part", F.when(digest_bucket("id", 10) < 7, F.lit("existing")).otherwise(F.lit("new")))

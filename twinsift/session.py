@@ -49,7 +49,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):  # not local-cluster: its executors are other processes
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="twinsift-ckpt-"))
         return sc.getCheckpointDir()
     raise ValueError("set spark.checkpoint.dir to a shared folder before running iterative operators")
@@ -63,6 +63,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote for passing use."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")

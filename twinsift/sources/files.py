@@ -3,6 +3,8 @@ executors, so bytes never pass through the driver."""
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
@@ -31,14 +33,49 @@ def scan_files(
     """One row per file below ``path``: ``file_path, file_name, file_size,
     content``. ``glob`` filters base names (e.g. ``*.{jpg,png}``);
     ``recursive`` descends into subfolders; missing or vanished files are
-    skipped rather than failing the job."""
+    skipped rather than failing the job. Files without bytes are rows with
+    empty content."""
+    binary = _binary(spark, path, glob, recursive, ignore_missing)
+    files = as_files(binary)
+    return files.unionByName(_without_bytes(binary).withColumn("content", F.lit("").cast("binary")))
+
+
+def list_files(
+    spark: SparkSession,
+    path: str,
+    glob: str | None = None,
+    recursive: bool = False,
+    ignore_missing: bool = True,
+) -> DataFrame:
+    """``file_path, file_name, file_size`` of every file below ``path``, those
+    without bytes included; no content is read."""
+    binary = _binary(spark, path, glob, recursive, ignore_missing)
+    return as_files(binary).drop("content").unionByName(_without_bytes(binary))
+
+
+def _binary(spark, path, glob, recursive, ignore_missing) -> DataFrame:
     reader = spark.read.format("binaryFile").option("ignoreMissingFiles", str(ignore_missing).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    df = reader.load(path)
-    return as_files(df)
+    return reader.load(path)
+
+
+def _without_bytes(binary: DataFrame) -> DataFrame:
+    """The files that a scan leaves out because they have no bytes to split:
+    what its file index lists and its rows don't have."""
+    spark = binary.sparkSession
+    names = [_plain_path(p) for p in binary.inputFiles()]  # the index the driver planned the scan from
+    listed = spark.createDataFrame([(p,) for p in names], "file_path string").distinct()
+    empty = listed.join(binary.select(F.col("path").alias("file_path")), "file_path", "left_anti")
+    return empty.select("file_path", basename("file_path").alias("file_name"), F.lit(0).cast("bigint").alias("file_size"))
+
+
+def _plain_path(uri: str) -> str:
+    """An index entry as ``binaryFile`` writes paths: decoded, ``file:/a``."""
+    p = unquote(uri)
+    return "file:/" + p[len("file:"):].lstrip("/") if p.startswith("file:") else p
 
 
 def stream_files(

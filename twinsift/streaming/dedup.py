@@ -23,7 +23,7 @@ from twinsift.operators import bloom
 from twinsift.operators.files import hash_files
 from twinsift.operators.incremental import unseen_rows
 from twinsift.operators.survivors import keep_one
-from twinsift.session import path_exists
+from twinsift.session import path_exists, remove_path
 from twinsift.sources.files import stream_files
 
 
@@ -66,9 +66,13 @@ class SeenTableSink:
         spark = batch.sparkSession
         fresh = keep_one(batch, self.keys, order_by=self.order_by)
         if path_exists(spark, self.target):
-            fresh = unseen_rows(spark.read.parquet(self.target), fresh, self.keys, reduce_existing=True)
+            fresh = unseen_rows(spark.read.parquet(self.target), fresh, self.keys, reduce_existing=not self.nullable(batch), null_safe=True)
         return fresh
 
+    def nullable(self, batch: DataFrame) -> bool:
+        """Whether a key of the batch may be NULL (a semi join would lose it)."""
+        return any(batch.schema[k].nullable for k in self.keys)
+
     def _stage(self, rows: DataFrame, batch_id: int) -> DataFrame:
         """Materialise the batch's new rows before touching the target, so the
         append does not read the table it writes."""
@@ -78,11 +82,13 @@ class SeenTableSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self._stage(self.new_rows(batch), batch_id).write.mode("append").parquet(self.target)
+        remove_path(batch.sparkSession, f"{self.target}.staged/batch={batch_id}")
 
 
 class BloomSeenTableSink(SeenTableSink):
     """``SeenTableSink`` with a Bloom filter of the target's keys (single key
-    column) kept next to it and merged after each batch. Rows the filter
+    column) kept next to it, one folder a batch: a batch reads the newest
+    complete one and writes its own, so no crash leaves half a filter. Rows the filter
     rules out skip the comparison with the target; the result is the same."""
 
     def __init__(self, target: str, key: str, filter_path: str, spec: bloom.BloomSpec, order_by: Sequence[str] = ()):
@@ -94,23 +100,32 @@ class BloomSeenTableSink(SeenTableSink):
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = keep_one(batch, self.keys, order_by=self.order_by)
-        if path_exists(spark, self.filter_path):
-            filt = spark.read.parquet(self.filter_path)
-            # only target keys among the batch's 'maybe' keys are compared
+        version = self.newest(spark, batch_id)
+        filt = None if version is None else spark.read.parquet(self._version(version))
+        if filt is not None and path_exists(spark, self.target):
+            target = spark.read.parquet(self.target).select(self.key)
+            # only target keys among the batch's 'maybe' keys are compared; NULL is a key that no filter holds
             maybe = bloom.maybe_keys(fresh, self.key, filt, self.spec)
-            seen = spark.read.parquet(self.target).select(self.key).join(maybe, self.key, "left_semi").distinct()
-            fresh = fresh.join(seen, self.key, "left_anti")
-        else:
-            filt = None
+            seen = target.join(maybe, self.key, "left_semi").unionByName(target.filter(F.col(self.key).isNull()).limit(1))
+            fresh = unseen_rows(seen, fresh, self.key, null_safe=True)
         rows = self._stage(fresh, batch_id)
         # the filter learns the batch's keys BEFORE they reach the target: a
         # batch replayed in between sees "maybe" and is checked exactly
         added = bloom.build(rows, self.key, self.spec)
         merged = added if filt is None else bloom.merge(filt, added)
-        stage = f"{self.filter_path}.next/batch={batch_id}"
-        merged.write.mode("overwrite").parquet(stage)
-        spark.read.parquet(stage).write.mode("overwrite").parquet(self.filter_path)
+        if version != batch_id:  # a replayed batch finds its version complete
+            merged.write.mode("overwrite").parquet(self._version(batch_id))
         rows.write.mode("append").parquet(self.target)
+        remove_path(spark, f"{self.target}.staged/batch={batch_id}")
+        if version is not None and version < batch_id:
+            remove_path(spark, self._version(version))
+
+    def _version(self, batch_id: int) -> str:
+        return f"{self.filter_path}/batch={batch_id}"
+
+    def newest(self, spark: SparkSession, batch_id: int) -> int | None:
+        """The latest batch whose filter was written to its end."""
+        return next((b for b in range(batch_id, -1, -1) if path_exists(spark, f"{self._version(b)}/_SUCCESS")), None)
 
 
 def file_arrivals(
