@@ -1,7 +1,9 @@
-"""Streaming queries: the ``events`` table replayed as a file stream.
+"""Streaming queries: tables replayed as file streams in several arrivals.
 
-Each query runs the stream to completion (``availableNow``) into a fresh
-folder below the shared checkpoint folder and returns the written result.
+Each arrival lands files and runs the stream over what is new
+(``availableNow``, one checkpoint), so every query goes through several
+batches and restarts. All folders are fresh ones below the shared checkpoint
+folder.
 """
 
 from __future__ import annotations
@@ -16,48 +18,67 @@ from twinsift.operators.bloom import BloomSpec
 from twinsift.streaming.dedup import (
     BloomSeenTableSink,
     SeenTableSink,
-    file_arrivals,
     read_parquet_stream,
     run_available,
     within_watermark,
 )
 
 KEYS = ["user_id", "event_type"]
+ARRIVALS = 4
 
 
-def _events_stream(spark, sf_dir):
-    schema = load(spark, sf_dir, "events").schema
-    return read_parquet_stream(spark, sf_dir, schema, glob="events.parquet")
+def _arrivals(spark, sf_dir, landing):
+    """``events`` arriving in ``ARRIVALS`` spans of time, one after the other,
+    each with some rows of the span before sent again: a generator that lands
+    a span's files and yields (its number, the length of a span in seconds)."""
+    events = load(spark, sf_dir, "events")
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    lo, hi = events.agg(F.min(seconds), F.max(seconds)).first()
+    span = max(1, -(-(hi - lo + 1) // ARRIVALS))
+    number = F.coalesce(((seconds - lo) / span).cast("int"), F.lit(0))
+    for i in range(ARRIVALS):
+        again = (number == i - 1) & (F.pmod(F.xxhash64("event_id"), F.lit(10)) == 0)
+        events.filter((number == i) | again).write.mode("append").parquet(landing)
+        yield i, span
 
 
-@register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+def _events_stream(spark, sf_dir, landing):
+    return read_parquet_stream(spark, landing, load(spark, sf_dir, "events").schema)
+
+
+@register("stream_dedup", "SELECT * FROM events")
 def q_stream_dedup(spark, sf_dir):
-    """Repeats of (user_id, event_type) dropped within a watermark that spans
-    the whole month of events: the distinct keys."""
+    """Events sent again within the watermark (one span of arrivals) are
+    dropped; state older than that is forgotten."""
     base = scratch_path(spark, "stream-dedup")
-    stream = within_watermark(_events_stream(spark, sf_dir), KEYS, "ts", "3650 days").select(*KEYS)
-    run_available(stream, f"{base}/checkpoint", path=f"{base}/out")
+    for _, span in _arrivals(spark, sf_dir, f"{base}/in"):
+        stream = within_watermark(_events_stream(spark, sf_dir, f"{base}/in"), ["event_id"], "ts", f"{span} seconds")
+        run_available(stream, f"{base}/checkpoint", path=f"{base}/out")
     return spark.read.parquet(f"{base}/out")
 
 
 @register("stream_seen_table", keep_one_sql("events", EVENTS_COLUMNS, KEYS, ["ts"], "first"))
 def q_stream_seen_table(spark, sf_dir):
-    """foreachBatch: per key the earliest event, appended once to the target."""
+    """foreachBatch: per key the earliest event, appended once to the target,
+    over several batches that repeat keys and rows."""
     base = scratch_path(spark, "stream-seen")
     target = f"{base}/target"
-    run_available(_events_stream(spark, sf_dir), f"{base}/checkpoint", sink=SeenTableSink(target, KEYS, ["ts"]))
+    for _ in _arrivals(spark, sf_dir, f"{base}/in"):
+        run_available(_events_stream(spark, sf_dir, f"{base}/in"), f"{base}/checkpoint", sink=SeenTableSink(target, KEYS, ["ts"]))
     return spark.read.parquet(target).select(*[F.col(c) for c in EVENTS_COLUMNS])
 
 
 @register("stream_bloom_seen_table", keep_one_sql("events", EVENTS_COLUMNS, ["user_id"], ["ts"], "first"))
 def q_stream_bloom_seen_table(spark, sf_dir):
-    """foreachBatch with a Bloom filter table of the target's keys as first
-    pass: per user the earliest event, appended once."""
+    """foreachBatch with a Bloom filter of the target's keys as first pass:
+    per user the earliest event, appended once. From the second batch on the
+    filter is probed."""
     base = scratch_path(spark, "stream-bloom")
     target = f"{base}/target"
     users = load(spark, sf_dir, "events").agg(F.approx_count_distinct("user_id")).first()[0]
     sink = BloomSeenTableSink(target, "user_id", f"{base}/filter", BloomSpec.for_items(max(users, 1) * 2, 0.01), ["ts"])
-    run_available(_events_stream(spark, sf_dir), f"{base}/checkpoint", sink=sink)
+    for _ in _arrivals(spark, sf_dir, f"{base}/in"):
+        run_available(_events_stream(spark, sf_dir, f"{base}/in"), f"{base}/checkpoint", sink=sink)
     return spark.read.parquet(target).select(*[F.col(c) for c in EVENTS_COLUMNS])
 
 
@@ -67,12 +88,19 @@ def q_stream_bloom_seen_table(spark, sf_dir):
     "FROM documents WHERE text IS NOT NULL",
 )
 def q_stream_file_arrivals(spark, sf_dir):
-    """Every document lands as its own text file; the file stream hashes the
-    files on the executors and keeps one file per content."""
+    """Documents arrive as contents in files that hold many of them; each
+    content (a line of text and its newline) is hashed on the executors and
+    kept once."""
     base = scratch_path(spark, "file-arrivals")
     docs = load(spark, sf_dir, "documents").filter(F.col("text").isNotNull()).select("doc_id", "text")
-    docs.select("text").write.option("maxRecordsPerFile", 1).text(f"{base}/landing")
     target = f"{base}/target"
-    stream = file_arrivals(spark, f"{base}/landing")
-    run_available(stream, f"{base}/checkpoint", sink=SeenTableSink(target, ["file_hash"], ["file_path"]))
+    for part in range(2):
+        docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == part).write.mode("append").parquet(f"{base}/landing")
+        content = F.concat(F.col("text"), F.lit("\n"))
+        arriving = read_parquet_stream(spark, f"{base}/landing", docs.schema).select(
+            F.col("doc_id").cast("string").alias("file_path"),
+            F.md5(content).alias("file_hash"),
+            F.octet_length(content).cast("bigint").alias("file_size"),
+        )
+        run_available(arriving, f"{base}/checkpoint", sink=SeenTableSink(target, ["file_hash"], ["file_path"]))
     return spark.read.parquet(target).select("file_hash", "file_size")
