@@ -184,16 +184,41 @@ def test_sources_job_reports_per_file_and_skips_outputs(spark, sample):
     folder = tempfile.mkdtemp(prefix="twinsift-src-")
     for name in ("one", "two", "deduplicated_one"):
         sample.toPandas().to_csv(f"{folder}/{name}.csv", index=False)
-    rep = {os.path.basename(r.source_file): r for r in run_sources_job(spark, folder, PEOPLE_SCHEMA).collect()}
-    assert set(rep) == {"one.csv", "two.csv"}
+    by_name = lambda df: {os.path.basename(r.source_file): r for r in df.collect()}
+    rep = by_name(run_sources_job(spark, folder, PEOPLE_SCHEMA))
+    assert set(rep) == {"one.csv", "two.csv", "deduplicated_one.csv", "(all)"}
     assert rep["one.csv"].rows == 6 and rep["one.csv"].unique_rows == 5 and rep["one.csv"].corrupt_rows == 0
+    assert rep["deduplicated_one.csv"].status == "skipped" and rep["(all)"].rows == 12
+    assert by_name(run_sources_job(spark, folder, PEOPLE_SCHEMA, skip_prefix=None))["(all)"].rows == 18
+
+
+def test_sources_job_writes_and_survives_a_bad_file(spark, sample):
+    folder, out = tempfile.mkdtemp(prefix="twinsift-many-"), tempfile.mkdtemp(prefix="twinsift-many-out-")
+    for name in ("one", "two words"):
+        sample.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    with open(f"{folder}/one.parquet/part-broken.parquet", "wb") as f:
+        f.write(b"this is no parquet file")
+    files = [f"{folder}/one.parquet", f"{folder}/two words.parquet"]
+    rep = run_sources_job(spark, files, PEOPLE_SCHEMA, fmt="parquet", output_dir=f"{out}/all", method="normalized").collect()
+    assert sorted((r.rows, r.unique_rows, r.status) for r in rep if r.source_file != "(all)" and r.rows) == [(6, 3, "done")] * 2
+    assert [r.status for r in rep if "broken" in r.source_file] == ["no rows read"]
+    written = spark.read.parquet(f"{out}/all")
+    assert written.count() == 6 and written.select("source_file").distinct().count() == 2
+
+
+def test_similar_values_name_their_representative(spark):
+    from twinsift.plans.methods import similar_values
+
+    df = spark.createDataFrame([("1", "Ann Ode", "a@x.org"), ("2", "Anne Ode", "b@y.net"), ("3", "Ann Ode", None), ("4", "Zoe Quill", "")], "id string, name string, email string")
+    got = sorted(tuple(r) for r in similar_values(df, "fuzzy_levenshtein").collect())
+    assert got == [("name", "ann ode", "ann ode", 2), ("name", "anne ode", "ann ode", 1)]
 
 
 def test_sources_job_counts_malformed_rows(spark):
     folder = tempfile.mkdtemp(prefix="twinsift-bad-")
     with open(f"{folder}/n.csv", "w") as f:
         f.write("n,v\n1,a\n1,a\nnot-a-number,b\n2,c\n")
-    r = run_sources_job(spark, folder, "n int, v string", keys=["n", "v"]).first()
+    r = run_sources_job(spark, folder, "n int, v string", keys=["n", "v"]).filter("source_file <> '(all)'").first()
     assert (r.rows, r.unique_rows, r.duplicate_rows, r.corrupt_rows) == (3, 2, 1, 1)
 
 

@@ -13,7 +13,8 @@ import sys
 from pyspark.sql import SparkSession
 
 from twinsift.plans.jobs import run_file_job, run_job, run_sources_job
-from twinsift.plans.methods import METHODS
+from twinsift.plans.methods import METHODS, PAIR_METHODS, similar_values
+from twinsift.sources.tables import read_table
 
 
 def _session(master: str | None) -> SparkSession:
@@ -46,11 +47,16 @@ def main(argv: list[str] | None = None) -> int:
     rec.add_argument("--keys", default="name,email", help="key columns (comma-separated)")
     rec.add_argument("--hash-columns", default="name,email,address", help="columns of the hash methods")
     rec.add_argument("--order-by", default="id", help="survivor order for the window method")
+    rec.add_argument("--resolve", action="store_true", help="fuzzy methods: merge clusters of similar records")
+    rec.add_argument("--similar", type=int, default=0, metavar="N", help="fuzzy methods: also print N similar values")
 
     src = sub.add_parser("sources", help="per-file duplicate report over many CSV files, in one job")
     src.add_argument("paths", nargs="+")
     src.add_argument("--schema", required=True)
     src.add_argument("--keys", default="name,email")
+    src.add_argument("--output", help="write the survivors here, partitioned by source file")
+    src.add_argument("--method", default="exact", choices=METHODS)
+    src.add_argument("--all-files", action="store_true", help="take files named deduplicated_* too")
 
     fil = sub.add_parser("files", help="deduplicate files by content hash")
     fil.add_argument("path")
@@ -64,12 +70,18 @@ def main(argv: list[str] | None = None) -> int:
         keys = args.keys.split(",")
         path, report = run_job(
             spark, args.input, args.output, args.method, schema=args.schema, validate_keys=keys, tune=args.tune,
-            keys=keys, hash_columns=args.hash_columns.split(","), order_by=args.order_by.split(","),
+            keys=keys, hash_columns=args.hash_columns.split(","), order_by=args.order_by.split(","), resolve=args.resolve,
         )
         print(json.dumps({"output": path}))
+        if args.similar and args.method in PAIR_METHODS:
+            found = similar_values(read_table(spark, args.input, schema=args.schema), args.method, keys)
+            _print(found.orderBy("column_name", "representative", "value").limit(args.similar))
         _print(report)
     elif args.command == "sources":
-        _print(run_sources_job(spark, args.paths, args.schema, keys=args.keys.split(",")))
+        _print(run_sources_job(
+            spark, args.paths, args.schema, keys=args.keys.split(","), output_dir=args.output, method=args.method,
+            skip_prefix=None if args.all_files else "deduplicated_",
+        ))
     else:
         out = run_file_job(spark, args.path, args.output, hash_type=args.hash, glob=args.glob)
         _print(out["report"])

@@ -151,6 +151,18 @@ def _token_set_edges(values: DataFrame, column: str, min_similarity: float) -> D
     return member.unionByName(similar)
 
 
+def value_groups(df: DataFrame, column: str, method: str = "fuzzy_levenshtein", threshold: float | None = None) -> DataFrame:
+    """``column_name, value, representative, n_rows``: normalised values of one
+    column that are similar to others, each with the smallest value of its
+    group and the number of its rows."""
+    comps = connected_components(similarity_edges(df, [column], method=method, threshold=threshold))
+    values = df.select(normalized(column).alias("value")).filter("value <> ''").groupBy("value").agg(F.count(F.lit(1)).alias("n_rows"))
+    tagged = values.withColumn("node", _node(VALUE, F.lit(column), F.col("value"))).join(comps, "node")
+    least = tagged.groupBy("component").agg(F.min("value").alias("representative"), F.count(F.lit(1)).alias("__n"))
+    out = tagged.join(least.filter(F.col("__n") > 1), "component")
+    return out.select(F.lit(column).alias("column_name"), "value", "representative", "n_rows")
+
+
 def entity_clusters(
     df: DataFrame,
     columns: Sequence[str] = ("name", "email"),

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from twinsift.operators import files as file_ops
 from twinsift.operators.reports import dedup_report
-from twinsift.plans.methods import DEFAULT_KEYS, dedup
+from twinsift.plans.methods import DEFAULT_KEYS, HASH_KEYS, dedup
 from twinsift.plans.sizing import tune_shuffle
 from twinsift.session import cut_lineage
 from twinsift.sources.files import list_files
@@ -74,32 +74,66 @@ def run_sources_job(
     schema: StructType | str,
     keys: Sequence[str] = DEFAULT_KEYS,
     fmt: str = "csv",
+    output_dir: str | None = None,
+    method: str = "exact",
+    skip_prefix: str | None = "deduplicated_",
+    **opts,
 ) -> DataFrame:
-    """Many input files in ONE job: per-file report, earlier outputs skipped,
-    malformed rows counted (``_corrupt_record``) rather than failing."""
+    """Many input files in ONE job: each file is deduplicated in itself by
+    ``method``, and with ``output_dir`` the survivors are written there,
+    partitioned by ``source_file``. Returns the report: one row per file and
+    one, ``(all)``, for their total.
+
+    Files named ``skip_prefix...`` (outputs of earlier runs) are reported as
+    ``skipped`` (None takes them too); a file that can't be read is reported
+    as ``no rows read`` and doesn't end the job; malformed CSV rows are
+    counted in ``corrupt_rows``."""
     st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    if fmt == "csv" and "_corrupt_record" not in st.fieldNames():
+    fields = st.fieldNames()
+    options = {"ignoreCorruptFiles": "true", "ignoreMissingFiles": "true"}
+    if fmt == "csv" and "_corrupt_record" not in fields:
         st = st.add("_corrupt_record", "string")
-    df = read_sources(spark, paths, st, fmt=fmt, columnNameOfCorruptRecord="_corrupt_record")
-    if fmt != "csv":
-        return per_source_report(df, "source_file", keys)
-    # one pass: good rows counted per (file, key), malformed rows per file
-    bad = F.col("_corrupt_record").isNotNull()
-    per_key = df.groupBy("source_file", *[F.when(~bad, F.col(k)).alias(k) for k in keys], bad.alias("__bad")).agg(
-        F.count(F.lit(1)).alias("c")
+        options["columnNameOfCorruptRecord"] = "_corrupt_record"
+    read = read_sources(spark, paths, st, fmt=fmt, skip_prefix=None, **options)
+    listed = spark.createDataFrame([(p,) for p in read.inputFiles()], "listed string").select(_plain("listed").alias("__file")).distinct()
+    base = F.element_at(F.split("__file", "/"), -1)
+    skipped = base.startswith(skip_prefix) if skip_prefix else F.lit(False)
+    if skip_prefix:
+        read = read.filter(~F.element_at(F.split("source_file", "/"), -1).startswith(skip_prefix))
+    bad = F.col("_corrupt_record").isNotNull() if fmt == "csv" else F.lit(False)
+    # the parsed rows are written once; counts and survivors read the copy
+    rows = cut_lineage(read.select(*[c for c in fields if c != "_corrupt_record"], "source_file", bad.alias("__bad"), F.md5("source_file").alias("__source")))
+    good = rows.filter(~F.col("__bad")).drop("__bad")
+    hash_columns = [c for c in opts.pop("hash_columns", HASH_KEYS) if c in good.columns]
+    unique = dedup(good, method, keys=["__source", *keys], hash_columns=["__source", *hash_columns], **opts).drop("__source")
+    if output_dir:
+        unique.write.mode("overwrite").partitionBy("source_file").parquet(output_dir)
+        unique = spark.read.schema(unique.schema).parquet(output_dir)
+    counts = rows.groupBy("source_file").agg(F.count_if(~F.col("__bad")).alias("rows"), F.count_if("__bad").alias("corrupt_rows"))
+    kept = unique.groupBy("source_file").agg(F.count(F.lit(1)).alias("unique_rows"))
+    zero = F.lit(0).cast("bigint")
+    per = (
+        listed.join(counts.withColumn("__file", _plain("source_file")).drop("source_file"), "__file", "left")
+        .join(kept.withColumn("__file", _plain("source_file")).drop("source_file"), "__file", "left")
+        .select(
+            F.col("__file").alias("source_file"),
+            *[F.coalesce(c, zero).alias(c) for c in ("rows", "unique_rows", "corrupt_rows")],
+            F.when(skipped, "skipped").when(F.col("rows").isNull(), "no rows read").otherwise("done").alias("status"),
+        )
     )
-    good_c = F.when(~F.col("__bad"), F.col("c"))
-    total = F.coalesce(F.sum(good_c), F.lit(0))
-    unique = F.count_if(~F.col("__bad"))
-    return per_key.groupBy("source_file").agg(
-        total.cast("bigint").alias("rows"),
-        unique.cast("bigint").alias("unique_rows"),
-        (total - unique).cast("bigint").alias("duplicate_rows"),
-        F.round(F.when(total > 0, (total - unique) * 100.0 / total), 4).alias("duplicate_rate"),
-        F.coalesce(F.sum(F.when(F.col("__bad"), F.col("c"))), F.lit(0)).cast("bigint").alias("corrupt_rows"),
+    total = per.agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in ("rows", "unique_rows", "corrupt_rows")]).select(F.lit("(all)").alias("source_file"), "*", F.lit("done").alias("status"))
+    lost = F.col("rows") - F.col("unique_rows")
+    return per.unionByName(total).select(
+        "source_file", "rows", "unique_rows", lost.alias("duplicate_rows"),
+        F.round(F.when(F.col("rows") > 0, lost * 100.0 / F.col("rows")), 4).alias("duplicate_rate"), "corrupt_rows", "status",
     )
 
 
+def _plain(column: str) -> F.Column:
+    """A file's path, decoded and with one slash after ``file:``."""
+    return F.regexp_replace(F.url_decode(F.regexp_replace(column, r"\+", "%2B")), r"^file:/+", "file:/")
+
+
 def run_file_job(
     spark: SparkSession,
     path: str,

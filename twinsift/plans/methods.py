@@ -70,6 +70,23 @@ def dedup(
     raise ValueError(f"unknown method {method!r}; expected one of {METHODS}")
 
 
+PAIR_METHODS = ("fuzzy_levenshtein", "fuzzy_fuzzywuzzy", "lsh")
+
+
+def similar_values(df: DataFrame, method: str, columns: Sequence[str] = DEFAULT_KEYS, threshold: float | None = None) -> DataFrame:
+    """What a pair method finds, by VALUE and not by row: ``column_name,
+    value, representative, n_rows`` for every value that is similar to others
+    of its column (a chain counts), with the smallest value of its group and
+    the rows that hold it. Its size follows the values, never the row pairs."""
+    from twinsift.operators.clusters import value_groups
+
+    parts = None
+    for c in columns:
+        part = value_groups(df, c, method, threshold)
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
 def compare_methods(df: DataFrame, methods: Sequence[str] = METHODS, **opts) -> DataFrame:
     """One row per method: method, original_count, unique_count,
     duplicates_removed, dedup_rate (%). All methods are counted in one job:
