@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 MAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
-SECRET = r"(?<=(?:token|secret|key|passwd|password)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_\-/+]{16,}"
+SECRET = r"(?<=(?i:token|secret|key|passwd|password)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_\-/+]{16,}"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
 DATE = r"(?<!\d)(?:(?:19|20)\d\d-\d\d-\d\d|\d\d/\d\d/(?:19|20)\d\d|\d\d\.\d\d\.(?:19|20)\d\d)(?!\d)"
 SSN = r"(?<![\d\-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d\-])"
