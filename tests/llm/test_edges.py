@@ -188,8 +188,10 @@ def test_decontamination(spark, docs, none):
         assert r["contaminated"] == bool(r["item_ids"])
     told = "Well, who wrote that long book about whales and about the sea last winter? It was old captain Ahab Melville. I forgot."
     said = "Some words on other things entirely, and a good number of them too, so that nothing is near."
-    more = spark.createDataFrame([(1, told), (2, said), (3, f"{said} {told} {said}")], "doc_id long, text string")
-    assert {r["doc_id"]: r["item_ids"] for r in lsi_decontam.find(more, items).collect()} == {1: [4], 2: [], 3: [4]}
+    plain = [(100 + i, f"In the end that was well and I forgot the last of it, number {i}.") for i in range(60)]  # usual words are usual
+    more = spark.createDataFrame([(1, told), (2, said), (3, f"{said} {told} {said}"), *plain], "doc_id long, text string")
+    found = {r["doc_id"]: r["item_ids"] for r in lsi_decontam.find(more, items).collect()}
+    assert found == {1: [4], 2: [], 3: [4]} | {i: [] for i, _ in plain}
     assert not any(r["contaminated"] for r in lsi_decontam.find(docs, items.limit(0)).collect())
     assert lsi_decontam.find(none, items).count() == 0
     blocks = lsi_decontam.find(docs, items, block=2).collect()

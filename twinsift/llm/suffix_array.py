@@ -331,55 +331,85 @@ def _shared_ends(sides: list[bytes]) -> list[int]:
     for x, y in zip(order, order[1:], strict=False):
         a, b = sides[x], sides[y]
         m = min(len(a), len(b))
-        k = m if a[:m] == b[:m] else next(i for i in range(m) if a[i] != b[i])
-        out[x], out[y] = max(out[x], k), max(out[y], k)
+        differ = int.from_bytes(a[:m], "big") ^ int.from_bytes(b[:m], "big")
+        k = m - (differ.bit_length() + 7) // 8
+        if k > out[x]:
+            out[x] = k
+        if k > out[y]:
+            out[y] = k
     return out
 
 
+def _cuts(texts: list[bytes], gram: int) -> list[tuple[int, int]]:
+    """What of each piece another class can share: it reaches to both sides of
+    the anchor as far as any other piece agrees. Pieces that don't have the
+    anchor just once stay whole."""
+    p = int(_grams(np.frombuffer(texts[0], np.uint8), gram).argmin())
+    anchor = texts[0][p : p + gram]
+    at = [t.find(anchor) for t in texts]
+    if any(p < 0 or t.find(anchor, p + 1) >= 0 for t, p in zip(texts, at, strict=True)):
+        return [(0, len(t)) for t in texts]
+    left = _shared_ends([t[:p][::-1] for t, p in zip(texts, at, strict=True)])
+    right = _shared_ends([t[p + gram :] for t, p in zip(texts, at, strict=True)])
+    return [(p - a, p + gram + b) for p, a, b in zip(at, left, right, strict=True)]
+
+
 def _compare(window: int, gram: int, most: int = 1 << 17):
     """Classes of an anchor (sorted by key) -> the windows that an earlier
-    document has: (key, class, from, to, ord)."""
+    document has: (key, class, from, to, ord). Classes that are equal once
+    they are cut back are one text; a text that is an anchor's only one is
+    settled, the others go to suffix arrays of about ``most`` bytes."""
     names = ["key", "class", "lo", "hi", "ord"]
 
-    def answer(held):
-        got = earliest([h[3] for h in held], [h[4] for h in held], window)
-        out = []
-        for (key, cls, skip, _, own, last, n), best in zip(held, got, strict=True):
-            cut = [0, *(np.flatnonzero(best[1:] != best[:-1]) + 1).tolist(), len(best)]
-            out += [(key, cls, skip + a, skip + b, int(best[a])) for a, b in zip(cut, cut[1:], strict=False) if a < b and best[a] < last]
-            if own < last:  # windows beside the shared part: the class's members have them alone
-                out += [(key, cls, a, b, own) for a, b in ((0, skip), (skip + len(best), n)) if a < b]
-        return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*out, strict=True)], names) if out else None
+    def spans(key, cls, skip, best, own, last, n):
+        cut = [0, *(np.flatnonzero(best[1:] != best[:-1]) + 1).tolist(), len(best)]
+        found = [(key, cls, skip + a, skip + b, int(best[a])) for a, b in zip(cut, cut[1:], strict=False) if a < b and best[a] < last]
+        if own < last:  # windows beside the shared part: the class's members have them alone
+            found += [(key, cls, a, b, own) for a, b in ((0, skip), (skip + len(best), n)) if a < b]
+        return found
+
+    def answer(texts, ids, held):
+        got = earliest(texts, ids, window)
+        return [x for key, cls, skip, t, own, last, n in held for x in spans(key, cls, skip, got[t], own, last, n)]
+
+    def batch(out):
+        return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*out, strict=True)], names)
 
     def run(batches):
-        held, total = [], 0
+        texts, ids, held, total, out = [], [], [], 0, []
         for (key,), t in groups(batches, ["key"]):
-            rows = t.to_pylist()
-            if max(r["n"] for r in rows) <= window - gram + 1:
-                # where a piece has its anchor once: cut back to what another class shares
-                texts = [r["piece"] for r in rows]
-                hashes = [_grams(np.frombuffer(x, np.uint8), gram) for x in texts]
-                at = [int(h.argmin()) for h in hashes]
-                if all(np.count_nonzero(h == h[p]) == 1 for h, p in zip(hashes, at, strict=True)):
-                    left = _shared_ends([x[:p][::-1] for x, p in zip(texts, at, strict=True)])
-                    right = _shared_ends([x[p + gram :] for x, p in zip(texts, at, strict=True)])
-                    cut = [(p - a, p + gram + b) for p, a, b in zip(at, left, right, strict=True)]
+            classes, orders, lasts, ns, pieces = (t[c].to_pylist() for c in ("class", "ord", "last", "n", "piece"))
+            cuts = _cuts(pieces, gram) if max(ns) <= window - gram + 1 else [(0, len(p)) for p in pieces]
+            own: dict[bytes, int] = {}  # text -> smallest id
+            for p, (a, b), o in zip(pieces, cuts, orders, strict=True):
+                if b - a >= window:
+                    x = p[a:b]
+                    own[x] = min(o, own.get(x, o))
+            number = {}
+            if len(own) > 1:
+                for x, o in own.items():
+                    number[x] = len(texts)
+                    texts.append(x)
+                    ids.append(o)
+                    total += len(x) + 1
+            for cls, o, last, n, p, (a, b) in zip(classes, orders, lasts, ns, pieces, cuts, strict=True):
+                x = p[a:b]
+                if x not in own:
+                    out += spans(key, cls, 0, np.zeros(0, np.int64), o, last, n)
+                elif x in number:
+                    held.append((key, cls, a, number[x], o, last, n))
                 else:
-                    cut = [(0, len(x)) for x in texts]
-            else:
-                cut = [(0, len(r["piece"])) for r in rows]
-            for r, (a, b) in zip(rows, cut, strict=True):
-                if b - a < window:
-                    a = b = 0
-                if b or r["ord"] < r["last"]:
-                    held.append((key, r["class"], a, r["piece"][a:b], r["ord"], r["last"], r["n"]))
-                    total += b - a + 1
+                    out += spans(key, cls, a, np.full(b - a - window + 1, own[x]), o, last, n)
             if total >= most:
-                if (got := answer(held)) is not None:
-                    yield got
-                held, total = [], 0
-        if held and (got := answer(held)) is not None:
-            yield got
+                out += answer(texts, ids, held)
+                texts, ids, held, total = [], [], [], 0
+            if len(out) > 50_000:
+                yield batch(out)
+                out = []
+        if texts:
+            out += answer(texts, ids, held)
+        if out:
+            yield batch(out)
 
     return run
 
