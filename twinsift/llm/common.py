@@ -12,10 +12,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The white space that a contract names: blank, tab, newline, VT, FF, CR.
-BLANKS = " \t\n\x0b\x0c\r"
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``. Only a plain local session
     (tests), where every task runs on this machine, gets one of its own."""

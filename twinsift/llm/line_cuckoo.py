@@ -17,8 +17,8 @@ it would be if built from the remaining documents.
 documents hold; what passes is checked against the exact counts, so a false
 positive costs a look-up and never a line.
 
-A line's key is the md5 of the line stripped of ASCII blanks with A-Z in lower
-case; lines under ``least_chars`` code points have none. Null and empty texts
+A line's key is a 128-bit hash of the line stripped of ASCII blanks with A-Z in
+lower case; lines under ``least_chars`` code points have none. Null and empty texts
 are one empty line. Rows with a null id hold no lines (they don't count), but
 lose the lines that enough documents hold. Repeated ids are one document; each
 of its rows loses the same lines. Long texts are split whole. Other columns
@@ -27,27 +27,28 @@ are untouched; new names replace old ones.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinsift.llm.common import BLANKS, groups, stage
+from twinsift.llm.common import groups, stage
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+BLANKS = b" \t\n\x0b\x0c\r"
 SLOTS = 4
 
 
-def key_of(line: str, least_chars: int) -> bytes | None:
-    """The md5 key of a line, or None for a short one."""
+def key_of(line: bytes, least_chars: int) -> bytes | None:
+    """The key of a line of lower-cased UTF-8 bytes, or None for a short one."""
     s = line.strip(BLANKS)
-    if len(s) < least_chars:
+    if len(s) < least_chars or not (s.isascii() or len(s.decode()) >= least_chars):
         return None
-    return hashlib.md5((s.lower() if s.isascii() else s.translate(_LOWER)).encode(), usedforsecurity=False).digest()
+    return xxhash.xxh3_128_digest(s)
 
 
 class Cuckoo:
@@ -88,7 +89,9 @@ class Cuckoo:
             mark, bucket, second = self._put(mark, second, bucket)
             if not len(mark):
                 return True
-            # both buckets full: one of each contested bucket's fingerprints makes room
+            # both buckets full: in the one tried first (for a displaced fingerprint
+            # not the one that it came from) one of each bucket's makes room
+            bucket, second = second, bucket
             _, lead = np.unique(bucket, return_index=True)
             slot = rng.integers(0, SLOTS, len(lead))
             out = self.table[bucket[lead], slot].copy()
@@ -123,7 +126,7 @@ class Cuckoo:
 
 
 def _hash(keys: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """64 bits of the md5 keys, apart from those that choose the shard."""
+    """64 bits of the keys."""
     return np.frombuffer(b"".join(k.as_py() for k in keys), "<u8").reshape(-1, 2)[:, 1].copy()
 
 
@@ -131,7 +134,7 @@ def lines_of(docs: DataFrame, least_chars: int = 40, text: str = "text", id_col:
     """``(doc_id, key)``: the distinct keys of each row's lines."""
 
     def split(texts: pa.Array) -> pa.Array:
-        keys = [list({k for x in set((t.as_py() or "").split("\n")) if (k := key_of(x, least_chars)) is not None}) for t in texts]
+        keys = [list({k for x in (t.as_py() or "").encode().translate(_LOWER).split(b"\n") if (k := key_of(x, least_chars)) is not None}) for t in texts]
         return pa.array(keys, pa.list_(pa.binary()))
 
     found = docs.select(F.col(id_col).alias("doc_id"), F.arrow_udf(split, "array<binary>")(F.col(text).cast("string")).alias("keys"))
@@ -286,21 +289,20 @@ def drop_lines(docs: DataFrame, least_docs: int = 5, least_chars: int = 40, text
     def cut(texts: pa.Array, keys: pa.Array) -> pa.Array:
         out, total, dropped = [], [], []
         for t, k in zip(texts, keys, strict=True):
-            whole = t.as_py() or ""
+            whole, n = t.as_py() or "", 0
             lines = whole.split("\n")
             total.append(len(lines))
             if k.is_valid and len(k.values):
                 gone = set(k.as_py())
-                kept = [x for x in lines if key_of(x, least_chars) not in gone]
+                low = whole.encode().translate(_LOWER).split(b"\n")
+                kept = [x for x, y in zip(lines, low, strict=True) if key_of(y, least_chars) not in gone]
                 whole, n = "\n".join(kept), len(lines) - len(kept)
-            else:
-                n = 0
             out.append(whole)
             dropped.append(n)
         return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(total, pa.int64()), pa.array(dropped, pa.int64())], ["kept", "n_lines", "n_dropped"])
 
     keep = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
-    joined = docs.select(*keep).join(lost, F.col(id_col) == F.col("__id"), "left")
+    joined = docs.select(*keep).join(lost.hint("merge"), F.col(id_col) == F.col("__id"), "left")
     if docs.where(F.col(id_col).isNull()).limit(1).count():
         # rows without an id are compared with all common lines, one group of keys a row
         odd = docs.where(F.col(id_col).isNull()).select(*keep).withColumn("__n", F.monotonically_increasing_id())
