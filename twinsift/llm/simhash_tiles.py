@@ -168,6 +168,6 @@ def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4, text: str = "te
     one id any one stays; groups without any id keep all rows."""
     named = near_duplicates(docs, shingle, radius, text, id_col)
     gone = stage(named.where("doc_id <> component_id or (doc_id is null and component_id is not null)").select(F.col("doc_id").alias("__gone")).distinct(), "simhash-gone")
-    kept = docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+    kept = docs.join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
     repeats = named.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1)
     return kept.dropDuplicates([id_col]) if repeats.count() else kept
