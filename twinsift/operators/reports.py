@@ -75,10 +75,13 @@ def duplicate_overview(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def sampled_overview(df: DataFrame, keys: Sequence[str], fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    """``duplicate_overview`` of a Bernoulli sample (a quick look before a
-    full run). Duplicates are counted within the sample, so the rate
-    understates the full table's for pairs split by the sample."""
-    return duplicate_overview(df.sample(fraction=fraction, seed=seed), keys)
+    """``duplicate_overview`` of a sample of KEYS (a quick look before a full
+    run): all rows of a sampled key are in it, so the rate estimates the
+    table's. The sample follows from the keys' md5 and ``seed``; any engine can
+    draw the same."""
+    whole = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    bucket = F.conv(F.substring(F.md5(whole), 1, 8), 16, 10).cast("bigint") % 10_000
+    return duplicate_overview(df.filter(bucket < round(fraction * 10_000)), keys)
 
 
 def key_quality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
