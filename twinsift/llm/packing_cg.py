@@ -26,6 +26,7 @@ whole and cut. Other columns are ignored; the result has fixed columns.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,34 +39,57 @@ from twinsift.llm.common import stage
 
 # --- tokens -----------------------------------------------------------------
 
-#: Texts with these go to the tokenizer whole: Python splits at some of them and the tokenizer doesn't, or the other way round.
-_ODD = re.compile("[\\x1c-\\x1f\\u180e]|<\\|")
+#: Texts with these go to the tokenizer whole: Python splits or lower-cases some of them differently.
+_ODD = re.compile("[\\x1c-\\x1f\\u03a3\\u0130\\u180e]|<\\|")
+#: Words of these alone (ASCII signs, Latin letters) are cut here the way the vocabulary's file says: runs of
+#: letters, single digits, its English endings, runs of other signs.
+_SAFE = re.compile("[!-~\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f]+")
+_PARTS = re.compile(r"[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)|\d|(?:[^\s\w]|_)+")
+
+
+def _signs() -> dict[int, str]:
+    """The letters that a byte-level vocabulary writes bytes as: printable
+    Latin-1 for itself, the others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}
 
 
 class Words(dict):
-    """White-space separated token -> its ids as bytes. The vocabulary splits
-    at white space first, so a text's ids are those of its words in turn. At
-    most ``most`` words are remembered."""
+    """White-space separated, lower-cased word -> its ids as bytes. The
+    vocabulary splits at white space first, so a text's ids are those of its
+    words in turn. The first ``most`` words met (the frequent ones are among
+    them) and as many parts of words are remembered."""
 
-    def __init__(self, path: str, dtype: str, most: int = 500_000):
+    def __init__(self, path: str, dtype: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.model, self.signs, self.parts = self.tok.model, _signs(), {}
         self.dtype, self.most = dtype, most
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def part(self, part: str) -> bytes:
+        got = self.parts.get(part)
+        if got is None:
+            shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.signs)
+            got = np.array([t.id for t in self.model.tokenize(shown)], self.dtype).tobytes()
+            if len(self.parts) < self.most:
+                self.parts[part] = got
+        return got
+
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        got = self[word] = self.whole(word)
+        got = b"".join(map(self.part, _PARTS.findall(word))) if _SAFE.fullmatch(word) else self.whole(word)
+        if len(self) < self.most:
+            self[word] = got
         return got
 
     def ids(self, text: str) -> bytes:
         if _ODD.search(text):
             return self.whole(text)
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.__getitem__, unicodedata.normalize("NFC", text).lower().split()))
 
 
 _CACHE: dict = {}
