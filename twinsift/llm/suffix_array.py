@@ -199,7 +199,11 @@ def _occurrences(window: int, gram: int, shards: int):
     def flush(held, turn):
         key, cls, doc, order, at, n = (np.concatenate(x) for x in zip(*held, strict=True))
         shard = (mix(key ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(shards)).astype(np.int64)
-        by = np.lexsort((cls, key, shard))
+        # an anchor is known by its shard and 32 bits, its classes by 48 bits: two anchors that fall
+        # together are compared as one, which costs time and changes nothing
+        key = (shard.astype(np.uint64) << np.uint64(32)) | (key & np.uint64(0xFFFFFFFF))
+        cls = cls & np.uint64(0xFFFFFFFFFFFF)
+        by = np.lexsort((cls, key))
         key, cls, doc, order, at, n, shard = (x[by] for x in (key, cls, doc, order, at, n, shard))
         new = np.concatenate([[True], (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])])
         first = np.flatnonzero(new)
@@ -212,6 +216,7 @@ def _occurrences(window: int, gram: int, shards: int):
         class_bounds = np.searchsorted(shard[first], np.arange(shards + 1))
         same = (doc == order).all()
         pack = lambda x, kind: np.ascontiguousarray(x).astype(kind).tobytes()
+        classes = lambda x: pack(x & np.uint64(0xFFFFFFFF), "<u4") + pack(x >> np.uint64(32), "<u2")
         for s in np.unique(shard).tolist():
             a, b = bounds[s], bounds[s + 1]
             pick = np.flatnonzero(single[a:b]) + a
@@ -219,11 +224,11 @@ def _occurrences(window: int, gram: int, shards: int):
             c = c[common[c]]
             lead = _where(order, first[c], count[c])
             head = pack(least[c], "<i8") + pack(key[lead], "<u8") + pack(cls[lead], "<u8") + pack(doc[lead], "<i8") + pack(at[lead], "<u4") + pack(n[lead], "<u2")
-            rows.append((s, False, None, None, pack(doc[pick], "<i8"), b"" if same else pack(order[pick], "<i8"), pack(at[pick], "<u4"), pack(n[pick], "<u2"), pack(key[pick], "<u8"), pack(cls[pick], "<u8"), head, pack(most[c], "<i8")))
+            rows.append((s, False, None, None, _ids_out(doc[pick]), b"" if same else _ids_out(order[pick]), pack(at[pick], "<u4"), pack(n[pick], "<u2"), pack(key[pick] & np.uint64(0xFFFFFFFF), "<u4"), classes(cls[pick]), head, pack(most[c], "<i8")))
         for c in np.flatnonzero(common).tolist():
             x = slice(first[c], first[c] + count[c])
             spread = (int(key[first[c]]) + turn) % shards
-            rows.append((spread, True, int(key[first[c]].view(np.int64)), int(cls[first[c]].view(np.int64)), pack(doc[x], "<i8"), b"" if same else pack(order[x], "<i8"), pack(at[x], "<u4"), pack(n[x], "<u2"), b"", b"", b"", b""))
+            rows.append((spread, True, int(key[first[c]].view(np.int64)), int(cls[first[c]].view(np.int64)), _ids_out(doc[x]), b"" if same else _ids_out(order[x]), pack(at[x], "<u4"), pack(n[x], "<u2"), b"", b"", b"", b""))
         for a in range(0, len(rows), 512):
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows[a : a + 512], strict=True), [pa.int32(), pa.bool_(), pa.int64(), pa.int64(), *[pa.binary()] * 8], strict=True)], names)
 
@@ -252,6 +257,24 @@ def _occurrences(window: int, gram: int, shards: int):
     return run
 
 
+def _ids_out(x: np.ndarray) -> bytes:
+    """Ids as their smallest and what each is above it, in four bytes where
+    that fits and eight elsewhere."""
+    if not len(x):
+        return b""
+    low = int(x.min())
+    wide = int(x.max()) - low >= 1 << 32
+    return np.array([low], "<i8").tobytes() + (x.astype("<i8") if wide else (x - low).astype("<u4")).tobytes()
+
+
+def _ids_in(b: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.int64)
+    if len(b) == 8 + 8 * n:
+        return np.frombuffer(b, "<i8", n, 8)
+    return np.frombuffer(b, "<u4", n, 8).astype(np.int64) + np.frombuffer(b, "<i8", 1)[0]
+
+
 def _where(order: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The row with the smallest order of each class."""
     return np.array([f + int(order[f : f + c].argmin()) for f, c in zip(first.tolist(), count.tolist(), strict=True)], np.int64)
@@ -272,17 +295,19 @@ def _meet(window: int):
         return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(c)) for c in cols), pa.nulls(m, pa.binary())], names)
 
     def run(batches):
-        for _, t in groups(batches, ["shard"]):
+        for (shard,), t in groups(batches, ["shard"]):
             parts, heads = [], []
             for r in t.to_pylist():
-                doc = np.frombuffer(r["doc"], "<i8")
-                order = np.frombuffer(r["ord"], "<i8") if r["ord"] else doc
                 at, n = np.frombuffer(r["at"], "<u4"), np.frombuffer(r["n"], "<u2")
+                doc = _ids_in(r["doc"], len(n))
+                order = _ids_in(r["ord"], len(n)) if r["ord"] else doc
                 if r["common"]:
                     packed = doc.tobytes() + order.tobytes() + at.tobytes() + n.tobytes()
                     yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([3, r["key"], r["class"], None, None, None, len(doc), None, packed], kinds, strict=True)], names)
                     continue
-                parts.append((np.frombuffer(r["keys"], "<u8"), np.frombuffer(r["classes"], "<u8"), doc, order, at, n))
+                key = np.frombuffer(r["keys"], "<u4").astype(np.uint64) | np.uint64(shard << 32)
+                cls = np.frombuffer(r["classes"], "<u4", len(n)).astype(np.uint64) | (np.frombuffer(r["classes"], "<u2", len(n), 4 * len(n)).astype(np.uint64) << np.uint64(32))
+                parts.append((key, cls, doc, order, at, n))
                 m = len(r["most"]) // 8
                 if m:
                     x, f = r["least"], np.frombuffer
