@@ -31,7 +31,7 @@ from twinsift.llm.common import stage
 
 BINS = 1024
 #: Points of the bins in question that the driver may sort instead of asking again, over all nodes.
-FEW = 1 << 16
+FEW = 1 << 12
 
 
 def size_of(text: str = "text") -> Column:
