@@ -12,6 +12,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 1,000 rows and, where the setting exists, 8 MB:
+    with long texts the usual 10,000 rows fill the buffers of a Python worker
+    and of its executor. The setting counts when a plan runs, so it is the
+    session's; results don't depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is not None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``. Only a plain local session
     (tests), where every task runs on this machine, gets one of its own."""

@@ -61,7 +61,7 @@ class Words(dict):
     words in turn. The first ``most`` words met (the frequent ones are among
     them) and as many parts of words are remembered."""
 
-    def __init__(self, path: str, dtype: str, most: int = 400_000):
+    def __init__(self, path: str, dtype: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)

@@ -21,6 +21,7 @@ from twinsift.llm import (
     simhash_tiles,
     suffix_array,
 )
+from twinsift.llm.common import small_batches
 
 PII_KEY = "twinsift-demo-key"  # a production job passes its own secret
 VOCABULARY = 49408
@@ -33,6 +34,7 @@ def vocabulary_path() -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
