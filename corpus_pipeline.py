@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from twinsift.llm import langid_ecoc, line_cuckoo, lsi_decontam, packing_cg, simhash_tiles  # noqa: E402
-from twinsift.llm.common import stage  # noqa: E402
+from twinsift.llm.common import small_batches, stage  # noqa: E402
 from twinsift.llm.queries import VOCABULARY, vocabulary_path  # noqa: E402
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -25,6 +25,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter go: they have no language. Ambiguous ones stay,
     short clean texts are among them."""
+    small_batches(spark)
     model = langid_ecoc.train(docs.where(~langid_ecoc.held_out()))
     return langid_ecoc.identify(docs.select(*COLUMNS), model).where("lang_pred <> 'und'").select(*COLUMNS)
 
@@ -32,23 +33,27 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that five documents hold stay in the last of them; n_chars follows
     the text."""
+    small_batches(spark)
     got = line_cuckoo.drop_lines(docs.select(*COLUMNS))
     return got.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group within four differing bits stays."""
+    small_batches(spark)
     return simhash_tiles.keep_one(docs.select(*COLUMNS), shingle=4, radius=4)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return lsi_decontam.find(docs.select(*COLUMNS), benchmark).where(~F.col("contaminated")).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 tokens, one row a piece."""
+    small_batches(spark)
     return packing_cg.pack(docs.select(*COLUMNS), vocabulary_path(), VOCABULARY)
 
 
