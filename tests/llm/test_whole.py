@@ -66,3 +66,20 @@ def test_passages_between_rare_words(spark):
     got = lsi_decontam.find(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
     assert {r["doc_id"] for r in got if r["item_ids"] == [7]} == set(range(0, 90, 3))
     assert sum(r["contaminated"] for r in got) == 30
+
+
+def test_decontamination_equals_brute_force(spark):
+    items, texts = _benchmark(np.random.default_rng(4))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in lsi_decontam.find(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = _by_force(lsi_decontam.Items(items, np.ones((lsi_decontam.BUCKETS, 2), np.float32), np.ones(lsi_decontam.BUCKETS), 0.8, 0.6), texts)
+    assert sum(map(bool, want.values())) > 100
+    assert got == want
+
+
+def test_paraphrase_among_few_documents(spark):
+    items = spark.createDataFrame([(4, "Who wrote the long book about whales and the sea in winter? It was old captain Ahab Melville.")], "item_id long, text string")
+    told = "Well, who wrote that long book about whales and about the sea last winter? It was old captain Ahab Melville. I forgot."
+    said = "Some words on other things entirely, and a good number of them too, so that nothing is near."
+    docs = spark.createDataFrame([(1, told), (2, said), (3, f"{said} {told} {said}")], "doc_id long, text string")
+    assert {r["doc_id"]: r["item_ids"] for r in lsi_decontam.find(docs, items).collect()} == {1: [4], 2: [], 3: [4]}
