@@ -83,3 +83,13 @@ def test_paraphrase_among_few_documents(spark):
     said = "Some words on other things entirely, and a good number of them too, so that nothing is near."
     docs = spark.createDataFrame([(1, told), (2, said), (3, f"{said} {told} {said}")], "doc_id long, text string")
     assert {r["doc_id"]: r["item_ids"] for r in lsi_decontam.find(docs, items).collect()} == {1: [4], 2: [], 3: [4]}
+
+
+def test_the_basis_does_not_decide():
+    rng = np.random.default_rng(5)
+    items, texts = _benchmark(rng)
+    found = []
+    for _ in range(3):
+        index = lsi_decontam.Items(items, rng.normal(size=(lsi_decontam.BUCKETS, 8)).astype(np.float32), rng.integers(1, 99, lsi_decontam.BUCKETS), 0.8, 0.6)
+        found.append([sorted(g) for _, h, at in lsi_decontam.words_of(pa.array([t for _, t in texts])) for g in index.found(h, at)])
+    assert found[0] == found[1] == found[2] and any(found[0])
