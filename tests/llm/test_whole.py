@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from twinsift.llm import lsi_decontam
+from twinsift.llm import lsi_decontam, suffix_array
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
@@ -93,3 +93,14 @@ def test_the_basis_does_not_decide():
         index = lsi_decontam.Items(items, rng.normal(size=(lsi_decontam.BUCKETS, 8)).astype(np.float32), rng.integers(1, 99, lsi_decontam.BUCKETS), 0.8, 0.6)
         found.append([sorted(g) for _, h, at in lsi_decontam.words_of(pa.array([t for _, t in texts])) for g in index.found(h, at)])
     assert found[0] == found[1] == found[2] and any(found[0])
+
+
+def test_classes_keep_all_bits(monkeypatch):
+    shared = b"a passage of rather more than fifty bytes that both of the documents hold"
+    texts = [b"one beginning, " + shared + b" and its end", b"quite another " + shared + b", then more"]
+    real = suffix_array.xxhash.xxh64_intdigest
+    monkeypatch.setattr(suffix_array.xxhash, "xxh64_intdigest", lambda x: real(x) & 0xFFFF000000000007)  # alike in 48 bits
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([1, 2]), pa.array([t.decode() for t in texts], pa.large_string())], ["doc", "ord", "t"])
+    rows = [r for b in suffix_array._meet(50)(suffix_array._occurrences(50, 20, 1)(iter([batch]))) for r in b.to_pylist()]
+    key = {r["key"] for r in rows if r["kind"] == 1}
+    assert key and all(len({r["class"] for r in rows if r["kind"] == 1 and r["key"] == k}) == 2 for k in key)

@@ -199,10 +199,9 @@ def _occurrences(window: int, gram: int, shards: int):
     def flush(held, turn):
         key, cls, doc, order, at, n = (np.concatenate(x) for x in zip(*held, strict=True))
         shard = (mix(key ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(shards)).astype(np.int64)
-        # an anchor is known by its shard and 32 bits, its classes by 48 bits: two anchors that fall
-        # together are compared as one, which costs time and changes nothing
+        # an anchor is known by its shard and 32 bits: two anchors that fall together are compared as
+        # one, which costs time and changes nothing. Its classes keep all 64 bits: they alone say what is equal
         key = (shard.astype(np.uint64) << np.uint64(32)) | (key & np.uint64(0xFFFFFFFF))
-        cls = cls & np.uint64(0xFFFFFFFFFFFF)
         by = np.lexsort((cls, key))
         key, cls, doc, order, at, n, shard = (x[by] for x in (key, cls, doc, order, at, n, shard))
         new = np.concatenate([[True], (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])])
@@ -216,7 +215,6 @@ def _occurrences(window: int, gram: int, shards: int):
         class_bounds = np.searchsorted(shard[first], np.arange(shards + 1))
         same = (doc == order).all()
         pack = lambda x, kind: np.ascontiguousarray(x).astype(kind).tobytes()
-        classes = lambda x: pack(x & np.uint64(0xFFFFFFFF), "<u4") + pack(x >> np.uint64(32), "<u2")
         for s in np.unique(shard).tolist():
             a, b = bounds[s], bounds[s + 1]
             pick = np.flatnonzero(single[a:b]) + a
@@ -224,7 +222,7 @@ def _occurrences(window: int, gram: int, shards: int):
             c = c[common[c]]
             lead = _where(order, first[c], count[c])
             head = pack(least[c], "<i8") + pack(key[lead], "<u8") + pack(cls[lead], "<u8") + pack(doc[lead], "<i8") + pack(at[lead], "<u4") + pack(n[lead], "<u2")
-            rows.append((s, False, None, None, _ids_out(doc[pick]), b"" if same else _ids_out(order[pick]), pack(at[pick], "<u4"), pack(n[pick], "<u2"), pack(key[pick] & np.uint64(0xFFFFFFFF), "<u4"), classes(cls[pick]), head, pack(most[c], "<i8")))
+            rows.append((s, False, None, None, _ids_out(doc[pick]), b"" if same else _ids_out(order[pick]), pack(at[pick], "<u4"), pack(n[pick], "<u2"), pack(key[pick] & np.uint64(0xFFFFFFFF), "<u4"), pack(cls[pick], "<u8"), head, pack(most[c], "<i8")))
         for c in np.flatnonzero(common).tolist():
             x = slice(first[c], first[c] + count[c])
             spread = (int(key[first[c]]) + turn) % shards
@@ -306,7 +304,7 @@ def _meet(window: int):
                     yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([3, r["key"], r["class"], None, None, None, len(doc), None, packed], kinds, strict=True)], names)
                     continue
                 key = np.frombuffer(r["keys"], "<u4").astype(np.uint64) | np.uint64(shard << 32)
-                cls = np.frombuffer(r["classes"], "<u4", len(n)).astype(np.uint64) | (np.frombuffer(r["classes"], "<u2", len(n), 4 * len(n)).astype(np.uint64) << np.uint64(32))
+                cls = np.frombuffer(r["classes"], "<u8")
                 parts.append((key, cls, doc, order, at, n))
                 m = len(r["most"]) // 8
                 if m:
