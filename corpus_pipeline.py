@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from twinsift.llm import langid_ecoc, line_cuckoo, lsi_decontam, packing_cg, simhash_tiles  # noqa: E402
-from twinsift.llm.common import small_batches, stage  # noqa: E402
+from twinsift.llm.common import small_batches, stage, text_or_empty  # noqa: E402
 from twinsift.llm.queries import VOCABULARY, vocabulary_path  # noqa: E402
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,10 +24,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter go: they have no language. Ambiguous ones stay,
-    short clean texts are among them."""
+    short clean texts are among them, and so do all others where there was no
+    label to learn from."""
     small_batches(spark)
     model = langid_ecoc.train(docs.where(~langid_ecoc.held_out()))
-    return langid_ecoc.identify(docs.select(*COLUMNS), model).where("lang_pred <> 'und'").select(*COLUMNS)
+    lettered = F.col("lang_pred") != "und" if model.langs else text_or_empty().rlike(r"\p{L}")
+    return langid_ecoc.identify(docs.select(*COLUMNS), model).where(lettered).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+import corpus_pipeline
 from twinsift.llm import lsi_decontam, suffix_array
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
@@ -104,3 +105,9 @@ def test_classes_keep_all_bits(monkeypatch):
     rows = [r for b in suffix_array._meet(50)(suffix_array._occurrences(50, 20, 1)(iter([batch]))) for r in b.to_pylist()]
     key = {r["key"] for r in rows if r["kind"] == 1}
     assert key and all(len({r["class"] for r in rows if r["kind"] == 1 and r["key"] == k}) == 2 for k in key)
+
+
+def test_texts_stay_without_a_label(spark):
+    rows = [(k, t, None, "s", 1) for k, t in enumerate(["plain words", "12 34", None, "more words"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").collect()} == {0, 3}
