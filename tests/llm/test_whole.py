@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from twinsift.llm import lsi_decontam, suffix_array
+from twinsift.llm import lsi_decontam, pii_feistel, suffix_array
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
@@ -96,6 +97,30 @@ def test_the_basis_does_not_decide():
     assert found[0] == found[1] == found[2] and any(found[0])
 
 
+def test_cards_beside_other_numbers(spark):
+    card = "4111 1111 1111 1111"
+    texts = [
+        "pay 4111111111111111 123 now", f"row 12 {card} end", f"{card} 123", f"1234 {card} 99 3782 822463 10005",
+        "token=1234567890123456", "key: 1234-5678-9012-3456-78", "12 415-555-2671 99 and 7 123-45-6789 22 33 44", f"{card} 415-555-2671",
+        "1234567890123456", "1 " * 30_000, "12345678901234567890123456",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii_feistel.pseudonymise(docs, "k").collect()}
+    for d in (0, 1, 2, 3, 7):
+        assert "card" in got[d]["kinds"] and card not in got[d]["text"] and card.replace(" ", "") not in got[d]["text"]
+    assert got[3]["n_pii"] == 2 and "822463" not in got[3]["text"]
+    assert got[0]["text"].endswith(" 123 now") and got[0]["text"].startswith("pay ") and got[1]["text"].startswith("row 12 ")
+    assert [got[d]["kinds"] for d in (4, 5)] == [["secret"]] * 2 and "1234567890123456" not in got[4]["text"] and "5678-9012" not in got[5]["text"]
+    assert got[6]["kinds"] == ["phone", "ssn"] and "555-2671" not in got[6]["text"] and "45-6789" not in got[6]["text"]
+    assert got[7]["n_pii"] == 2 and "555-2671" not in got[7]["text"]
+    for d in (8, 9, 10):
+        assert got[d]["n_pii"] == 0 and got[d]["text"] == texts[d]
+    for d, t in enumerate(texts):  # lengths and signs stay
+        assert len(got[d]["text"]) == len(t) and got[d]["text"].translate(str.maketrans("", "", "0123456789")) == t.translate(str.maketrans("", "", "0123456789"))
+    back = pii_feistel.pseudonymise(docs.where("doc_id in (0, 7)").select("doc_id", F.lit("4111 1111 1111 1111").alias("text")), "k")
+    assert pii_feistel.pseudonymise(back, "k", backwards=True).first()["text"] == card
+
+
 def test_classes_keep_all_bits(monkeypatch):
     shared = b"a passage of rather more than fifty bytes that both of the documents hold"
     texts = [b"one beginning, " + shared + b" and its end", b"quite another " + shared + b", then more"]

@@ -5,7 +5,10 @@ keyed Feistel network, so the same value gets the same pseudonym in every
 document, different values get different ones, and the key's owner can invert it:
 
 * payment cards (13 to 19 digits, Luhn): all digits but the last are permuted,
-  the check digit is computed anew; separators stay;
+  the check digit is computed anew; separators stay. Where a row of numbers
+  fails the check as a whole, the cards in it (4-4-4-4, 4-6-5, 4-6-4, 4-3-3-3 or
+  unbroken digits) are found one by one, and dates, telephone and social
+  security numbers beside them;
 * telephone numbers (+country (area) number, or 3-3-4 digits): the digits
   after the country code are permuted, signs stay;
 * social security numbers 3-2-4 (no 000, 666, 9xx area, no zero group);
@@ -39,10 +42,15 @@ SECRET = r"(?<=(?i:token|secret|key|passwd|password)\s{0,3}[=:]\s{0,3}[\"']?)[A-
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
 DATE = r"(?<!\d)(?:(?:19|20)\d\d-\d\d-\d\d|\d\d/\d\d/(?:19|20)\d\d|\d\d\.\d\d\.(?:19|20)\d\d)(?!\d)"
 SSN = r"(?<![\d\-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d\-])"
-CARD = r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)"
+#: Digits with at most one sign between them: a card, or something that holds one.
+RUN = r"(?<!\d)\d(?:[ \-]?\d){12,}+(?!\d)"
+#: The usual groupings of cards, looked for within a run that is none as a whole.
+GROUPED = r"\d{13,19}|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}|\d{4}[ \-]\d{6}[ \-]\d{4,5}|\d{4}[ \-]\d{3}[ \-]\d{3}[ \-]\d{3}"
 PHONE = r"\+\d{1,3}[ .\-]?\(?\d{2,4}\)?(?:[ .\-]?\d{2,4}){2,3}(?!\d)|(?<!\d)\(?\d{3}\)?[ .\-]\d{3}[ .\-]\d{4}(?!\d)"
-KINDS = [("mail", MAIL), ("secret", SECRET), ("ip", IP), ("date", DATE), ("ssn", SSN), ("phone", PHONE), ("card", CARD)]
+KINDS = [("mail", MAIL), ("secret", SECRET), ("ip", IP), ("date", DATE), ("ssn", SSN), ("phone", PHONE), ("card", RUN)]
 ALL = "|".join(f"(?:{p})" for _, p in KINDS)
+ALL_SECRET = "|".join(f"({p})" if k == "secret" else f"(?:{p})" for k, p in KINDS)
+WITHIN = "|".join(f"(?:{p})" for p in (DATE, SSN, PHONE))
 DAYS = 73049  # 1900-01-01 to 2099-12-31
 
 
@@ -187,11 +195,37 @@ def kind_of(m: Column) -> Column:
         .when(whole(DATE), F.when(_day(m).between(0, DAYS - 1), "date"))
         .when(whole(SSN), "ssn")
         .when(whole(PHONE), "phone")
-        .when(whole(CARD), F.when(luhn(_only_digits(m)) == 0, "card"))
+        .when(whole(RUN), F.when(F.length(_only_digits(m)) <= 19, F.when(luhn(_only_digits(m)) == 0, "card")))
         .otherwise("secret")
     )
 
 
+def _cut(m: Column) -> Column:
+    """The pieces of a text between and at dates, social security and telephone
+    numbers, as (m, k); k is null for what is none."""
+    piece = lambda x, k: F.struct(x.alias("m"), k.cast("string").alias("k"))
+    both = lambda a, b: F.array(piece(a, F.lit(None)), piece(F.coalesce(b, F.lit("")), F.when(b.isNotNull(), kind_of(b))))
+    return F.flatten(F.zip_with(F.split(m, WITHIN, -1), F.regexp_extract_all(m, F.lit(f"({WITHIN})"), F.lit(1)), both))
+
+
+def _within(m: Column) -> Column:
+    """The pieces of a run of digits that is no card: cards in one of the usual
+    groupings wherever they start, and what ``_cut`` finds beside them."""
+    tried = F.regexp_extract_all(m, F.lit(rf"(?<!\d)(?=((?:{GROUPED})(?!\d)))"), F.lit(1))
+    kind = "array<struct<m:string,k:string>>"
+    piece = lambda x, k: F.array(F.struct(x.alias("m"), F.lit(k).cast("string").alias("k"))).cast(kind)
+
+    def step(s: Column, c: Column) -> Column:
+        at = F.regexp_instr(s["rest"], F.concat(F.lit(r"(?<!\d)"), c, F.lit(r"(?!\d)")))
+        more = F.concat(s["out"], piece(F.substr(s["rest"], F.lit(1), at - 1), None), piece(c, "card"))
+        taken = F.struct(more.alias("out"), F.substr(s["rest"], at + F.length(c)).alias("rest"))
+        return F.when(at > 0, taken).otherwise(s)  # else it overlaps the card before
+
+    start = F.struct(F.array().cast(kind).alias("out"), m.alias("rest"))
+    pieces = F.aggregate(F.filter(tried, lambda c: luhn(_only_digits(c)) == 0), start, step, lambda s: F.concat(s["out"], piece(s["rest"], None)))
+    return F.flatten(F.transform(pieces, lambda x: F.when(x["k"].isNull(), _cut(x["m"])).otherwise(F.array(x))))
+
+
 def pseudonym(m: Column, kind: Column, key: str, backwards: bool = False) -> Column:
     """The pseudonym of a match of a kind (cards, phones, ssn, ip and dates
     can be turned back)."""
@@ -218,10 +252,20 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", backwards: bool
     found = F.when(likely, F.regexp_extract_all(t, F.lit(f"({ALL})"), F.lit(1)))
     rows = docs.select(*keep, found.alias("__m"))
     rows = rows.withColumn("__k", F.transform("__m", kind_of))
-    rows = rows.withColumn("__p", F.when(F.size("__m") > 0, F.zip_with("__m", "__k", lambda m, k: F.coalesce(pseudonym(m, k, key, backwards), m))))
+    # runs of digits that fail their check: secrets, or runs with other numbers in them
+    odd = F.exists(F.arrays_zip("__m", "__k"), lambda x: x["__k"].isNull() & x["__m"].rlike(f"^{RUN}$"))
+    rows = rows.withColumn("__s", F.when(odd, F.regexp_extract_all(t, F.lit(ALL_SECRET), F.lit(1))))
+
+    def pieces(m: Column, i: Column) -> Column:
+        k = F.get("__k", i)
+        one = lambda k: F.array(F.struct(m.alias("m"), k.alias("k")))
+        return F.when(k.isNotNull() | F.col("__s").isNull(), one(k)).when(F.get("__s", i) != "", one(F.lit("secret"))).when(m.rlike(f"^{RUN}$"), _within(m)).otherwise(one(k))
+
+    rows = rows.withColumn("__t", F.transform("__m", pieces))
+    rows = rows.withColumn("__p", F.when(F.size("__m") > 0, F.transform("__t", lambda x: F.array_join(F.transform(x, lambda y: F.coalesce(pseudonym(y["m"], y["k"], key, backwards), y["m"])), ""))))
     parts = F.split(t, ALL, -1)
     joined = F.when(F.size("__m") > 0, F.array_join(F.zip_with(parts, F.concat("__p", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")).otherwise(t)
-    valid = F.filter("__k", lambda k: k.isNotNull())
+    valid = F.filter(F.transform(F.flatten("__t"), lambda x: x["k"]), lambda k: k.isNotNull())
     return rows.select(
         *[joined.alias(c) if c == text else F.col(c) for c in keep],
         F.coalesce(F.when(F.size("__m") > 0, F.size(valid)), F.lit(0)).cast("long").alias("n_pii"),
