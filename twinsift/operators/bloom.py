@@ -1,16 +1,18 @@
-"""A Bloom filter kept as a table, built, merged and probed with DataFrame
-operations only.
-
-Bit ``p`` (1-based, ``p`` in ``[1, m]``) of the filter lives in row
-``bitmap_bucket_number(p)`` at ``bitmap_bit_position(p)``; each row holds a
-32768-bit bitmap built by ``bitmap_construct_agg``. A key sets the bits
-``pmod(xxhash64(i, key), m) + 1`` for ``i`` in ``1..k``. Filters over the
-same ``(m, k)`` merge with ``bitmap_or_agg``.
-
-The filter's size is ``ceil(m / 32768) * 4096`` bytes whatever the data, so
-it is AQE that broadcasts it to the probe where its measured bytes allow, and
-shuffles by bucket beyond. Probing works on DISTINCT keys, so a hot key costs one
-probe, not millions.
+"""A split-block Bloom filter kept as a table, built, merged and probed with
+DataFrame operations only.
+
+All bits of a key lie in one block of 256 bits, eight words of 32: the key's
+first hash says which block, five bits each of its second hash say which bit
+of a word. A row of the filter is a block, ``(block, w0, w1, w2, w3)`` with
+two words to a long; blocks without a key have no row. So building makes one
+row a key (bits of a block are put together by ``bit_or``, on the map side
+first), and probing joins one row a key with one row of the filter. Filters of
+the same spec merge by ``bit_or`` as well.
+
+The filter has at most ``m / 256`` rows of 40 bytes whatever the data; it is
+AQE that broadcasts it to the probe where its measured bytes allow, and deals
+both by block beyond, evenly, since blocks are hashed. Probing works on
+DISTINCT keys, so a hot key costs one probe, not millions.
 """
 
 from __future__ import annotations
@@ -21,45 +23,75 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS_PER_ROW = 32768
+BLOCK_BITS = 256
+WORDS = 8
+WORD_BITS = BLOCK_BITS // WORDS
+LONGS = ["w0", "w1", "w2", "w3"]
+
+
+def block_fpp(keys_per_block: float, k: int = WORDS) -> float:
+    """False-positive rate of blocks that hold this many keys on average (the
+    keys of a block are Poisson distributed)."""
+    total, p = 0.0, math.exp(-keys_per_block)
+    for i in range(1, int(keys_per_block + 12 * math.sqrt(keys_per_block) + 24)):
+        p *= keys_per_block / i
+        total += p * (1 - (1 - 1 / WORD_BITS) ** i) ** k
+    return total
 
 
 @dataclass(frozen=True)
 class BloomSpec:
-    m: int  # number of bits
-    k: int  # number of hash functions
+    m: int  # number of bits, rounded up to whole blocks
+    k: int = WORDS  # bits a key sets, at most one in each of a block's words
 
     @staticmethod
     def for_items(expected_items: int, fpp: float = 0.01) -> BloomSpec:
-        """Optimal size for ``expected_items`` keys at false-positive rate ``fpp``."""
-        n = max(int(expected_items), 1)
-        m = max(int(math.ceil(-n * math.log(fpp) / (math.log(2) ** 2))), 64)
-        k = max(int(round(m / n * math.log(2))), 1)
-        return BloomSpec(m, k)
+        """The smallest filter for ``expected_items`` keys that keeps the
+        false-positive rate ``fpp``."""
+        low, high = 1e-3, float(BLOCK_BITS)
+        for _ in range(60):
+            mid = (low + high) / 2
+            low, high = (mid, high) if block_fpp(mid) <= fpp else (low, mid)
+        return BloomSpec(max(1, math.ceil(max(int(expected_items), 1) / low)) * BLOCK_BITS)
+
+    @property
+    def blocks(self) -> int:
+        return max(1, -(-self.m // BLOCK_BITS))
+
+    @property
+    def words(self) -> int:
+        return max(1, min(self.k, WORDS))
 
     @property
     def size_bytes(self) -> int:
-        return int(math.ceil(self.m / BITS_PER_ROW)) * (BITS_PER_ROW // 8)
+        return self.blocks * (BLOCK_BITS // 8)
+
+
+def _block(key: Column, spec: BloomSpec) -> Column:
+    return F.pmod(F.xxhash64(F.lit("block"), key), F.lit(spec.blocks)).alias("block")
 
 
-def _positions(key: Column, spec: BloomSpec) -> Column:
-    return F.transform(
-        F.sequence(F.lit(1), F.lit(spec.k)),
-        lambda i: F.pmod(F.xxhash64(i, key), F.lit(spec.m)) + 1,
-    )
+def _masks(key: Column, spec: BloomSpec) -> list[Column]:
+    """The bits of a key in its block, as four longs named like the filter's."""
+    h = F.xxhash64(F.lit("bits"), key)
+
+    def word(i: int) -> Column:
+        if i >= spec.words:
+            return F.lit(0).cast("bigint")
+        bit = F.shiftrightunsigned(h, 5 * i).bitwiseAND(F.lit(WORD_BITS - 1)).cast("int")
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), bit + F.lit(WORD_BITS * (i % 2)))
+
+    return [word(2 * j).bitwiseOR(word(2 * j + 1)).alias(w) for j, w in enumerate(LONGS)]
+
+
+def _union(blocks: DataFrame) -> DataFrame:
+    return blocks.groupBy("block").agg(*[F.bit_or(w).alias(w) for w in LONGS])
 
 
 def build(df: DataFrame, key: str, spec: BloomSpec) -> DataFrame:
-    """Filter table ``(bucket, bits)`` holding every non-NULL key of ``df``."""
-    pos = (
-        df.select(F.col(key).alias("__k"))
-        .filter(F.col("__k").isNotNull())
-        .distinct()  # bits are set once a key, not once a row
-        .select(F.explode(_positions(F.col("__k"), spec)).alias("p"))
-    )
-    return pos.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")
-    )
+    """Filter table holding every non-NULL key of ``df``."""
+    k = F.col(key)
+    return _union(df.filter(k.isNotNull()).select(_block(k, spec), *_masks(k, spec)))
 
 
 def merge(*filters: DataFrame) -> DataFrame:
@@ -67,45 +99,20 @@ def merge(*filters: DataFrame) -> DataFrame:
     out = filters[0]
     for f in filters[1:]:
         out = out.unionByName(f)
-    return out.groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return _union(out)
 
 
-def _bit_set(bits: str, pos: str) -> Column:
-    """Whether bit ``pos`` (LSB first within each byte) of ``bits`` is set."""
-    byte = f"ascii(decode(substring({bits}, CAST({pos} DIV 8 AS INT) + 1, 1), 'ISO-8859-1'))"
-    return F.expr(f"bit_get({byte}, CAST({pos} % 8 AS INT)) = 1")
-
-
-def maybe_keys(
-    df: DataFrame,
-    key: str,
-    bloom: DataFrame,
-    spec: BloomSpec,
-) -> DataFrame:
+def maybe_keys(df: DataFrame, key: str, bloom: DataFrame, spec: BloomSpec) -> DataFrame:
     """The distinct non-NULL keys of ``df`` the filter may contain (false
     positives possible, false negatives never), as one column ``key``."""
-    keys = df.select(F.col(key).alias("__k")).filter(F.col("__k").isNotNull()).distinct()
-    pos = keys.select("__k", F.explode(_positions(F.col("__k"), spec)).alias("p")).select(
-        "__k",
-        F.bitmap_bucket_number("p").alias("bucket"),
-        F.bitmap_bit_position("p").alias("bit"),
-    )
-    return (
-        pos.join(bloom, "bucket", "left")
-        .groupBy("__k")
-        .agg(F.min(F.coalesce(_bit_set("bits", "bit"), F.lit(False)).cast("int")).alias("__hit"))
-        .filter(F.col("__hit") == 1)
-        .select(F.col("__k").alias(key))
-    )
-
-
-def probe(
-    df: DataFrame,
-    key: str,
-    bloom: DataFrame,
-    spec: BloomSpec,
-    flag: str = "maybe_seen",
-) -> DataFrame:
+    keys = df.select(F.col(key).alias("key")).filter(F.col("key").isNotNull()).distinct()
+    asked = keys.select("key", _block(F.col("key"), spec), *[m.alias(f"m{j}") for j, m in enumerate(_masks(F.col("key"), spec))])
+    held = [F.col(w).bitwiseAND(F.col(f"m{j}")) == F.col(f"m{j}") for j, w in enumerate(LONGS)]
+    found = asked.join(bloom, "block").filter(held[0] & held[1] & held[2] & held[3])
+    return found.select(F.col("key").alias(key))
+
+
+def probe(df: DataFrame, key: str, bloom: DataFrame, spec: BloomSpec, flag: str = "maybe_seen") -> DataFrame:
     """``df`` with a boolean ``flag``: True when the key may be in the filter;
     NULL keys are False."""
     hits = maybe_keys(df, key, bloom, spec).withColumn(flag, F.lit(True))
@@ -127,15 +134,16 @@ def surely_new(existing: DataFrame, new: DataFrame, key: str, spec: BloomSpec) -
     return flag_new_rows(existing, new, key, spec).filter(~F.col("maybe_seen")).drop("maybe_seen")
 
 
-def unseen_verified(existing: DataFrame, new: DataFrame, key: str, spec: BloomSpec) -> DataFrame:
+def unseen_verified(existing: DataFrame, new: DataFrame, key: str, spec: BloomSpec, bloom: DataFrame | None = None) -> DataFrame:
     """Bloom prefilter, then an exact check of the 'maybe' keys only. The
-    result equals ``unseen_rows``.
+    result equals ``unseen_rows``. ``bloom`` is the stored filter of the
+    existing keys; without it one is built.
 
     A key the filter rules out is certainly not in ``existing``, so only the
     'maybe' keys need the exact check: the existing keys are cut to them by a
     semi join (AQE broadcasts the maybe-set when its runtime size allows),
     and the new rows are anti-joined with what remains. The existing keys
-    are never shuffled whole; the filter is a bounded table of bitmaps."""
-    maybe = maybe_keys(new, key, build(existing, key, spec), spec)
+    are never shuffled whole; the filter is a bounded table."""
+    maybe = maybe_keys(new, key, build(existing, key, spec) if bloom is None else bloom, spec)
     seen = existing.select(key).join(maybe, key, "left_semi").distinct()
     return new.join(seen, key, "left_anti")
