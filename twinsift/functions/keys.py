@@ -120,3 +120,11 @@ def tokens(col: str | Column) -> Column:
 def digest_bucket(column: str, n: int) -> Column:
     """Bucket 0..n-1 of the value's md5: any engine can compute the same."""
     return F.conv(F.substring(F.md5(F.col(column).cast("string")), 1, 8), 16, 10).cast("bigint") % n
+
+
+def fresh(name: str, *frames) -> str:
+    """A column name that none of the frames has (case-insensitively)."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinsift.functions.keys import checksum
+from twinsift.functions.keys import checksum, fresh
 from twinsift.operators.survivors import keep_one
 
 
@@ -36,13 +36,16 @@ def unseen_rows(
     exists already is seen)."""
     keys = _keys(key)
     seen = existing.select(*keys)
+
+    def matches(other: DataFrame, name: str, of: DataFrame):
+        """``other``'s keys under names that ``of`` lacks, and the join condition."""
+        names = [fresh(f"{name}{i}", of) for i in range(len(keys))]
+        same = [of[k].eqNullSafe(F.col(n)) if null_safe else of[k] == F.col(n) for k, n in zip(keys, names, strict=True)]
+        return other.toDF(*names), same
+
     if reduce_existing:
-        seen = seen.join(new.select(*keys).distinct(), keys, "left_semi")
-    if null_safe:
-        named = seen.distinct().toDF(*[f"__k{i}" for i in range(len(keys))])
-        same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-        return new.join(named, same, "left_anti")
-    return new.join(seen.distinct(), keys, "left_anti")
+        seen = seen.join(*matches(new.select(*keys).distinct(), "__batch", seen), "left_semi")
+    return new.join(*matches(seen.distinct(), "__seen", new), "left_anti")
 
 
 def incremental_report(existing: DataFrame, new: DataFrame, key: str | Sequence[str] = "email") -> DataFrame:
@@ -54,12 +57,13 @@ def incremental_report(existing: DataFrame, new: DataFrame, key: str | Sequence[
     from twinsift.operators.reports import _combine
 
     keys = _keys(key)
-    per_key = existing.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
-    ex = per_key.agg(F.coalesce(F.sum("__c"), F.lit(0)).cast("bigint").alias("existing_rows"))
-    marked = new.select(*keys).join(per_key.select(*keys, F.lit(1).alias("__seen")), keys, "left")
+    count, there = fresh("__c", existing), fresh("__seen", existing, new)
+    per_key = existing.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
+    ex = per_key.agg(F.coalesce(F.sum(count), F.lit(0)).cast("bigint").alias("existing_rows"))
+    marked = new.select(*keys).join(per_key.select(*keys, F.lit(1).alias(there)), keys, "left")
     nw = marked.agg(
         F.count(F.lit(1)).alias("new_rows"),
-        F.count_if(F.col("__seen").isNull()).cast("bigint").alias("unseen_rows"),
+        F.count_if(F.col(there).isNull()).cast("bigint").alias("unseen_rows"),
     )
     both = _combine(ex, nw)
     return both.select(
@@ -81,9 +85,10 @@ def unseen_by_checksum(
 ) -> DataFrame:
     """New rows whose row checksum over ``columns`` is not among the existing
     rows' checksums."""
-    seen = existing.select(checksum(columns, hash_type).alias("__checksum")).distinct()
-    tagged = new.withColumn("__checksum", checksum(columns, hash_type))
-    return tagged.join(seen, "__checksum", "left_anti").drop("__checksum")
+    digest = fresh("__checksum", new)
+    seen = existing.select(checksum(columns, hash_type).alias(digest)).distinct()
+    tagged = new.withColumn(digest, checksum(columns, hash_type))
+    return tagged.join(seen, digest, "left_anti").drop(digest)
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, key: str | Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
