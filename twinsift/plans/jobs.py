@@ -19,7 +19,7 @@ from twinsift.operators.reports import dedup_report
 from twinsift.plans.methods import DEFAULT_KEYS, HASH_KEYS, dedup
 from twinsift.plans.sizing import tune_shuffle
 from twinsift.session import cut_lineage
-from twinsift.sources.files import list_files
+from twinsift.sources.files import list_files, list_paths
 from twinsift.sources.sinks import write_parquet
 from twinsift.sources.tables import read_sources, read_table
 
@@ -95,7 +95,7 @@ def run_sources_job(
         st = st.add("_corrupt_record", "string")
         options["columnNameOfCorruptRecord"] = "_corrupt_record"
     read = read_sources(spark, paths, st, fmt=fmt, skip_prefix=None, **options)
-    listed = spark.createDataFrame([(p,) for p in read.inputFiles()], "listed string").select(_plain("listed").alias("__file")).distinct()
+    listed = list_paths(spark, paths).select(F.col("file_path").alias("__file"))
     base = F.element_at(F.split("__file", "/"), -1)
     skipped = base.startswith(skip_prefix) if skip_prefix else F.lit(False)
     if skip_prefix:

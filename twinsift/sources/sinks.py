@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from twinsift.operators.incremental import unseen_rows
-from twinsift.session import path_exists, scratch_path
+from twinsift.session import path_exists, remove_path, scratch_path
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> str:
@@ -25,15 +25,25 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
 
 def append_unseen(spark: SparkSession, new: DataFrame, target_path: str, key: str | Sequence[str]) -> int:
     """Append to the Parquet table at ``target_path`` only the new rows whose
-    key it does not hold yet; returns the number of rows appended."""
+    key it does not hold yet (NULL is a key like any other); returns the number
+    of rows appended.
+
+    The new rows are written first, so their size is known when the plan is
+    made: the table's keys are cut to theirs where they are read, by a
+    broadcast if that size allows, and are never shuffled whole."""
     if not path_exists(spark, target_path):
         write_parquet(new, target_path)
         return spark.read.parquet(target_path).count()
     stage = scratch_path(spark, "append-stage")
-    write_parquet(unseen_rows(spark.read.parquet(target_path), new, key, reduce_existing=True), stage)
-    staged = spark.read.parquet(stage)
+    write_parquet(new, f"{stage}/new")
+    candidates = spark.read.schema(new.schema).parquet(f"{stage}/new")
+    rows = unseen_rows(spark.read.parquet(target_path), candidates, key, reduce_existing=True, null_safe=True)
+    write_parquet(rows, f"{stage}/rows")
+    staged = spark.read.schema(rows.schema).parquet(f"{stage}/rows")
+    added = staged.count()
     staged.write.mode("append").parquet(target_path)
-    return staged.count()
+    remove_path(spark, stage)
+    return added
 
 
 def write_bucketed(

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
 from twinsift.operators import bloom
-from twinsift.operators.files import hash_files
+from twinsift.operators.files import hash_listed
 from twinsift.operators.incremental import unseen_rows
 from twinsift.operators.survivors import keep_one
 from twinsift.session import path_exists, remove_path
@@ -62,27 +62,29 @@ class SeenTableSink:
         self.keys = list(keys)
         self.order_by = list(order_by)
 
-    def new_rows(self, batch: DataFrame) -> DataFrame:
+    def new_rows(self, batch: DataFrame, batch_id: int = 0) -> DataFrame:
         spark = batch.sparkSession
         fresh = keep_one(batch, self.keys, order_by=self.order_by)
         if path_exists(spark, self.target):
-            fresh = unseen_rows(spark.read.parquet(self.target), fresh, self.keys, reduce_existing=not self.nullable(batch), null_safe=True)
+            # written first: its size is known when the plan is made, so the target's keys are cut to the batch's
+            # where they are read (a broadcast, if that size allows) and only what is left of them is shuffled
+            fresh = self._stage(fresh, batch_id, "candidates")
+            fresh = unseen_rows(spark.read.parquet(self.target), fresh, self.keys, reduce_existing=True, null_safe=True)
         return fresh
 
-    def nullable(self, batch: DataFrame) -> bool:
-        """Whether a key of the batch may be NULL (a semi join would lose it)."""
-        return any(batch.schema[k].nullable for k in self.keys)
+    def _staged(self, batch_id: int) -> str:
+        return f"{self.target}.staged/batch={batch_id}"
 
-    def _stage(self, rows: DataFrame, batch_id: int) -> DataFrame:
-        """Materialise the batch's new rows before touching the target, so the
+    def _stage(self, rows: DataFrame, batch_id: int, name: str) -> DataFrame:
+        """Materialise rows of the batch before touching the target, so the
         append does not read the table it writes."""
-        stage = f"{self.target}.staged/batch={batch_id}"
+        stage = f"{self._staged(batch_id)}/{name}"
         rows.write.mode("overwrite").parquet(stage)
-        return rows.sparkSession.read.parquet(stage)
+        return rows.sparkSession.read.schema(rows.schema).parquet(stage)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self._stage(self.new_rows(batch), batch_id).write.mode("append").parquet(self.target)
-        remove_path(batch.sparkSession, f"{self.target}.staged/batch={batch_id}")
+        self._stage(self.new_rows(batch, batch_id), batch_id, "rows").write.mode("append").parquet(self.target)
+        remove_path(batch.sparkSession, self._staged(batch_id))
 
 
 class BloomSeenTableSink(SeenTableSink):
@@ -105,10 +107,11 @@ class BloomSeenTableSink(SeenTableSink):
         if filt is not None and path_exists(spark, self.target):
             target = spark.read.parquet(self.target).select(self.key)
             # only target keys among the batch's 'maybe' keys are compared; NULL is a key that no filter holds
-            maybe = bloom.maybe_keys(fresh, self.key, filt, self.spec)
+            fresh = self._stage(fresh, batch_id, "candidates")
+            maybe = self._stage(bloom.maybe_keys(fresh, self.key, filt, self.spec), batch_id, "maybe")
             seen = target.join(maybe, self.key, "left_semi").unionByName(target.filter(F.col(self.key).isNull()).limit(1))
             fresh = unseen_rows(seen, fresh, self.key, null_safe=True)
-        rows = self._stage(fresh, batch_id)
+        rows = self._stage(fresh, batch_id, "rows")
         # the filter learns the batch's keys BEFORE they reach the target: a
         # batch replayed in between sees "maybe" and is checked exactly
         added = bloom.build(rows, self.key, self.spec)
@@ -116,7 +119,7 @@ class BloomSeenTableSink(SeenTableSink):
         if version != batch_id:  # a replayed batch finds its version complete
             merged.write.mode("overwrite").parquet(self._version(batch_id))
         rows.write.mode("append").parquet(self.target)
-        remove_path(spark, f"{self.target}.staged/batch={batch_id}")
+        remove_path(spark, self._staged(batch_id))
         if version is not None and version < batch_id:
             remove_path(spark, self._version(version))
 
@@ -129,11 +132,13 @@ class BloomSeenTableSink(SeenTableSink):
 
 
 def file_arrivals(
-    spark: SparkSession, folder: str, hash_type: str = "md5", glob: str | None = None, recursive: bool = False
+    spark: SparkSession, folder: str, hash_type: str = "md5", glob: str | None = None, recursive: bool = False, **options
 ) -> DataFrame:
-    """Stream of arriving files as ``file_path, file_name, file_size,
-    file_hash``; pair with ``SeenTableSink(target, ['file_hash'])``."""
-    return hash_files(stream_files(spark, folder, glob=glob, recursive=recursive), hash_type)
+    """Stream of arriving files (those without bytes too) as ``file_path,
+    file_name, file_size, file_hash``, hashed in chunks on the executors; pair
+    with ``SeenTableSink(target, ['file_hash'])``. ``options`` are those of
+    ``sources.listing``."""
+    return hash_listed(stream_files(spark, folder, glob, recursive, **options), hash_type).drop("error")
 
 
 def run_available(stream: DataFrame, checkpoint: str, sink=None, path: str | None = None, output_mode: str = "append"):
