@@ -22,7 +22,7 @@ OPERATORS = [
     ("python", r"ArrowEvalPython|BatchEvalPython"),
     ("cartesian/NLJ", r"CartesianProduct|NestedLoopJoin"),
 ]
-STREAMING = {"stream_dedup", "stream_seen_table", "stream_bloom_seen_table", "stream_file_arrivals"}
+STREAMING = {"stream_dedup", "stream_seen_table", "stream_bloom_seen_table", "stream_file_arrivals", "stream_keyed_state"}
 
 
 def summarise(plan: str) -> list[int]:

@@ -126,3 +126,51 @@ def test_hll_sweep_rows(spark):
     rows = {r.rsd: r for r in sketches.rsd_sweep(df, "k").collect()}
     assert set(rows) == {"0.01", "0.05", "0.1", "default"}
     assert all(r.exact_count == 1000 and r.error_pct <= 30 for r in rows.values())
+
+
+def test_split_block_filter_keeps_its_false_positive_rate(spark):
+    for fpp in (0.05, 0.01, 0.001):
+        spec = bloom.BloomSpec.for_items(20_000, fpp)
+        assert bloom.block_fpp(20_000 / spec.blocks) <= fpp * 1.01
+        members = spark.range(20_000).select(F.concat(F.lit("in"), "id").alias("key"))
+        others = spark.range(60_000).select(F.concat(F.lit("out"), "id").alias("key"))
+        filt = bloom.build(members, "key", spec)
+        assert filt.count() <= spec.blocks
+        assert bloom.maybe_keys(members, "key", filt, spec).count() == 20_000  # none is missed
+        wrong = bloom.maybe_keys(others, "key", filt, spec).count() / 60_000
+        assert wrong <= fpp + 4 * (fpp / 60_000) ** 0.5, (fpp, wrong)
+
+
+def test_split_block_filter_makes_one_row_a_key(spark):
+    """Neither building nor probing multiplies rows, and both are aggregated on the map side."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spec = bloom.BloomSpec.for_items(1000)
+        keys = spark.range(1000).select(F.col("id").cast("string").alias("key"))
+        plan = bloom.maybe_keys(keys, "key", bloom.build(keys, "key", spec), spec)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "Generate" not in plan and "partial_bit_or" in plan and "SortAggregate" not in plan
+
+
+def test_split_block_filters_merge_and_replay(spark):
+    spec = bloom.BloomSpec.for_items(3000)
+    part = lambda a, b: spark.range(a, b).select(F.col("id").cast("string").alias("key"))
+    rows = lambda f: sorted(tuple(r) for r in f.select("block", *bloom.LONGS).collect())
+    whole = rows(bloom.build(part(0, 3000), "key", spec))
+    one, two = bloom.build(part(0, 2000), "key", spec), bloom.build(part(1500, 3000), "key", spec)
+    assert rows(bloom.merge(one, two)) == whole == rows(bloom.merge(one, two, two, one))
+    found = bloom.unseen_verified(part(0, 2000), part(1500, 3000), "key", spec, one)  # with a stored filter
+    assert found.count() == 1000
+
+
+def test_unseen_rows_with_clashing_names_and_nulls(spark):
+    ex = spark.createDataFrame([("a", 1, "x"), (None, 2, "y"), ("a", 3, "z")], "__seen0 string, __batch0 int, __c string")
+    new = spark.createDataFrame([("a", 5, "q"), (None, 6, "r"), ("b", 7, "s"), ("b", 7, "s")], "__seen0 string, __batch0 int, __c string")
+    for reduce in (False, True):
+        plain = incremental.unseen_rows(ex, new, "__seen0", reduce_existing=reduce)
+        assert sorted(map(str, plain.select("__batch0").collect())) == ["Row(__batch0=6)", "Row(__batch0=7)", "Row(__batch0=7)"]
+        safe = incremental.unseen_rows(ex, new, "__seen0", reduce_existing=reduce, null_safe=True)
+        assert [r[0] for r in safe.select("__batch0").collect()] == [7, 7] and safe.columns == new.columns
+    assert tuple(incremental.incremental_report(ex, new, "__seen0").first()) == (3, 4, 3, 1)
+    assert incremental.unseen_by_checksum(ex, new.withColumn("__checksum", F.lit(1)), ["__seen0"]).count() == 2

@@ -9,7 +9,7 @@ from twinsift.operators import bloom, exact, incremental, survivors
 from twinsift.registry import queries
 from twinsift.sources.tables import load
 
-STREAMING = {"stream_dedup", "stream_seen_table", "stream_bloom_seen_table", "stream_file_arrivals"}
+STREAMING = {"stream_dedup", "stream_seen_table", "stream_bloom_seen_table", "stream_file_arrivals", "stream_keyed_state"}
 
 
 def _plan(df) -> str:

@@ -13,15 +13,18 @@ from pyspark.sql import functions as F
 from twinsift.registry import register
 from twinsift.registry.sqltext import EVENTS_COLUMNS, keep_one_sql
 from twinsift.session import scratch_path
+from twinsift.sources.files import write_files
 from twinsift.sources.tables import load
 from twinsift.operators.bloom import BloomSpec
 from twinsift.streaming.dedup import (
     BloomSeenTableSink,
     SeenTableSink,
+    file_arrivals,
     read_parquet_stream,
     run_available,
     within_watermark,
 )
+from twinsift.streaming.state import first_seen, keyed_state
 
 KEYS = ["user_id", "event_type"]
 ARRIVALS = 4
@@ -68,6 +71,18 @@ def q_stream_seen_table(spark, sf_dir):
     return spark.read.parquet(target).select(*[F.col(c) for c in EVENTS_COLUMNS])
 
 
+@register("stream_keyed_state", keep_one_sql("events", EVENTS_COLUMNS, KEYS, ["ts"], "first"))
+def q_stream_keyed_state(spark, sf_dir):
+    """Keyed state: per key the earliest event passes once, over several
+    batches and restarts; keys are held for a day."""
+    base = scratch_path(spark, "stream-state")
+    with keyed_state(spark):
+        for _ in _arrivals(spark, sf_dir, f"{base}/in"):
+            passed = first_seen(_events_stream(spark, sf_dir, f"{base}/in"), KEYS, ["ts"], ttl_seconds=86_400)
+            run_available(passed, f"{base}/checkpoint", path=f"{base}/out")
+    return spark.read.parquet(f"{base}/out").select(*[F.col(c) for c in EVENTS_COLUMNS])
+
+
 @register("stream_bloom_seen_table", keep_one_sql("events", EVENTS_COLUMNS, ["user_id"], ["ts"], "first"))
 def q_stream_bloom_seen_table(spark, sf_dir):
     """foreachBatch with a Bloom filter of the target's keys as first pass:
@@ -84,23 +99,20 @@ def q_stream_bloom_seen_table(spark, sf_dir):
 
 @register(
     "stream_file_arrivals",
-    "SELECT DISTINCT md5(text || chr(10)) AS file_hash, CAST(strlen(text) + 1 AS BIGINT) AS file_size "
-    "FROM documents WHERE text IS NOT NULL",
+    "SELECT DISTINCT md5(coalesce(text, '')) AS file_hash, CAST(strlen(coalesce(text, '')) AS BIGINT) AS file_size "
+    "FROM documents UNION SELECT md5(''), 0",
 )
 def q_stream_file_arrivals(spark, sf_dir):
-    """Documents arrive as contents in files that hold many of them; each
-    content (a line of text and its newline) is hashed on the executors and
-    kept once."""
+    """Every document arrives as a file of its own, in subfolders and in two
+    batches with a restart between them, each with a marker file without bytes;
+    files are listed and hashed on the executors and a content is kept once."""
     base = scratch_path(spark, "file-arrivals")
-    docs = load(spark, sf_dir, "documents").filter(F.col("text").isNotNull()).select("doc_id", "text")
+    docs = load(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("content"))
     target = f"{base}/target"
     for part in range(2):
-        docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == part).write.mode("append").parquet(f"{base}/landing")
-        content = F.concat(F.col("text"), F.lit("\n"))
-        arriving = read_parquet_stream(spark, f"{base}/landing", docs.schema).select(
-            F.col("doc_id").cast("string").alias("file_path"),
-            F.md5(content).alias("file_hash"),
-            F.octet_length(content).cast("bigint").alias("file_size"),
-        )
-        run_available(arriving, f"{base}/checkpoint", sink=SeenTableSink(target, ["file_hash"], ["file_path"]))
+        arriving = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == part)
+        folder = F.pmod(F.xxhash64("doc_id"), F.lit(16)).cast("string")
+        write_files(arriving, f"{base}/landing", F.concat(F.lit("part-"), folder, F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")), "content")
+        write_files(spark.range(1), f"{base}/landing", F.lit(f"arrived-{part}"), F.lit(None).cast("binary"))
+        run_available(file_arrivals(spark, f"{base}/landing", recursive=True), f"{base}/checkpoint", sink=SeenTableSink(target, ["file_hash"], ["file_path"]))
     return spark.read.parquet(target).select("file_hash", "file_size")
