@@ -1,9 +1,10 @@
 """SentencePiece BPE encoding and decoding in vectorised merge rounds.
 
-A text becomes words (a run of blank marks and what follows it; no piece of
-the vocabulary goes beyond one, which is checked when it is loaded). The words
-of a batch that were not met before are laid out as one flat numpy array of
-symbols. A round finds the smallest pair rank of every word (a segmented
+A text becomes words: it is cut where no piece of the vocabulary can go on,
+which is before a run of blank marks, around ASCII signs that are next to no
+other in any piece, and between letters and a sign that follows letters in
+none (all read off the vocabulary when it is loaded). The words of a batch that
+were not met before are laid out as one flat numpy array of symbols. A round finds the smallest pair rank of every word (a segmented
 minimum), merges that pair wherever it occurs in the word, leftmost first
 where occurrences overlap, and compacts the array; words without a pair left
 leave it. Where a merged piece can at once take part in a pair of no larger
@@ -26,6 +27,8 @@ from __future__ import annotations
 
 import heapq
 import re
+import string
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +38,6 @@ from pyspark.sql import functions as F
 from twinsift.llm.common import text_or_empty
 
 MARK = "▁"
-_WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Symbols that are no piece: this plus their code point.
 OTHER = 1 << 20
 _WIDTH = 1 << 22
@@ -88,11 +90,10 @@ class Pieces:
                         soonest[part] = min(r, soonest.get(part, r))
         self.pairs = pairs
         self.near = np.array(sorted(near), np.int64)
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.made = np.array([pairs[k][0] for k in self.keys.tolist()], np.int64)
+        self.word = self._cuts({a + b for p in ids for a, b in zip(p, p[1:], strict=False)})
         # rank, and in the lowest bit whether only the leftmost occurrence may be merged
         alone = {i: soonest.get(p, 1 << 40) <= ranks[score[p]] for p, i in ids.items()}
-        self.rank = np.array([2 * pairs[k][1] + alone[pairs[k][0]] for k in self.keys.tolist()], np.int64)
+        self._store([(k, 2 * r + alone[i], i) for k, (i, r) in pairs.items()])
         # decoding: the bytes of every id
         shown = [b"" if lib.is_control(i) else " ⁇ ".encode() if lib.is_unknown(i) else bytes([int(names[i][3:5], 16)]) if lib.is_byte(i) else names[i].replace(MARK, " ").encode() for i in range(n)]
         self.size = np.array([len(b) for b in shown], np.int64)
@@ -103,15 +104,51 @@ class Pieces:
         self.marked = np.array([p in ids and p.startswith(MARK) for p in names])
         self.ids: dict[str, bytes] = {}
 
+    @staticmethod
+    def _cuts(inside: set[str]) -> re.Pattern:
+        """Words as a pattern; ``inside`` are the pairs of characters that some piece holds."""
+        signs = [chr(c) for c in range(128) if chr(c) not in string.ascii_letters]
+        held = set("".join(inside))
+        alone = [c for c in signs if c not in held]
+        after = [c for c in signs if c in held and not any(a + c in inside for a in string.ascii_letters)]
+        alone, after = ("".join(map(re.escape, x)) for x in (alone, after))
+        parts = [f"{MARK}+[A-Za-z]++(?![^{MARK}{after}{alone}])"]
+        parts += [f"[{alone}]"] if alone else []
+        return re.compile("|".join([*parts, f"{MARK}+[^{MARK}{alone}]*", f"[^{MARK}{alone}]+"]))
+
+    def _store(self, pairs: list[tuple[int, int, int]]) -> None:
+        """The pairs (key, rank, piece) as a table of open addresses."""
+        self.bits = max(4, (4 * len(pairs)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.rank = np.full(1 << self.bits, NONE)
+        self.made = np.zeros(1 << self.bits, np.int64)
+        key, rank, made = (np.array(x, np.int64) for x in (zip(*pairs, strict=True) if pairs else ((), (), ())))
+        slot, left = self._slot(key), np.arange(len(key))
+        while len(left):
+            free = left[self.keys[slot[left]] < 0]
+            _, first = np.unique(slot[free], return_index=True)
+            won = free[first]
+            self.keys[slot[won]], self.rank[slot[won]], self.made[slot[won]] = key[won], rank[won], made[won]
+            left = np.setdiff1d(left, won)
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+
     # --- encoding ---------------------------------------------------------
 
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
     def _look(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (``NONE`` if there is no such pair) and merged piece."""
-        if not len(self.keys):
-            return np.full(len(a), NONE), np.zeros(len(a), np.int64)
         key = a * _WIDTH + b
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.rank[at], NONE), self.made[at]
+        slot = self._slot(key)
+        there = self.keys[slot]
+        lost = np.flatnonzero((there != key) & (there >= 0))  # the slot is another's: look on
+        while len(lost):
+            slot[lost] = (slot[lost] + 1) & ((1 << self.bits) - 1)
+            found = self.keys[slot[lost]]
+            there[lost] = found
+            lost = lost[(found != key[lost]) & (found >= 0)]
+        return np.where(there == key, self.rank[slot], NONE), self.made[slot]
 
     def rounds(self, symbols: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merge until no pair remains. ``word`` (ascending) says which word a
@@ -217,57 +254,58 @@ class Pieces:
     def learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids (little-endian unsigned 32-bit) of words, in rounds over all of them."""
         got: dict[str, bytes] = {}
-        for word in (w for w in words if len(w) > LONG):
-            sym = self._long(self.char[np.frombuffer(word.encode("utf-32-le"), "<u4")])
-            got[word] = self._as_ids(sym, np.zeros(len(sym), np.int64))[0].astype("<u4").tobytes()
-        short = [w for w in words if len(w) <= LONG]
-        if short:
-            flat = self.char[np.frombuffer("".join(short).encode("utf-32-le"), "<u4")]
-            ids, of = self._as_ids(*self.rounds(flat, np.repeat(np.arange(len(short)), [len(w) for w in short])))
+        if max(map(len, words), default=0) > LONG:
+            for word in (w for w in words if len(w) > LONG):
+                sym = self._long(self.char[np.frombuffer(word.encode("utf-32-le"), "<u4")])
+                got[word] = self._as_ids(sym, np.zeros(len(sym), np.int64))[0].astype("<u4").tobytes()
+            words = [w for w in words if len(w) <= LONG]
+        if words:
+            flat = self.char[np.frombuffer("".join(words).encode("utf-32-le"), "<u4")]
+            size = np.fromiter(map(len, words), np.int64, len(words))
+            ids, of = self._as_ids(*self.rounds(flat, np.repeat(np.arange(len(words)), size)))
             raw = ids.astype("<u4").tobytes()
-            ends = (4 * np.cumsum(np.bincount(of, minlength=len(short)))).tolist()
-            got.update(zip(short, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+            ends = (4 * np.cumsum(np.bincount(of, minlength=len(words)))).tolist()
+            got.update(zip(words, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
         return got
 
     def words(self, text: str) -> list[str]:
         if not text:
             return []
-        return _WORD.findall(MARK + text.replace(" ", MARK) if self.plain else self.lib.normalize(text))
+        return self.word.findall(MARK + text.replace(" ", MARK) if self.plain else self.lib.normalize(text))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as bytes, without begin and end."""
         out: list[bytes] = []
-        cut = [self.words(t) for t in texts]
-        i = 0
-        while i < len(cut):
-            # texts whose new words fill one layout; a longer text goes alone, its words in several layouts
-            new: dict[str, None] = {}
+        known, i = self.ids, 0
+        while i < len(texts):
             size, j = 0, i
-            while j < len(cut) and (j == i or size < FLAT):
-                for w in set(cut[j]).difference(self.ids):
-                    if w not in new:
-                        new[w] = None
-                        size += len(w)
+            while j < len(texts) and (j == i or size + len(texts[j]) < FLAT):
+                size += len(texts[j])
                 j += 1
+            cut = [self.words(t) for t in texts[i:j]]
+            new = list(set(chain.from_iterable(cut)).difference(known))
             fresh: dict[str, bytes] = {}
-            part, held = [], 0
-            for w in new:
-                part.append(w)
-                held += len(w)
-                if held >= FLAT:
-                    fresh |= self.learn(part)
-                    part, held = [], 0
-            fresh |= self.learn(part)
-            known = self.ids
+            for part in self._layouts(new):
+                fresh |= self.learn(part)
             known.update(fresh)
-            out.extend(b"".join(map(known.__getitem__, words)) for words in cut[i:j])
-            full = len(known) > KEPT
-            for w in fresh:
-                if full or len(w) > 64:
+            out.extend(b"".join(map(known.__getitem__, words)) for words in cut)
+            if len(known) > KEPT:
+                for w in fresh:
+                    del known[w]
+            else:  # long words take room and seldom come again
+                for w in [w for w in fresh if len(w) > 64]:
                     del known[w]
             i = j
         return out
 
+    @staticmethod
+    def _layouts(words: list[str]) -> list[list[str]]:
+        """Words in parts of about ``FLAT`` symbols."""
+        total = np.cumsum(np.fromiter(map(len, words), np.int64, len(words))) if words else np.zeros(0, np.int64)
+        cuts = np.flatnonzero(np.diff(total // FLAT)) + 1
+        ends = [*cuts.tolist(), len(words)]
+        return [words[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True) if b > a]
+
     # --- decoding ---------------------------------------------------------
 
     def decode(self, rows: list[bytes]) -> list[str]:
