@@ -3,9 +3,11 @@ document columns, and the packed streams that Python tasks exchange."""
 
 from __future__ import annotations
 
+import inspect
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +64,45 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def own_names(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator's passing columns begin with two underscores. Columns of its
+    first argument that do so too are called otherwise while it runs, and get
+    their names back in the result."""
+    spec = inspect.signature(f)
+
+    @wraps(f)
+    def run(docs: DataFrame, *args, **how) -> DataFrame:
+        odd = [c for c in docs.columns if c.startswith("__")]
+        if not odd:
+            return f(docs, *args, **how)
+        taken, other = {c.lower() for c in docs.columns}, {}
+        for c in odd:
+            name = f"input{c}"
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+            other[c] = name
+        given = spec.bind(docs.withColumnsRenamed(other), *args, **how)
+        for k in ("text", "id_col"):
+            if k in given.arguments:
+                given.arguments[k] = other.get(given.arguments[k], given.arguments[k])
+        if "metadata" in given.arguments:
+            given.arguments["metadata"] = tuple(other.get(c, c) for c in given.arguments["metadata"])
+        return f(*given.args, **given.kwargs).withColumnsRenamed({n: c for c, n in other.items()})
+
+    return run
+
+
+def values(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table of plain values that the plan itself holds, so that no
+    Python runs for it on the executors (numbers, booleans, names, None)."""
+    columns = [c.split() for c in schema.split(", ")]
+    cell = lambda v, t: f"CAST({'NULL' if v is None else repr(v).upper() if isinstance(v, bool) else repr(v)} AS {t})"
+    told = [f"({', '.join(cell(v, t) for v, (_, t) in zip(r, columns, strict=True))})" for r in rows or [(None,) * len(columns)]]
+    got = spark.sql(f"SELECT * FROM VALUES {', '.join(told)} AS t({', '.join(n for n, _ in columns)})")
+    return got if rows else got.where("false")
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string array, and where each text starts and ends
     (nulls are empty). No copy is made."""

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from twinsift.llm.common import stage
+from twinsift.llm.common import own_names, stage, values
 
 BINS = 1024
 #: Points of the bins in question that the driver may sort instead of asking again, over all nodes.
@@ -54,7 +54,7 @@ def _split_points(points: DataFrame, nodes: dict[int, dict]) -> None:
     while open_:
         for s in open_.values():
             s["step"] = max(1, -(-(s["hi"] - s["lo"] + 1) // BINS))
-        asked = spark.createDataFrame([(k, s["tied"], s["at"], s["lo"], s["hi"], s["step"]) for k, s in open_.items()], "node long, tied boolean, at long, lo long, hi long, step long")
+        asked = values(spark, [(k, s["tied"], s["at"], s["lo"], s["hi"], s["step"]) for k, s in open_.items()], "node long, tied boolean, at long, lo long, hi long, step long")
         key = F.when(F.col("tied"), F.col("tie")).otherwise(F.col("x"))
         inside = key.between(F.col("lo"), F.col("hi")) & (~F.col("tied") | (F.col("x") == F.col("at")))
         met = points.select("node", "x", "tie", "w").join(F.broadcast(asked), "node").where(inside)  # one row a node of the tree
@@ -82,7 +82,7 @@ def _split_points(points: DataFrame, nodes: dict[int, dict]) -> None:
                 s |= {"tied": True, "at": s["lo"], "lo": 0, "hi": (1 << 60) - 1}
         if not few:
             continue
-        wanted = spark.createDataFrame([(k, open_[k]["tied"], open_[k]["at"], a, b) for k, (a, b) in few.items()], "node long, tied boolean, at long, lo long, hi long")
+        wanted = values(spark, [(k, open_[k]["tied"], open_[k]["at"], a, b) for k, (a, b) in few.items()], "node long, tied boolean, at long, lo long, hi long")
         rows: dict[int, list] = {}
         for r in points.select("node", "x", "tie", "w").join(F.broadcast(wanted), "node").where(inside).select("node", "x", "tie", "w").collect():
             rows.setdefault(r[0], []).append(tuple(r[1:]))
@@ -100,16 +100,16 @@ def _split_points(points: DataFrame, nodes: dict[int, dict]) -> None:
 
 def assign(points: DataFrame, shards: int | None, target_bytes: int | None, dims: list[str]) -> tuple[DataFrame, int]:
     """``points(tie, w, <dims>)`` -> points with ``shard``, and how many."""
-    total = points.agg(F.sum("w")).first()[0] or 0
-    shards = shards or max(1, -(-total // max(1, target_bytes or 1)))
-    points = points.withColumn("node", F.lit(0).cast("long")).withColumn("shard", F.lit(None).cast("int"))
+    points = stage(points.withColumn("node", F.lit(0).cast("long")).withColumn("shard", F.lit(None).cast("int")), "points")
+    if not shards:
+        shards = max(1, -(-(points.agg(F.sum("w")).first()[0] or 0) // max(1, target_bytes or 1)))
     extent = None
     todo = {0: (0, shards)}  # node -> (first shard, shards)
     while todo:
         done = {k: v for k, v in todo.items() if v[1] == 1}
         todo = {k: v for k, v in todo.items() if v[1] > 1}
         rows = [(k, v[0], v[1]) for k, v in {**done, **todo}.items()]
-        plan = points.sparkSession.createDataFrame([(k, a) for k, a, n in rows if n == 1], "node long, leaf int")
+        plan = values(points.sparkSession, [(k, a) for k, a, n in rows if n == 1], "node long, leaf int")
         points = points.join(F.broadcast(plan), "node", "left").withColumn("shard", F.coalesce("shard", "leaf")).drop("leaf")
         if not todo:
             break
@@ -127,19 +127,19 @@ def assign(points: DataFrame, shards: int | None, target_bytes: int | None, dims
             following |= {2 * k + 1: (a, half), 2 * k + 2: (a + half, n - half)}
         if not nodes:
             break
-        chosen = points.sparkSession.createDataFrame([(k, n["dim"]) for k, n in nodes.items()], "node long, dim string")
+        chosen = values(points.sparkSession, [(k, n["dim"]) for k, n in nodes.items()], "node long, dim string")
         x = F.coalesce(*[F.when(F.col("dim") == c, F.col(c)) for c in dims])
         flat = live.join(F.broadcast(chosen), "node").select("node", x.alias("x"), "tie", "w")
         _split_points(flat, nodes)
         # a heavy point that a cut ran into goes left as a whole, and the cut is made anew without it
         heavy = {k: n["last"] for k, n in nodes.items() if n["error"] > 0.002 * n["goal"]}
         if heavy:
-            apart = points.sparkSession.createDataFrame([(k, v, t) for k, (v, t, _) in heavy.items()], "node long, hx long, htie long")
+            apart = values(points.sparkSession, [(k, v, t) for k, (v, t, _) in heavy.items()], "node long, hx long, htie long")
             others = flat.join(F.broadcast(apart), "node").where(~((F.col("x") == F.col("hx")) & (F.col("tie") == F.col("htie")))).select("node", "x", "tie", "w")
             again = {k: nodes[k] | {"goal": nodes[k]["goal"] - heavy[k][2]} for k in heavy}
             _split_points(others, again)
             nodes |= again
-        cuts = points.sparkSession.createDataFrame([(k, n["dim"], n["value"], n["tie"], *heavy.get(k, (None, None))[:2]) for k, n in nodes.items()], "node long, dim string, at long, cut long, hx long, htie long")
+        cuts = values(points.sparkSession, [(k, n["dim"], n["value"], n["tie"], *heavy.get(k, (None, None))[:2]) for k, n in nodes.items()], "node long, dim string, at long, cut long, hx long, htie long")
         left = (x < F.col("at")) | ((x == F.col("at")) & (F.col("tie") <= F.col("cut"))) | F.coalesce((x == F.col("hx")) & (F.col("tie") == F.col("htie")), F.lit(False))
         moved = points.join(F.broadcast(cuts), "node", "left").withColumn("node", F.when(F.col("dim").isNull() | F.col("shard").isNotNull(), F.col("node")).otherwise(2 * F.col("node") + F.when(left, 1).otherwise(2)))
         points = stage(moved.drop("dim", "at", "cut", "hx", "htie"), "kd")
@@ -147,6 +147,7 @@ def assign(points: DataFrame, shards: int | None, target_bytes: int | None, dims
     return points, shards
 
 
+@own_names
 def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, text: str = "text", id_col: str = "doc_id", metadata: tuple[str, ...] = ("source", "lang", "n_chars")) -> DataFrame:
     """``docs`` with ``size``, ``text_crc32``, ``law`` (``bytes``), ``shard``,
     ``slot`` (gapless from 0 in each shard) and ``grown_shard`` (null)."""
@@ -162,7 +163,7 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     rows = stage(sized.select(*rest, "__size", "__crc", "__sha", *[c.alias(n) for n, c in dims.items()]), "sized")
     groups = rows.groupBy("__sha").agg(F.sum("__size").alias("w"), *[F.min(n).alias(n) for n in dims])
     # 62 bits of the hash are the tie; the whole hash stays the key
-    points = stage(groups.withColumn("tie", F.conv(F.substring("__sha", 1, 15), 16, 10).cast("long")), "points")
+    points = groups.withColumn("tie", F.conv(F.substring("__sha", 1, 15), 16, 10).cast("long"))
     placed, _ = assign(points, shards, target_bytes, list(dims))
     got = rows.join(placed.select("__sha", F.coalesce("shard", F.lit(0)).alias("__shard")), "__sha")
     # slots: places before a row's bucket, and its place in the bucket
