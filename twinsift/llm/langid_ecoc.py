@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinsift.llm.common import buffers, remainder, slices, text_or_empty
+from twinsift.llm.common import buffers, own_names, remainder, slices, text_or_empty
 
 BUCKETS = 4096
 #: ASCII letters in lower case, other ASCII as blanks, everything beyond as it is.
@@ -136,6 +136,7 @@ def predictor(model: Model):
     return F.arrow_udf(predict, "lang string, score double, lead double")
 
 
+@own_names
 def identify(docs: DataFrame, model: Model, text: str = "text", least_lead: float = 0.1) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``ambiguous``."""
     letters = text_or_empty(text).rlike(r"\p{L}")

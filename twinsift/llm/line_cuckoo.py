@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinsift.llm.common import groups, stage
+from twinsift.llm.common import groups, own_names, stage
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -277,6 +277,7 @@ def _counts(postings: DataFrame, shards: int) -> DataFrame:
     return postings.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc")).select(_shard(shards).alias("shard"), "key", "n_docs", "last_doc")
 
 
+@own_names
 def drop_lines(docs: DataFrame, least_docs: int = 5, least_chars: int = 40, text: str = "text", id_col: str = "doc_id", shards: int | None = None) -> DataFrame:
     """``docs`` with ``text`` without the repeated lines, and ``n_lines``
     (before) and ``n_dropped``. A line that ``least_docs`` documents hold

@@ -36,6 +36,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from twinsift.llm.common import own_names
+
 ROUNDS = 8
 MAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
 SECRET = r"(?<=(?i:token|secret|key|passwd|password)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_\-/+]{16,}"
@@ -242,6 +244,7 @@ def pseudonym(m: Column, kind: Column, key: str, backwards: bool = False) -> Col
     )
 
 
+@own_names
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", backwards: bool = False) -> DataFrame:
     """``docs`` with pseudonyms in ``text``, ``n_pii`` and ``kinds``."""
     if not key:

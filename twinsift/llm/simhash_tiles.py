@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinsift.llm.common import groups, stage, text_or_empty
+from twinsift.llm.common import groups, own_names, stage, text_or_empty
 from twinsift.llm.components import components
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -163,6 +163,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, text: st
     return got.select("doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@own_names
 def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose id names its group. Of repeated rows with
     one id any one stays; groups without any id keep all rows."""

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinsift.llm.common import buffers, fresh, groups, mix, stage
+from twinsift.llm.common import buffers, fresh, groups, mix, own_names, stage
 
 LATE = (1 << 63) - 1
 RUN = 4096  # windows of a piece, at most
@@ -440,6 +440,7 @@ def _compare(window: int, gram: int, most: int = 1 << 17):
 # --- the operator -----------------------------------------------------------
 
 
+@own_names
 def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 20, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with the bytes that stay in ``kept`` (binary: a cut can fall
     into a character), ``n_bytes``, ``n_removed``, ``n_spans`` and ``spans``
