@@ -7,6 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from twinsift.operators import bloom, incremental, sketches
+from twinsift.operators.keytable import KeyTable
 from twinsift.plans import sizing
 
 
@@ -174,3 +175,49 @@ def test_unseen_rows_with_clashing_names_and_nulls(spark):
         assert [r[0] for r in safe.select("__batch0").collect()] == [7, 7] and safe.columns == new.columns
     assert tuple(incremental.incremental_report(ex, new, "__seen0").first()) == (3, 4, 3, 1)
     assert incremental.unseen_by_checksum(ex, new.withColumn("__checksum", F.lit(1)), ["__seen0"]).count() == 2
+
+
+def test_key_table_is_not_moved(spark):
+    """The plan of a batch has no exchange on the table's side, however many files the buckets have."""
+    rows = lambda a, b: spark.range(a, b).select(F.concat(F.lit("k"), "id").alias("k"), (F.col("id") % 7).cast("int").alias("g"), F.col("id").alias("v"))
+    table = KeyTable.create(rows(0, 5000), ["k", "g"], buckets=8)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for c, v in zip(before, ("false", "-1"), strict=True):
+            spark.conf.set(c, v)
+        for step in range(3):
+            plan = table.unseen(rows(4000, 7000))._jdf.queryExecution().executedPlan().toString()
+            scan = next(x for x in plan.splitlines() if "FileScan" in x)
+            assert "Bucketed: true" in scan and table.table in scan
+            above = plan[plan.index("LeftSemi") : plan.index(scan)].split("FileScan")[0].splitlines()
+            depth = scan.index("FileScan")
+            # walk up from the scan to the join: filter, project, sort, but no exchange
+            path = []
+            for line in reversed(above):
+                here = len(line) - len(line.lstrip(" :+-*"))
+                if here < depth:
+                    depth = here
+                    path.append(line)
+            assert path and not any("Exchange" in line for line in path), (step, path)
+            if step == 0:
+                assert table.unseen(rows(4000, 7000)).count() == 2000
+                table.add(rows(4000, 6000))
+                table.add(rows(4000, 6000))  # again: nothing new
+                assert table.read().count() == 6000 and table.unseen(rows(4000, 7000)).count() == 1000
+            elif step == 1:
+                table.compact()
+                assert table.read().count() == 6000 and table.unseen(rows(4000, 7000)).count() == 1000
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
+def test_key_table_and_nulls(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), ("b", None)], "k string, g int")
+    table = KeyTable.create(rows, ["k", "g"], buckets=2)
+    assert table.read().count() == 1
+    new = spark.createDataFrame([("a", 1, "x"), (None, 2, "y"), ("b", None, "z"), ("c", 3, "w"), ("c", 3, "w")], "k string, g int, __seen0 string")
+    got = table.unseen(new)
+    assert sorted(r["__seen0"] for r in got.collect()) == ["w", "w", "y", "z"] and got.columns == new.columns
+    empty = KeyTable.create(rows.limit(0), ["k"], buckets=2)
+    assert empty.unseen(new.select("k")).count() == 5

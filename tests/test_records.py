@@ -221,3 +221,58 @@ def test_unknown_method_raises(sample):
 def test_fuzzy_resolve_merges_similar_records(sample):
     out = dedup(sample, "fuzzy_levenshtein", resolve=True)
     assert ids(out) == ["ID1", "ID3", "ID6"]
+
+
+def test_late_dedup_equals_exact(spark):
+    from twinsift.operators import exact
+
+    rows = [(1, "a", 0.0, [1.0]), (2, "a", -0.0, [1.0]), (3, None, None, None), (4, None, None, None), (5, "b", float("nan"), []), (6, "b", float("nan"), []), (7, "c", 1.0, [2.0]), (7, "c", 1.0, [2.0])]
+    df = spark.createDataFrame(rows, "id int, k string, __hash double, v array<double>")
+    for keys in (["k"], ["k", "__hash"], ["v"], None):
+        got = exact.late_dedup(df, keys, order_by=["id"] if keys else ())
+        want = exact.exact_dedup(df, keys, order_by=["id"] if keys else ())
+        assert got.columns == df.columns
+        plain = lambda x: sorted(str(r).replace("-0.0", "0.0") for r in x.collect())  # noqa: E731 (a distinct turns -0.0 into 0.0)
+        assert plain(got) == plain(want), keys
+    assert exact.late_dedup(df.limit(0), ["k"]).count() == 0
+
+
+_SHUFFLE_SCRIPT = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession, functions as F
+from twinsift.operators import exact
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
+         .config("spark.driver.host", "127.0.0.1").config("spark.driver.bindAddress", "127.0.0.1")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://" + sys.argv[1]).config("spark.eventLog.compress", "false").getOrCreate())
+df = spark.read.parquet(sys.argv[2])
+out = getattr(exact, sys.argv[3])(df, ["key"], order_by=["id"])
+print(out.agg(F.count("*"), F.sum(F.xxhash64(*out.columns).cast("decimal(38,0)"))).first())
+spark.stop()
+"""
+
+
+def test_late_dedup_shuffles_few_bytes(spark, tmp_path):
+    """Wide rows of which few repeat: bytes shuffled, by the event log."""
+    import json
+    import os
+    import subprocess
+    import sys
+
+    wide = spark.range(20_000).select(F.col("id"), (F.col("id") % 19_000).alias("key"), F.concat_ws("", *[F.md5(F.concat(F.lit(str(k)), "id").cast("string")) for k in range(12)]).alias("wide"))
+    wide.write.parquet(f"{tmp_path}/t")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    said, written = {}, {}
+    for name in ("exact_dedup", "late_dedup"):
+        folder = f"{tmp_path}/{name}"
+        os.makedirs(folder)
+        out = subprocess.run([sys.executable, "-c", _SHUFFLE_SCRIPT.format(repo=repo), folder, f"{tmp_path}/t", name], capture_output=True, text=True, timeout=300)
+        assert out.returncode == 0, out.stderr[-2000:]
+        said[name], written[name] = out.stdout.strip(), 0
+        for path in [os.path.join(d, x) for d, _, names in os.walk(folder) for x in names if not x.startswith((".", "appstatus"))]:
+            with open(path) as log:
+                for e in map(json.loads, log):
+                    if e["Event"] == "SparkListenerTaskEnd" and e.get("Task Metrics"):
+                        written[name] += e["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"]
+    assert said["exact_dedup"] == said["late_dedup"]
+    assert written["late_dedup"] < 0.3 * written["exact_dedup"], written

@@ -106,10 +106,15 @@ def maybe_keys(df: DataFrame, key: str, bloom: DataFrame, spec: BloomSpec) -> Da
     """The distinct non-NULL keys of ``df`` the filter may contain (false
     positives possible, false negatives never), as one column ``key``."""
     keys = df.select(F.col(key).alias("key")).filter(F.col("key").isNotNull()).distinct()
-    asked = keys.select("key", _block(F.col("key"), spec), *[m.alias(f"m{j}") for j, m in enumerate(_masks(F.col("key"), spec))])
-    held = [F.col(w).bitwiseAND(F.col(f"m{j}")) == F.col(f"m{j}") for j, w in enumerate(LONGS)]
-    found = asked.join(bloom, "block").filter(held[0] & held[1] & held[2] & held[3])
-    return found.select(F.col("key").alias(key))
+    return _held(keys, bloom, spec).select(F.col("key").alias(key))
+
+
+def _held(keys: DataFrame, bloom: DataFrame, spec: BloomSpec) -> DataFrame:
+    """The rows of ``keys(key)`` whose key the filter may hold."""
+    k = F.col("key")
+    asked = keys.select("key", _block(k, spec), *[m.alias(f"m{j}") for j, m in enumerate(_masks(k, spec))])
+    both = [F.col(w).bitwiseAND(F.col(f"m{j}")) == F.col(f"m{j}") for j, w in enumerate(LONGS)]
+    return asked.join(bloom, "block").filter(both[0] & both[1] & both[2] & both[3]).select("key")
 
 
 def probe(df: DataFrame, key: str, bloom: DataFrame, spec: BloomSpec, flag: str = "maybe_seen") -> DataFrame:
@@ -135,15 +140,19 @@ def surely_new(existing: DataFrame, new: DataFrame, key: str, spec: BloomSpec) -
 
 
 def unseen_verified(existing: DataFrame, new: DataFrame, key: str, spec: BloomSpec, bloom: DataFrame | None = None) -> DataFrame:
-    """Bloom prefilter, then an exact check of the 'maybe' keys only. The
-    result equals ``unseen_rows``. ``bloom`` is the stored filter of the
-    existing keys; without it one is built.
-
-    A key the filter rules out is certainly not in ``existing``, so only the
-    'maybe' keys need the exact check: the existing keys are cut to them by a
-    semi join (AQE broadcasts the maybe-set when its runtime size allows),
-    and the new rows are anti-joined with what remains. The existing keys
-    are never shuffled whole; the filter is a bounded table."""
-    maybe = maybe_keys(new, key, build(existing, key, spec) if bloom is None else bloom, spec)
-    seen = existing.select(key).join(maybe, key, "left_semi").distinct()
-    return new.join(seen, key, "left_anti")
+    """Bloom prefilter, then an exact check of what it lets through only. The
+    result equals ``unseen_rows``; the existing keys are never shuffled whole.
+
+    With ``bloom``, the stored filter of the existing keys, only the new keys
+    it may hold are looked up there: the existing keys are cut to them by a
+    semi join (AQE broadcasts the maybe-set when its runtime size allows).
+    Without one, the filter is that of the new keys (``spec`` is then for
+    these): existing keys that it rules out are of no new row and are dropped
+    where they are read. Either way the new rows are anti-joined, exactly, with
+    the existing keys that remain."""
+    if bloom is not None:
+        seen = existing.select(key).join(maybe_keys(new, key, bloom, spec), key, "left_semi")
+    else:
+        keys = existing.select(F.col(key).alias("key")).filter(F.col("key").isNotNull())
+        seen = _held(keys, build(new, key, spec), spec).select(F.col("key").alias(key))
+    return new.join(seen.distinct(), key, "left_anti")

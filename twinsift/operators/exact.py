@@ -12,11 +12,13 @@ from twinsift.functions.keys import (
     NORMALIZE_STEPS,
     checksum,
     concat_hash,
+    fresh,
     hash64,
     json_fingerprint,
     normalized,
 )
-from twinsift.operators.survivors import keep_one
+from twinsift.operators.survivors import hashable, keep_one
+from twinsift.session import scratch_path
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -54,6 +56,31 @@ def normalized_dedup(
     return keep_one(df, [normalized(k, steps) for k in keys], order_by=order_by)
 
 
+def late_dedup(df: DataFrame, keys: Sequence[str] | None = None, order_by: Sequence[str] = ()) -> DataFrame:
+    """``exact_dedup`` that moves wide rows only where a key repeats.
+
+    First the 64-bit hashes of the keys alone are counted: eight bytes a row
+    are shuffled, whatever the row's width. A row whose hash occurs once is
+    unique for certain and goes to the result from where it is read. Only rows
+    whose hash occurs again are shuffled whole, and they are compared by their
+    keys, so a collision costs a row's way and never a row. The repeated hashes
+    are written before they are joined: their size is known when the plan is
+    made, and a broadcast is chosen if it allows; beyond that the wide rows are
+    shuffled once, as without this.
+
+    ``df`` is read three times, so let it be a table (or ``cut_lineage``)."""
+    names = list(keys or df.columns)
+    hash_ = fresh("__hash", df)
+    hashed = df.withColumn(hash_, F.xxhash64(F.lit(0), *hashable(df, names)))
+    repeated = hashed.groupBy(hash_).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(hash_)
+    path = scratch_path(df.sparkSession, "repeated")
+    repeated.write.parquet(path)
+    repeated = df.sparkSession.read.schema(repeated.schema).parquet(path)
+    once = hashed.join(repeated, hash_, "left_anti").drop(hash_)
+    again = hashed.join(repeated, hash_, "left_semi").drop(hash_)
+    return once.unionByName(exact_dedup(again, keys, order_by))
+
+
 FINGERPRINTS = ("md5", "sha256", "concat_md5", "json_md5", "xxhash64")
 
 

@@ -105,11 +105,11 @@ def repeats(df: DataFrame, keys: Sequence[KeyLike], order_by: Sequence[KeyLike]
         *original, "__extra", F.explode(F.sequence(F.lit(0), F.expr(f"(__extra - 1) div {block}"))).alias("__block")
     )
     blocks = blocks.withColumn("__n", F.least(F.lit(block), F.col("__extra") - F.col("__block") * block).cast("int"))
-    dealt = blocks.repartition(F.xxhash64("__block", *_hashable(df, original)))
+    dealt = blocks.repartition(F.xxhash64("__block", *hashable(df, original)))
     return dealt.select(*original, F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("__copy")).drop("__copy")
 
 
-def _hashable(df: DataFrame, columns: Sequence[str]) -> list[str]:
+def hashable(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """Columns that can be hashed (maps and variants can't)."""
     return [c for c in columns if not any(t in df.schema[c].dataType.simpleString() for t in ("map<", "variant"))]
 

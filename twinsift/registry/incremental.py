@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from twinsift.functions.keys import digest_bucket
 from twinsift.operators import bloom, incremental
+from twinsift.operators.keytable import KeyTable
 from twinsift.registry import register
 from twinsift.registry.records import people
 from twinsift.registry.sqltext import PEOPLE_COLUMNS, keep_one_sql, with_people
+from twinsift.session import scratch_path
 from twinsift.sources.tables import load
 
 EXISTING_DIGITS = ("0", "1", "2", "3", "4", "5", "6")
@@ -56,6 +58,30 @@ def q_incremental_report(spark, sf_dir):
     return incremental.incremental_report(existing, new, "email")
 
 
+_EARLY = "CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % 10 < 5"
+
+
+@register(
+    "incremental_bucketed",
+    with_people(
+        "SELECT n.* FROM new n WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.email = n.email) "
+        f"AND ({_EARLY} OR NOT EXISTS (SELECT 1 FROM new b WHERE {_EARLY.replace('id', 'b.id')} AND b.email = n.email))",
+        SPLIT_CTES,
+    ),
+)
+def q_incremental_bucketed(spark, sf_dir):
+    """Two batches against a bucketed table of the existing keys, which learns
+    the first one's: the rows of each batch whose key was not there."""
+    existing, new = people_split(spark, sf_dir)
+    table = KeyTable.create(existing, ["email"], buckets=16)
+    early = digest_bucket("id", 10) < 5
+    first, second = new.filter(early), new.filter(~early)
+    path = scratch_path(spark, "bucketed-first")
+    table.unseen(first).write.parquet(path)  # before the table learns them
+    table.add(first)
+    return spark.read.parquet(path).unionByName(table.unseen(second))
+
+
 @register(
     "known_duplicates_anti",
     "SELECT d.* FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
@@ -114,8 +140,11 @@ def q_bloom_new_rows(spark, sf_dir):
 
 @register("bloom_then_exact", with_people(ANTI_SQL, SPLIT_CTES))
 def q_bloom_then_exact(spark, sf_dir):
+    """The filter is that of the new keys, at most 2/5 of the people (30 % of
+    the ids and some copies); a count of customers comes from the file's footer."""
     existing, new = people_split(spark, sf_dir)
-    return bloom.unseen_verified(existing, new, "email", _spec(existing, "email"))
+    customers = load(spark, sf_dir, "customer").count()
+    return bloom.unseen_verified(existing, new, "email", bloom.BloomSpec.for_items(max(1, customers * 2 // 5)))
 
 
 @register(

@@ -241,6 +241,21 @@ def q_hash64_verified(spark, sf_dir):
     return exact.fingerprint_dedup(people(spark, sf_dir), ["name", "email", "address"], "xxhash64")
 
 
+DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+@register("late_dedup_documents", keep_one_sql("documents", DOCUMENT_COLUMNS, ["text"], ["doc_id"]))
+def q_late_dedup_documents(spark, sf_dir):
+    """One document of each text: only documents whose text comes again are
+    shuffled with it."""
+    return exact.late_dedup(load(spark, sf_dir, "documents"), ["text"], order_by=["doc_id"])
+
+
+@register("late_dedup_rows", "SELECT DISTINCT * FROM lineitem")
+def q_late_dedup_rows(spark, sf_dir):
+    return exact.late_dedup(load(spark, sf_dir, "lineitem"))
+
+
 @register(
     "json_fingerprint",
     with_people(keep_one_sql("people", P, ["md5(to_json([name, email, address]))"], tie_exclude=[])),

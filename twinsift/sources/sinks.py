@@ -53,10 +53,14 @@ def write_bucketed(
     buckets: int = 100,
     sort_by: Sequence[str] = (),
     mode: str = "overwrite",
+    path: str | None = None,
 ) -> str:
     """Save as a table bucketed (and sorted) by the keys: later joins and
-    deduplication on the keys need no exchange."""
+    deduplication on the keys need no exchange. With ``path`` its files lie
+    there and outlive the table's entry in the catalog."""
     writer = df.write.mode(mode).bucketBy(buckets, *keys)
+    if path:
+        writer = writer.option("path", path)
     if sort_by:
         writer = writer.sortBy(*sort_by)
     writer.saveAsTable(table)
