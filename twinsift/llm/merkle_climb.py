@@ -26,8 +26,8 @@ tree name before all others. Rows with equal ids in one tree stand in the
 order of their leaves; repeated rows are leaves of their own (which of them
 stands first makes no difference, they are equal). Empty and long texts
 are hashed like others. An empty table gives an empty result and has no root.
-The result has fixed columns beside those named in ``keep``; other columns of
-the input don't matter.
+The result has fixed columns beside those named in ``keep``, of which those
+with a new column's name are left out; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -172,9 +172,11 @@ def manifest(rows: DataFrame, tree: str, id_col: str, leaf: str = "leaf", claime
     the root as hex text, level by level and left to right), ``folded_root``
     (from ``claimed`` and the siblings) and ``verified``."""
     salts = _salts(rows)
-    keep = [id_col] if keep is None else keep
+    new = ("leaf", "subroot", "root", "proof", "folded_root", "verified")
+    keep = [c for c in ([id_col] if keep is None else keep) if c.lower() not in new]
     leaves = rows.select(F.col(tree).cast("string").alias("name"), F.col(id_col).alias("id"), F.unhex(F.col(leaf)).alias("hash"), F.unhex(F.col(claimed)).alias("claim"), F.struct(*keep).alias("kept"))
-    numbered, counts = _numbered(leaves, ["name", "id", "hash"], "name", "merkle-leaves")
+    # written before they are ranged, which reads them twice: a text is hashed once
+    numbered, counts = _numbered(stage(leaves, "merkle-hashed"), ["name", "id", "hash"], "name", "merkle-leaves")
     sizes = stage(counts.groupBy("name").agg(F.sum("n").alias("m")), "merkle-sizes")
     ranked, _ = _numbered(sizes, ["name"], None, "merkle-names")
     ranked = stage(ranked.withColumnRenamed("pos", "tree"), "merkle-trees")
