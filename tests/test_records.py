@@ -276,3 +276,52 @@ def test_late_dedup_shuffles_few_bytes(spark, tmp_path):
                         written[name] += e["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"]
     assert said["exact_dedup"] == said["late_dedup"]
     assert written["late_dedup"] < 0.3 * written["exact_dedup"], written
+
+
+def test_interval_of_the_duplicate_rate_covers_it(spark):
+    """Over 100 seeds, the 95 % interval holds the table's rate about as often."""
+    df = spark.range(4000).select((F.col("id") % 1500 * (F.col("id") % 7 + 1) % 1300).alias("k"), F.col("id").alias("v"))
+    df = df.unionByName(df.where("k % 11 = 3")).cache()
+    true = reports.duplicate_overview(df, ["k"]).first()["duplicate_rate"]
+    held, rows = 0, None
+    for seed in range(100):
+        one = reports.duplicate_rate_interval(df, ["k"], 0.3, seed)
+        rows = one if rows is None else rows.unionByName(one)
+    got = rows.collect()
+    held = sum(r["low"] <= true <= r["high"] for r in got)
+    assert len(got) == 100 and 88 <= held <= 100, held
+    whole = reports.duplicate_rate_interval(df, ["k"], 1.0).first()
+    assert whole["duplicate_rate"] == true == whole["low"] == whole["high"] and whole["standard_error"] == 0
+    none = reports.duplicate_rate_interval(df.limit(0), ["k"]).first()
+    assert none["sampled_rows"] == 0 and none["duplicate_rate"] is None and none["low"] is None
+    df.unpersist()
+
+
+def test_both_orientations(spark):
+    from twinsift.operators import fuzzy
+
+    pairs = spark.createDataFrame([("a", "b", 1), ("a", "c", 2)], "value_a string, value_b string, distance int")
+    got = sorted(tuple(r) for r in fuzzy.both_orientations(pairs).collect())
+    assert got == [("a", "b", 1), ("a", "c", 2), ("b", "a", 1), ("c", "a", 2)]
+
+
+def test_sketch_tables_merge(spark):
+    from twinsift.operators import sketchtable as st
+
+    df = spark.range(30_000).select((F.col("id") % 3).alias("g"), (F.col("id") % 4).alias("day"), F.concat(F.lit("u"), F.col("id") % 9_000).alias("u"))
+    df = df.unionByName(spark.createDataFrame([(0, 0, None), (9, 0, None)], "g long, day long, u string"))
+    parts = [st.build(df.where(F.col("g") % 2 == k), ["g", "day"], "u") for k in (0, 1)]
+    whole = {r["g"]: r for r in st.estimates(st.merge(*parts, by=["g"])).collect()}
+    again = {r["g"]: r for r in st.estimates(st.merge(st.merge(*parts, by=["g", "day"]), by=["g"])).collect()}
+    assert whole == again  # merging in steps is the same
+    assert whole[9]["rows"] == 1 and whole[9]["approx_hll"] == whole[9]["approx_theta"] == 0
+    exact = {r["g"]: r["n"] for r in df.groupBy("g").agg(F.count_distinct("u").alias("n")).collect()}
+    for g in (0, 1, 2):
+        for c in ("approx_hll", "approx_theta"):
+            assert abs(whole[g][c] - exact[g]) <= 3 * st.rse() * exact[g] + 1
+    a, b = df.where("g < 2"), df.where("g >= 1")
+    told = st.overlap(st.build(a, [], "u"), st.build(b, [], "u")).first()
+    both = a.select("u").distinct().join(b.select("u").distinct(), "u").count()
+    assert abs(told["approx_both"] - both) <= 3 * st.rse() * 9_000
+    per = st.overlap(st.build(a, ["day"], "u"), st.build(b, ["day"], "u"), by=["day"])
+    assert per.count() == 4

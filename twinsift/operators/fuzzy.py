@@ -123,3 +123,10 @@ def column_edit_pairs(df: DataFrame, columns: list[str], threshold: int = 2, key
         part = edit_pairs(vals, threshold).select(F.lit(c).alias("column_name"), "*")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def both_orientations(pairs: DataFrame) -> DataFrame:
+    """Each pair twice, as (a, b) and as (b, a): for lookups by one side. The
+    pair columns are the first two; the others go along."""
+    a, b, *rest = pairs.columns
+    return pairs.unionByName(pairs.select(F.col(b).alias(a), F.col(a).alias(b), *rest))

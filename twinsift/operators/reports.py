@@ -74,14 +74,47 @@ def duplicate_overview(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _sampled(df: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> DataFrame:
+    whole = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    bucket = F.conv(F.substring(F.md5(whole), 1, 8), 16, 10).cast("bigint") % 10_000
+    return df.filter(bucket < round(fraction * 10_000))
+
+
+def duplicate_rate_interval(df: DataFrame, keys: Sequence[str], fraction: float = 0.1, seed: int = 42, sigmas: float = 1.96) -> DataFrame:
+    """How sure the quick look is: the duplicate rate (%) of the sampled keys
+    with its standard error and the interval ``low`` to ``high`` of ``sigmas``
+    standard errors on either side (95 % for 1.96).
+
+    A sampled key has all its rows, so keys are clusters and the rate is a
+    ratio: duplicates over rows. With e = (n - 1) - rate * n for a key of n
+    rows, the variance of the ratio is (1 - fraction) * sum(e^2) / rows^2.
+    ``expected_duplicates`` is what the whole table should have. One aggregate
+    over the sampled keys; NULL on an empty sample."""
+    per_key = _sampled(df, keys, fraction, seed).groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    sums = per_key.agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("x"), F.sum(F.col("n") * F.col("n")).alias("xx"))
+    x, m = F.col("x"), F.col("m")
+    rate = (x - m) / x
+    # e = n * (1 - rate) - 1, so its squares add up from the sums
+    squares = F.greatest(F.lit(0.0), F.col("xx") * (1 - rate) * (1 - rate) - 2 * (1 - rate) * x + m)
+    error = F.sqrt(F.lit(1.0 - fraction) * squares) / x
+    percent = lambda c: F.round(F.when(x > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), c)) * 100), 4)
+    return sums.select(
+        m.alias("sampled_keys"),
+        F.coalesce(x, F.lit(0.0)).cast("bigint").alias("sampled_rows"),
+        percent(rate).alias("duplicate_rate"),
+        percent(error).alias("standard_error"),
+        percent(rate - sigmas * error).alias("low"),
+        percent(rate + sigmas * error).alias("high"),
+        F.round((x - m) / F.lit(float(fraction))).cast("bigint").alias("expected_duplicates"),
+    )
+
+
 def sampled_overview(df: DataFrame, keys: Sequence[str], fraction: float = 0.1, seed: int = 42) -> DataFrame:
     """``duplicate_overview`` of a sample of KEYS (a quick look before a full
     run): all rows of a sampled key are in it, so the rate estimates the
     table's. The sample follows from the keys' md5 and ``seed``; any engine can
     draw the same."""
-    whole = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
-    bucket = F.conv(F.substring(F.md5(whole), 1, 8), 16, 10).cast("bigint") % 10_000
-    return duplicate_overview(df.filter(bucket < round(fraction * 10_000)), keys)
+    return duplicate_overview(_sampled(df, keys, fraction, seed), keys)
 
 
 def key_quality(df: DataFrame, columns: Sequence[str]) -> DataFrame:

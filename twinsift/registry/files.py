@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from twinsift.operators import files, groups, sketches
 from twinsift.operators.survivors import keep_one
 from twinsift.plans.jobs import per_source_report
+from twinsift.plans.jobs import run_file_job
 from twinsift.registry import register
 from twinsift.sources.files import blobs_from_text
+from twinsift.sources.files import write_files
 from twinsift.sources.tables import load
 
 _PAD = "lpad(CAST(doc_id AS VARCHAR), 9, '0') || '.txt'"
@@ -190,3 +192,22 @@ def q_inventory_by_etag(spark, sf_dir):
 )
 def q_per_source_report(spark, sf_dir):
     return per_source_report(load(spark, sf_dir, "documents"), "source", ["text"])
+
+
+_FILE_SQL = "WITH f AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), h AS (SELECT md5(t) AS file_hash, strlen(t) AS size, count(*) AS n FROM f GROUP BY ALL) "
+
+
+@register(
+    "file_job_report",
+    _FILE_SQL
+    + "SELECT CAST(sum(n) AS BIGINT) AS total_files, count(*) AS unique_files, CAST(count_if(n > 1) AS BIGINT) AS duplicate_groups, "
+    "CAST(sum(n - 1) AS BIGINT) AS duplicate_files, CAST(sum(n * size) AS BIGINT) AS total_bytes, "
+    "CAST(sum((n - 1) * size) AS BIGINT) AS saved_bytes FROM h",
+)
+def q_file_job_report(spark, sf_dir):
+    """The file job over real files: each document is written as a file in one
+    of sixteen folders; folders are listed and files hashed on the executors."""
+    root = scratch_path(spark, "file-job")
+    folder = F.concat(F.lit("d"), F.pmod(F.xxhash64("doc_id"), F.lit(16)).cast("string"), F.lit("/"))
+    write_files(load(spark, sf_dir, "documents"), root, F.concat(folder, F.col("doc_id").cast("string"), F.lit(".txt")), F.encode("text", "UTF-8"))
+    return run_file_job(spark, root, glob="*.txt")["report"]

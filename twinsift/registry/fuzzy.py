@@ -35,6 +35,18 @@ def q_levenshtein_names(spark, sf_dir):
     return fuzzy.edit_pairs(load(spark, sf_dir, "part").select("p_name"), T)
 
 
+_NAMES_SQL = _edit_sql("SELECT DISTINCT p_name AS v FROM part WHERE p_name IS NOT NULL")
+
+
+@register(
+    "levenshtein_names_both",
+    f"WITH e AS ({_NAMES_SQL}) SELECT value_a, value_b, distance FROM e UNION ALL SELECT value_b, value_a, distance FROM e",
+)
+def q_levenshtein_names_both(spark, sf_dir):
+    """Each near pair of part names in both orientations."""
+    return fuzzy.both_orientations(fuzzy.edit_pairs(load(spark, sf_dir, "part").select("p_name"), T))
+
+
 @register(
     "levenshtein_pairs",
     with_people(
@@ -111,26 +123,36 @@ def q_lsh_documents(spark, sf_dir):
     return minhash.mllib_lsh_pairs(sets, 0.3, num_features=1024, verify=False)
 
 
+def _exact_pairs(sets):
+    return minhash.jaccard_pairs(sets, 0.7).filter(F.col("similarity") > 0.7 + minhash.EPS)
+
+
+@register("lsh_recall")
+def q_lsh_recall(spark, sf_dir):
+    """MLlib LSH (published configuration) and banded MinHash against the exact
+    Jaccard join on document token sets (distance < 0.3): pairs found, right
+    ones, recall and precision. What MLlib finds follows from its hashes, so
+    there is no SQL for it."""
+    sets = minhash.materialized_token_sets(load(spark, sf_dir, "documents"), "text")
+    found = {
+        "mllib_lsh_1024": minhash.mllib_lsh_pairs(sets, 0.3, num_features=1024, verify=False),
+        "banded_minhash": minhash.minhash_pairs(sets, 0.3),
+    }
+    return minhash.recall_report(_exact_pairs(sets), found)
+
+
 @register(
-    "lsh_recall",
+    "lsh_recall_banded",
     _SETS_SQL.format(s=0.7)
-    + "SELECT m AS method, (SELECT count(*) FROM p WHERE 1 - j < 0.3 - 1e-9) AS exact_pairs, true AS recall_ok "
-    "FROM (VALUES ('mllib_lsh_1024'), ('banded_minhash')) t(m)",
+    + "SELECT 'banded_minhash' AS method, n AS exact_pairs, n AS found_pairs, n AS true_pairs, "
+    "CASE WHEN n > 0 THEN 1.0::DOUBLE END AS recall, CASE WHEN n > 0 THEN 1.0::DOUBLE END AS precision "
+    "FROM (SELECT count(*) AS n FROM p WHERE 1 - j < 0.3 - 1e-9)",
 )
-def q_lsh_recall(spark, sf_dir):
-    """MLlib LSH (published configuration) and banded MinHash against the
-    exact Jaccard join on document token sets (distance < 0.3): both find at
-    least 95 of 100 pairs."""
+def q_lsh_recall_banded(spark, sf_dir):
+    """Banded MinHash against the exact Jaccard join, the whole report: it finds
+    the exact pair set (a pair of similarity 0.7 is missed once in 3,000)."""
     sets = minhash.materialized_token_sets(load(spark, sf_dir, "documents"), "text")
-    exact = minhash.jaccard_pairs(sets, 0.7).filter(F.col("similarity") > 0.7 + minhash.EPS)
-    report = minhash.recall_report(
-        exact,
-        {
-            "mllib_lsh_1024": minhash.mllib_lsh_pairs(sets, 0.3, num_features=1024, verify=False),
-            "banded_minhash": minhash.minhash_pairs(sets, 0.3),
-        },
-    )
-    return report.select("method", "exact_pairs", (F.coalesce("recall", F.lit(1.0)) >= 0.95).alias("recall_ok"))
+    return minhash.recall_report(_exact_pairs(sets), {"banded_minhash": minhash.minhash_pairs(sets, 0.3)})
 
 
 _GRAPH_CTES = (

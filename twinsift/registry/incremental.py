@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinsift.functions.keys import digest_bucket
-from twinsift.operators import bloom, incremental
+from twinsift.operators import bloom, exact, incremental
 from twinsift.operators.keytable import KeyTable
 from twinsift.registry import register
 from twinsift.registry.records import people
 from twinsift.registry.sqltext import PEOPLE_COLUMNS, keep_one_sql, with_people
 from twinsift.session import scratch_path
+from twinsift.sources import sinks
 from twinsift.sources.tables import load
 
 EXISTING_DIGITS = ("0", "1", "2", "3", "4", "5", "6")
@@ -171,3 +172,31 @@ def q_hash_split(spark, sf_dir):
     partitionings and engines (unlike ``randomSplit``)."""
     p = people(spark, sf_dir)
     return p.withColumn("part", F.when(digest_bucket("id", 10) < 7, F.lit("existing")).otherwise(F.lit("new")))
+
+
+@register(
+    "append_unseen",
+    with_people(
+        "SELECT * FROM existing UNION ALL SELECT n.* FROM new n WHERE NOT EXISTS "
+        "(SELECT 1 FROM existing e WHERE e.email IS NOT DISTINCT FROM n.email)",
+        SPLIT_CTES,
+    ),
+)
+def q_append_unseen(spark, sf_dir):
+    """A written table of the existing people that takes in the new ones, twice:
+    the second time adds nothing (NULL is a key like any other)."""
+    existing, new = people_split(spark, sf_dir)
+    target = scratch_path(spark, "append")
+    sinks.write_parquet(existing, target)
+    for _ in range(2):
+        sinks.append_unseen(spark, new, target, "email")
+    return spark.read.parquet(target)
+
+
+@register("rewrite_in_place", with_people(keep_one_sql("people", PEOPLE_COLUMNS, ["email"])))
+def q_rewrite_in_place(spark, sf_dir):
+    """A written table of the people that is replaced by its own deduplication."""
+    path = scratch_path(spark, "rewrite")
+    sinks.write_parquet(people(spark, sf_dir), path)
+    sinks.rewrite_deduplicated(spark, path, lambda df: exact.exact_dedup(df, ["email"]))
+    return spark.read.parquet(path)

@@ -334,6 +334,24 @@ def q_sampled_overview(spark, sf_dir):
     return reports.sampled_overview(load(spark, sf_dir, "lineitem"), LINE_KEYS, 0.1, 42)
 
 
+@register(
+    "sampled_rate",
+    with_people(
+        "SELECT m AS sampled_keys, CAST(x AS BIGINT) AS sampled_rows, round(100 * r, 4) AS duplicate_rate, "
+        "round(100 * least(1, e), 4) AS standard_error, round(100 * greatest(0, r - 1.96 * e), 4) AS low, "
+        "round(100 * least(1, r + 1.96 * e), 4) AS high, CAST(round((x - m) / 0.2) AS BIGINT) AS expected_duplicates "
+        "FROM (SELECT m, x, r, sqrt(0.8 * greatest(0, xx * (1 - r) * (1 - r) - 2 * (1 - r) * x + m)) / x AS e "
+        "FROM (SELECT *, (x - m) / x AS r FROM (SELECT count(*) AS m, CAST(sum(n) AS DOUBLE) AS x, CAST(sum(n * n) AS DOUBLE) AS xx "
+        "FROM (SELECT email, count(*) AS n FROM people WHERE CAST('0x' || substr(md5('42|' || coalesce(email, '')), 1, 8) AS BIGINT) "
+        "% 10000 < 2000 GROUP BY email))))"
+    ),
+)
+def q_sampled_rate(spark, sf_dir):
+    """The duplicate rate by e-mail with its 95 % interval, from a fifth of the
+    keys (sampling is the query's feature)."""
+    return reports.duplicate_rate_interval(people(spark, sf_dir), ["email"], 0.2)
+
+
 @register(
     "key_quality",
     with_people(

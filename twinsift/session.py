@@ -70,6 +70,22 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within its Hadoop file system; ``target`` must not exist."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = a.getFileSystem(conf)
+    if fs.exists(b) or not fs.rename(a, b):
+        raise OSError(f"can't rename {source} to {target}")
+
+
+def write_marker(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``, which must not exist."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hpath, False).close()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
