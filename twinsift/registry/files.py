@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 
 from twinsift.operators import files, groups, sketches
 from twinsift.operators.survivors import keep_one
-from twinsift.plans.jobs import per_source_report
-from twinsift.plans.jobs import run_file_job
+from twinsift.plans.jobs import per_source_report, run_file_job
 from twinsift.registry import register
-from twinsift.sources.files import blobs_from_text
-from twinsift.sources.files import write_files
+from twinsift.session import scratch_path
+from twinsift.sources.files import blobs_from_text, write_files
 from twinsift.sources.tables import load
 
 _PAD = "lpad(CAST(doc_id AS VARCHAR), 9, '0') || '.txt'"
