@@ -178,3 +178,33 @@ def test_lsh_pairs_are_exact_and_find_near_copies(spark):
     sets = _sets(spark, texts)
     for pairs in (minhash.mllib_lsh_pairs(sets, 0.3).collect(), minhash.minhash_pairs(sets, 0.3).collect()):
         assert len(pairs) == 3 and all(p.distance < 0.3 for p in pairs)
+
+
+def test_labels_grow_batch_by_batch(spark, tmp_path):
+    """After each batch the stored labels are those of a full run, a batch that
+    comes again changes nothing, and only joined components are written."""
+    import random
+
+    from twinsift.operators.clusters import connected_components
+    from twinsift.operators.labels import LabelStore
+
+    rng = random.Random(12)
+    name = lambda: f"n{rng.randrange(160):03d}"
+    batches = [[(name(), name()) for _ in range(40)] for _ in range(4)]
+    batches[1] += [("n500", "n500"), (None, "n1"), ("n501", "n502"), ("n501", "n502")]
+    batches[3] += [("n502", "n000")]
+    store, seen = LabelStore(spark, f"{tmp_path}/labels"), []
+    before: dict = {}
+    for k, batch in enumerate(batches):
+        edges = spark.createDataFrame(batch, "src string, dst string")
+        seen += batch
+        written = store.add(edges, k)
+        if k == 1:
+            assert store.add(edges, k) == written  # again
+        now = {r.node: r.component for r in store.current().collect()}
+        full = connected_components(spark.createDataFrame(seen, "src string, dst string"))
+        assert now == {r.node: r.component for r in full.collect()}
+        assert written == sum(before.get(n) != c for n, c in now.items())
+        before = now
+    assert {r.node: r.component for r in store.compact(f"{tmp_path}/one").current().collect()} == before
+    assert LabelStore(spark, f"{tmp_path}/one").add(spark.createDataFrame([("n500", "n000")], "src string, dst string"), 4) == 1

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from twinsift.functions.keys import normalized
+from twinsift.functions.keys import digest_bucket, normalized
 from twinsift.operators import clusters, fuzzy, minhash
+from twinsift.operators.labels import LabelStore
 from twinsift.plans.methods import METHODS, compare_methods
 from twinsift.registry import register
 from twinsift.registry.records import people
 from twinsift.registry.sqltext import PEOPLE_COLUMNS, keep_one_sql, norm, with_people
+from twinsift.session import scratch_path
 from twinsift.sources.tables import load
 
 T = 2
@@ -194,6 +196,26 @@ def q_fuzzy_dedup(spark, sf_dir):
     return clusters.resolve_entities(people(spark, sf_dir), "fuzzy_levenshtein", ["name", "email"], "id", T)
 
 
+@register(
+    "components_by_batches",
+    with_people(
+        "SELECT node, min(label) AS component FROM (WITH RECURSIVE r(node, label) AS (SELECT s, s FROM u UNION "
+        "SELECT u.d, r.label FROM r JOIN u ON u.s = r.node WHERE r.label < u.d) SELECT * FROM r) GROUP BY node",
+        ", e AS (SELECT DISTINCT 'n:' || name AS s, 'e:' || email AS d FROM people WHERE name IS NOT NULL AND email IS NOT NULL)"
+        ", u AS (SELECT s, d FROM e UNION SELECT d, s FROM e UNION SELECT s, s FROM e UNION SELECT d, d FROM e)",
+    ),
+)
+def q_components_by_batches(spark, sf_dir):
+    """Names and e-mails that people link, arriving in four batches: the stored
+    labels after the last one are those of the whole graph."""
+    rows = people(spark, sf_dir).where("name is not null and email is not null")
+    store = LabelStore(spark, scratch_path(spark, "labels"))
+    for batch in range(4):
+        part = rows.where(digest_bucket("id", 4) == batch)
+        store.add(part.select(F.concat(F.lit("n:"), "name").alias("src"), F.concat(F.lit("e:"), "email").alias("dst")), batch)
+    return store.current()
+
+
 def _method_sql() -> str:
     """Oracle of the comparison table: the ten methods' unique counts."""
     n_norm = f"(SELECT count(*) FROM (SELECT DISTINCT {norm('name')}, {norm('email')} FROM people))"
