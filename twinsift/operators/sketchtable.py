@@ -50,12 +50,9 @@ def overlap(left: DataFrame, right: DataFrame, by: Sequence[str] = ()) -> DataFr
     """Per group of ``by`` that both tables have (one row without ``by``): how
     many distinct values are in the left, in the right, in both and in the right
     alone, all estimated from the sketches."""
-    a = merge(left, by=by).select(*by, F.col("theta").alias("a"))
-    b = merge(right, by=by).select(*[F.col(c).alias(f"{c}_") for c in by], F.col("theta").alias("b"))
-    same = F.lit(True)
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"{c}_"))
-    both = a.join(b, same) if by else a.withColumn("one", F.lit(1)).join(b.withColumn("one", F.lit(1)), "one")
+    none = F.lit(None).cast("binary")
+    sides = merge(left, by=by).select(*by, F.col("theta").alias("a"), none.alias("b")).unionByName(merge(right, by=by).select(*by, none.alias("a"), F.col("theta").alias("b")))
+    both = sides.groupBy(*by).agg(F.first("a", ignorenulls=True).alias("a"), F.first("b", ignorenulls=True).alias("b")).where("a is not null and b is not null")
     n = lambda c: F.theta_sketch_estimate(c).cast("bigint")
     return both.select(
         *by,

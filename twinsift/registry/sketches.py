@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from twinsift.operators import sketches, sketchtable
+from twinsift.operators.reports import _combine as combine
 from twinsift.registry import register
 from twinsift.registry.records import events_split
 from twinsift.session import scratch_path
@@ -69,7 +70,7 @@ def q_sketch_overlap(spark, sf_dir):
     users = existing.select("user_id", F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(new.select("user_id", F.lit(0).alias("a"), F.lit(1).alias("b")))
     per = users.where("user_id is not null").groupBy("user_id").agg(F.max("a").alias("a"), F.max("b").alias("b"))
     exact = per.agg(F.count_if(F.col("a") == 1).alias("existing"), F.count_if(F.col("b") == 1).alias("new"), F.count_if((F.col("a") == 1) & (F.col("b") == 1)).alias("exact_both"), F.count("*").alias("either"))
-    both = told.withColumn("one", F.lit(1)).join(exact.withColumn("one", F.lit(1)), "one")
+    both = combine(told, exact)
     off = 3 * sketchtable.rse() * F.col("either") + 1
     near = (F.abs(F.col("approx_both") - F.col("exact_both")) <= off) & (F.abs(F.col("approx_left") - F.col("existing")) <= off) & (F.abs(F.col("approx_right") - F.col("new")) <= off)
     return both.select("existing", "new", "exact_both", near.alias("within_bound"))
