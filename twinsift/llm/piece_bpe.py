@@ -310,6 +310,8 @@ class Pieces:
 
     def decode(self, rows: list[bytes]) -> list[str]:
         """Texts of rows of ids (bytes as above)."""
+        if not rows:
+            return []
         ids = np.frombuffer(b"".join(rows), "<u4").astype(np.int64)
         n = np.array([len(r) // 4 for r in rows], np.int64)
         if len(ids) and ids.max() >= len(self.size):
@@ -326,24 +328,31 @@ class Pieces:
         ends = np.cumsum(size)
         raw = self.raw[np.repeat(at - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
         stop = np.concatenate([[0], ends])[np.cumsum(n)].tolist()
+        # a control piece inside a row parts the bytes on either side of it
+        odd = np.zeros(len(rows), bool)
+        inside = np.flatnonzero(self.control[ids[1:-1]]) + 1
+        inside = inside[(of[inside - 1] == of[inside]) & (of[inside + 1] == of[inside]) & self.byte[ids[inside - 1]]]
+        odd[of[inside]] = True
         out = []
         for k, (a, b) in enumerate(zip([0, *stop[:-1]], stop, strict=True)):
             try:
-                out.append(raw[a:b].decode())
+                out.append(self._mended(rows[k]) if odd[k] else raw[a:b].decode())
             except UnicodeDecodeError:
-                out.append(self._mended(np.frombuffer(rows[k], "<u4").tolist()))
+                out.append(self._mended(rows[k]))
         return out
 
-    def _mended(self, ids: list[int]) -> str:
+    def _mended(self, row: bytes) -> str:
         """Each byte piece that is part of no character shows as U+FFFD."""
-        ids = [i for i in ids if not self.control[i]]
-        out, k = [], 0
+        ids = np.frombuffer(row, "<u4").tolist()
+        out, k, first = [], 0, True
         while k < len(ids):
             part = self.raw[self.at[ids[k]] : self.at[ids[k]] + self.size[ids[k]]].tobytes()
             if not self.byte[ids[k]]:
-                out.append(part[k == 0 and bool(self.marked[ids[k]]) :].decode())
+                out.append(part[first and bool(self.marked[ids[k]]) :].decode())
+                first &= bool(self.control[ids[k]])
                 k += 1
                 continue
+            first = False
             run = bytearray()
             for i in ids[k : k + 4]:
                 if not self.byte[i]:
@@ -357,7 +366,7 @@ class Pieces:
                 except UnicodeDecodeError:
                     continue
             else:
-                out.append("�")
+                out.append("\ufffd")
                 k += 1
         return "".join(out)
 
