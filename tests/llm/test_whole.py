@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -195,3 +196,34 @@ def test_language_id_has_effect(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "WANTED", (langs[0],))
     kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").collect()}
     assert np.mean([told[d] == langs[0] for d in kept]) >= 0.97 and {d for d in told if told[d] == langs[0]} <= kept
+
+
+INTERNAL = ["__m", "__t", "__k", "__p", "__l", "__keys", "__id", "__n", "__cut", "__s", "__c", "__doc", "__size", "__crc", "__sha", "__d0", "__d_id", "__shard", "__b", "__in", "__gone", "input__m"]
+
+
+def _operators():
+    from twinsift.llm import kd_shards, langid_ecoc, line_cuckoo, simhash_tiles
+
+    return {
+        "op2": lambda d: suffix_array.remove_repeats(d),
+        "op3": lambda d: pii_feistel.pseudonymise(d, "k"),
+        "op4": lambda d: langid_ecoc.identify(d, langid_ecoc.train(d)),
+        "op5": lambda d: lsi_decontam.find(d, d.select(F.col("doc_id").alias("item_id"), "text").limit(1)),
+        "op6": lambda d: kd_shards.kd_shards(d, shards=2),
+        "op9": lambda d: line_cuckoo.drop_lines(d),
+        "op10": lambda d: simhash_tiles.keep_one(d),
+    }
+
+
+@pytest.mark.parametrize("name", sorted(_operators()))
+def test_columns_with_internal_names_stay(spark, name):
+    rows = [(i, f"some text number {i * i}, card 4111 1111 1111 1111, of a good many words\nline {i}", "en" if i % 2 else "fr") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    plain = _operators()[name](docs)
+    named = docs.select("*", *[F.concat(F.lit(c), "doc_id").alias(c) for c in INTERNAL])
+    got = _operators()[name](named)
+    assert set(INTERNAL) <= set(got.columns)
+    for r in got.collect():
+        assert all(r[c] == f"{c}{r['doc_id']}" for c in INTERNAL)
+    same = [c for c in plain.columns if c not in ("text",) or name != "op6"]
+    assert sorted(map(str, got.select(*same).collect())) == sorted(map(str, plain.select(*same).collect()))
