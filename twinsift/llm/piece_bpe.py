@@ -43,7 +43,7 @@ OTHER = 1 << 20
 _WIDTH = 1 << 22
 NONE = np.int64(1 << 40)
 LONG = 512
-KEPT = 200_000
+KEPT = 400_000
 #: Symbols that one call of the rounds lays out.
 FLAT = 1 << 20
 
