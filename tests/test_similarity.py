@@ -208,3 +208,48 @@ def test_labels_grow_batch_by_batch(spark, tmp_path):
         before = now
     assert {r.node: r.component for r in store.compact(f"{tmp_path}/one").current().collect()} == before
     assert LabelStore(spark, f"{tmp_path}/one").add(spark.createDataFrame([("n500", "n000")], "src string, dst string"), 4) == 1
+
+
+def _near_copies(rng, n=160):
+    """Texts over one vocabulary: unrelated ones, near copies, sets of one token, sizes from 1 to 300."""
+    words = [f"w{i}" for i in range(900)]
+    texts = []
+    for _ in range(n):
+        base = rng.sample(words, rng.choice([1, 3, 12, 60, 300]))
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(0, 2)):
+            texts.append(" ".join(w if rng.random() > 0.15 else rng.choice(words) for w in base))
+    return texts
+
+
+def _jaccards(rows):
+    keys = sorted(rows)
+    return {(a, b): len(rows[a] & rows[b]) / len(rows[a] | rows[b]) for i, a in enumerate(keys) for b in keys[i + 1 :]}
+
+
+def test_unlike_sets_are_dropped_before_their_tokens_travel(spark):
+    sets = _sets(spark, _near_copies(random.Random(21))).cache()
+    near = _jaccards({r.set_id: set(r.tokens) for r in sets.collect()})
+    want = {p for p, j in near.items() if j >= 0.7 - 1e-9}
+    # one hash a band: every pair with anything in common is met
+    loose = {(r.set_a, r.set_b) for r in minhash.banded_candidates(sets, 32, 1).collect()}
+    got = {(r.set_a, r.set_b) for r in minhash.banded_candidates(sets, 32, 1, min_similarity=0.7).collect()}
+    assert want <= got <= loose and len(got) < len(want) + 0.02 * len(loose)
+    assert {(r.set_a, r.set_b): round(r.similarity, 12) for r in minhash.jaccard_pairs(sets, 0.7).collect()} == {p: round(near[p], 12) for p in want}
+    sets.unpersist()
+
+
+def test_exact_join_shuffles_no_single_tokens(spark):
+    plan = minhash.jaccard_pairs(_sets(spark, ["a b c", "a b d"]), 0.7)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "explode(tokens" not in plan
+
+
+def test_exact_join_in_many_parts_and_cells(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "PER_PART", 9)
+    monkeypatch.setattr(minhash, "PER_CELL", 5)
+    sets = _sets(spark, _near_copies(random.Random(22), 80)).cache()
+    near = _jaccards({r.set_id: set(r.tokens) for r in sets.collect()})
+    for s in (0.4, 0.7, 1.0):
+        assert {(r.set_a, r.set_b) for r in minhash.jaccard_pairs(sets, s).collect()} == {p for p, j in near.items() if j >= s - 1e-9}
+    assert {(r.set_a, r.set_b) for r in minhash.minhash_pairs(sets, 0.3).collect()} <= {p for p, j in near.items() if j > 0.7}
+    sets.unpersist()
