@@ -253,3 +253,24 @@ def test_exact_join_in_many_parts_and_cells(spark, monkeypatch):
         assert {(r.set_a, r.set_b) for r in minhash.jaccard_pairs(sets, s).collect()} == {p for p, j in near.items() if j >= s - 1e-9}
     assert {(r.set_a, r.set_b) for r in minhash.minhash_pairs(sets, 0.3).collect()} <= {p for p, j in near.items() if j > 0.7}
     sets.unpersist()
+
+
+def test_mllib_pairs_are_those_of_its_join(spark):
+    """What approxSimilarityJoin finds, met in parts instead of its join."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import HashingTF, MinHashLSH
+
+    sets = _sets(spark, _near_copies(random.Random(23), 60)).cache()
+    for features in (64, 1024, 1 << 18):
+        stages = [
+            HashingTF(inputCol="tokens", outputCol="features", numFeatures=features),
+            MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=5, seed=minhash.DEFAULT_SEED),
+        ]
+        model = Pipeline(stages=stages).fit(sets)
+        rows = model.transform(sets)
+        joined = model.stages[-1].approxSimilarityJoin(rows, rows, 0.3, distCol="d").filter("datasetA.set_id < datasetB.set_id")
+        want = {(r.a, r.b, round(r.d, 12)) for r in joined.selectExpr("datasetA.set_id a", "datasetB.set_id b", "d").collect()}
+        got = minhash.mllib_lsh_pairs(sets, 0.3, num_features=features, verify=False)
+        assert "posexplode" not in got._jdf.queryExecution().executedPlan().toString()
+        assert want and {(r.set_a, r.set_b, round(r.distance, 12)) for r in got.collect()} == want
+    sets.unpersist()
