@@ -227,3 +227,25 @@ def test_columns_with_internal_names_stay(spark, name):
         assert all(r[c] == f"{c}{r['doc_id']}" for c in INTERNAL)
     same = [c for c in plain.columns if c not in ("text",) or name != "op6"]
     assert sorted(map(str, got.select(*same).collect())) == sorted(map(str, plain.select(*same).collect()))
+
+
+def test_basis_is_fitted_to_every_passage(spark, monkeypatch):
+    """Far more documents than any sample: each of their passages is a row of
+    the matrix, as is each of the items', and the products add all of them up."""
+    docs = spark.range(2100).selectExpr("id as doc_id", "concat('alpha w', id, ' beta w', id % 7) as text").union(spark.createDataFrame([(9000, " ".join(f"v{i}" for i in range(150))), (9001, None), (9002, "")], "doc_id long, text string"))
+    items = spark.createDataFrame([(1, "gamma delta epsilon zeta")], "item_id long, text string")
+    seen, basis = [], lsi_decontam.latent_basis
+    monkeypatch.setattr(lsi_decontam, "latent_basis", lambda matrix, *a: seen.append(matrix) or basis(matrix, *a))
+    lsi_decontam.find(docs, items)
+    rows = []
+    for r in seen[0].collect():
+        ends = np.frombuffer(r["at"], "<i4")
+        for a, z in zip([0, *ends[:-1]], ends, strict=True):
+            row = np.zeros(lsi_decontam.BUCKETS)
+            row[np.frombuffer(r["idx"], "<u2")[a:z]] = np.frombuffer(r["val"], "<f4")[a:z]
+            rows.append(row)
+    assert len(rows) == 2100 + 3 + 1 and np.allclose([x @ x for x in rows], 1)
+    q = np.random.default_rng(3).normal(size=(lsi_decontam.BUCKETS, 3)).astype(np.float32)
+    some = np.flatnonzero(np.sum(rows, axis=0))
+    small = np.array(rows)[:, some]
+    assert np.allclose(lsi_decontam._product(seen[0], q)[some], small.T @ (small @ q[some]), rtol=1e-3, atol=1e-3)

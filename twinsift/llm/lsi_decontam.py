@@ -1,9 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Document frequencies of hashed words over all documents give the weights.
-2. A randomised SVD of TF-IDF passages (all benchmark items and a bounded
-   sample of the documents' passages) gives a latent basis, each direction
-   divided by its singular value. The passage matrix stays distributed: tasks
+2. A randomised SVD of TF-IDF passages (all benchmark items and all passages
+   of all documents) gives a latent basis, each direction divided by its
+   singular value. The passage matrix stays distributed: tasks
    multiply their rows with a basis of fixed size and hand back their share of
    the product, which Spark adds up.
 3. Every text is read as overlapping windows, of lengths near those of the
@@ -84,22 +84,26 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, np.n
 
 
 def passages(texts: DataFrame, idf: np.ndarray, size: int = 64) -> DataFrame:
-    """``(idx, val)``: TF-IDF rows of consecutive passages of ``size`` words."""
+    """``(at, idx, val)``: TF-IDF rows of consecutive passages of ``size``
+    words, many to a row: where each passage ends, its buckets and weights."""
 
     def cut(batches):
         for batch in batches:
-            idx, val = [], []
             for _, h, at in words_of(batch.column(0)):
-                b = bucket_of(h)
-                for a, z in zip(at.tolist(), at[1:].tolist(), strict=False):
-                    for s in range(a, z, size):
-                        k, n = np.unique(b[s : min(s + size, z)], return_counts=True)
-                        v = n * idf[k]
-                        idx.append(k.astype("<u2").tobytes())
-                        val.append((v / max(np.linalg.norm(v), 1e-9)).astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(idx, pa.binary()), pa.array(val, pa.binary())], ["idx", "val"])
-
-    return texts.mapInArrow(cut, "idx binary, val binary")
+                many = -(-np.diff(at) // size)  # passages of each text
+                if not many.sum():
+                    continue
+                text = np.repeat(np.arange(len(many)), np.diff(at))
+                number = (np.cumsum(many) - many)[text] + (np.arange(len(h)) - at[text]) // size
+                key, n = np.unique(number * BUCKETS + bucket_of(h), return_counts=True)
+                k, of = key % BUCKETS, key // BUCKETS
+                v = n * idf[k]
+                first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+                v /= np.maximum(np.sqrt(np.add.reduceat(v * v, first)), 1e-9)[of]
+                arrays = [np.append(first[1:], len(k)).astype("<i4"), k.astype("<u2"), v.astype("<f4")]
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays], ["at", "idx", "val"])
+
+    return texts.mapInArrow(cut, "at binary, idx binary, val binary")
 
 
 def _product(matrix: DataFrame, basis: np.ndarray) -> np.ndarray:
@@ -110,9 +114,19 @@ def _product(matrix: DataFrame, basis: np.ndarray) -> np.ndarray:
     def share(batches):
         total = np.zeros((BUCKETS, width), np.float32)
         for batch in batches:
-            for i, v in zip(batch.column(0), batch.column(1), strict=True):
+            for a, i, v in zip(*batch.columns, strict=True):
+                end = np.frombuffer(a.as_buffer(), "<i4")
                 k, x = np.frombuffer(i.as_buffer(), "<u2"), np.frombuffer(v.as_buffer(), "<f4")
-                total[k] += np.outer(x, x @ basis[k])
+                for s in range(0, len(end), 1024):  # so many passages at once
+                    z = end[s : s + 1024]
+                    begin = np.concatenate([[end[s - 1] if s else 0], z[:-1]])
+                    part, weight = k[begin[0] : z[-1]], x[begin[0] : z[-1], None]
+                    seen = np.add.reduceat(weight * basis[part], begin - begin[0])
+                    by = np.argsort(part, kind="stable")
+                    share = (weight * np.repeat(seen, z - begin, axis=0))[by]
+                    part = part[by]
+                    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+                    total[part[first]] += np.add.reduceat(share, first)
         for s, part in enumerate(np.split(total, SLICES)):
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([part.astype("<f4").tobytes()], pa.binary())], ["slice", "part"])
@@ -377,21 +391,21 @@ def searcher(index: Items):
     return F.arrow_udf(search, "array<bigint>")
 
 
-def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_col: str = "doc_id", item_id: str = "item_id", item_text: str = "text", least: float = 0.8, paraphrase: float = 0.6, sample: int = 2000, floor: float = 0.4, exact: bool = False, block: int = 2000) -> DataFrame:
-    """``docs`` with ``contaminated`` and ``item_ids`` (sorted). ``sample``
-    bounds the documents whose passages help to fit the basis; the search reads
-    every window of every document. ``floor`` is the least latent cosine of a
+def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_col: str = "doc_id", item_id: str = "item_id", item_text: str = "text", least: float = 0.8, paraphrase: float = 0.6, floor: float = 0.4, exact: bool = False, block: int = 2000) -> DataFrame:
+    """``docs`` with ``contaminated`` and ``item_ids`` (sorted). The
+    basis is fitted to all passages, the search reads every window of every
+    document. ``floor`` is the least latent cosine of a
     candidate, ``exact`` takes candidates from the exact bound instead."""
     keep = [c for c in docs.columns if c.lower() not in ("contaminated", "item_ids")]
     items = benchmark.where(F.col(item_id).isNotNull() & (F.trim(F.coalesce(F.col(item_text), F.lit(""))) != "")).select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).distinct()
     items = stage(items.coalesce(8), "items")  # a small table: a few files
     n, df = document_frequencies(docs, text)
     idf = np.log((1 + n) / (1 + df)) + 0.1  # words of every document say next to nothing
-    some = docs.select(F.col(text).cast("string").alias("t"), F.xxhash64(F.lit("lsi"), F.col(id_col)).alias("h")).where("t is not null")
-    some = some.join(F.broadcast(some.select(F.col("h").alias("x")).orderBy("x").limit(sample).distinct()), F.col("h") == F.col("x")).select("t")
-    matrix = stage(passages(items.select("t").unionByName(some), idf), "passages")
+    whole = docs.select(F.col(text).cast("string").alias("t")).where("t is not null")
+    matrix = stage(passages(items.select("t").unionByName(whole), idf), "passages")
+    number = matrix.agg(F.sum(F.octet_length("at") / 4)).first()[0]
     # a direction for each eight passages at most: a basis with as many directions as passages tells all of them apart
-    weight = (latent_basis(matrix, max(1, min(32, matrix.count() // 8))) * idf[:, None]).astype(np.float32)
+    weight = (latent_basis(matrix, max(1, min(32, int(number or 0) // 8))) * idf[:, None]).astype(np.float32)
     count = items.count()
     got = docs.select(*keep)
     lists = []
