@@ -37,10 +37,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinsift.llm.common import buffers, slices, stage, word_hashes
+from twinsift.llm.common import added_up, buffers, slices, stage, word_hashes
 
 BUCKETS = 1 << 16
-SLICES = 16
+#: Places of the matrix that are multiplied at once.
+TOGETHER = 1 << 14
 #: Bytes of words: ASCII letters and digits, everything beyond ASCII.
 _WORD = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b > 127 for b in range(256)])
 
@@ -106,42 +107,43 @@ def passages(texts: DataFrame, idf: np.ndarray, size: int = 64) -> DataFrame:
     return texts.mapInArrow(cut, "at binary, idx binary, val binary")
 
 
+def _sums(table: np.ndarray, at: np.ndarray, weight: np.ndarray, first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """For each group (``many`` places from ``first`` on) the weighted sum of
+    the rows ``at`` its places; groups of about the same size are multiplied
+    together."""
+    out = np.empty((len(first), table.shape[1]), np.float32)
+    size = np.ceil(np.log2(many)).astype(np.int64)
+    for c in np.unique(size).tolist():
+        group = np.flatnonzero(size == c)
+        step, reach = max(1, TOGETHER >> c), np.arange(1 << c)
+        for g in (group[s : s + step] for s in range(0, len(group), step)):
+            there = reach < many[g][:, None]
+            place = np.where(there, first[g][:, None] + reach, 0)
+            out[g] = np.matmul((weight[place] * there)[:, None, :], table[at[place]])[:, 0]
+    return out
+
+
 def _product(matrix: DataFrame, basis: np.ndarray) -> np.ndarray:
-    """A'(A basis): tasks multiply their rows, Spark adds up the shares by
-    slices of the buckets; what comes back has the basis's size."""
-    width = basis.shape[1]
+    """A'(A basis): tasks multiply their rows, Spark adds up the shares; what
+    comes back has the basis's size."""
 
     def share(batches):
-        total = np.zeros((BUCKETS, width), np.float32)
+        total = np.zeros(basis.shape, np.float32)
         for batch in batches:
             for a, i, v in zip(*batch.columns, strict=True):
-                end = np.frombuffer(a.as_buffer(), "<i4")
+                end = np.frombuffer(a.as_buffer(), "<i4").astype(np.int64)
                 k, x = np.frombuffer(i.as_buffer(), "<u2"), np.frombuffer(v.as_buffer(), "<f4")
-                for s in range(0, len(end), 1024):  # so many passages at once
-                    z = end[s : s + 1024]
-                    begin = np.concatenate([[end[s - 1] if s else 0], z[:-1]])
-                    part, weight = k[begin[0] : z[-1]], x[begin[0] : z[-1], None]
-                    seen = np.add.reduceat(weight * basis[part], begin - begin[0])
-                    by = np.argsort(part, kind="stable")
-                    share = (weight * np.repeat(seen, z - begin, axis=0))[by]
-                    part = part[by]
-                    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-                    total[part[first]] += np.add.reduceat(share, first)
-        for s, part in enumerate(np.split(total, SLICES)):
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([part.astype("<f4").tobytes()], pa.binary())], ["slice", "part"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(BUCKETS // SLICES * width)
-        for x in table["part"]:
-            total += np.frombuffer(x.as_buffer(), "<f4")
-        return pa.table({"slice": table["slice"][:1].cast(pa.int32()), "part": pa.array([total.astype("<f4").tobytes()], pa.binary())})
-
-    rows = matrix.mapInArrow(share, "slice int, part binary").groupBy("slice").applyInArrow(add, "slice int, part binary").collect()
-    out = np.zeros((BUCKETS, width), np.float32)
-    for r in rows:
-        out[r[0] * (BUCKETS // SLICES) : (r[0] + 1) * (BUCKETS // SLICES)] = np.frombuffer(r[1], "<f4").reshape(-1, width)
-    return out
+                if not len(k):
+                    continue
+                many = np.diff(end, prepend=0)
+                seen = _sums(basis, k, x, end - many, many)
+                by = np.argsort(k, kind="stable")
+                part = k[by]
+                first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+                total[part[first]] += _sums(seen, np.repeat(np.arange(len(end)), many)[by], x[by], first, np.diff(np.append(first, len(part))))
+        return total
+
+    return added_up(matrix, share, basis.shape, "<f4")
 
 
 def _orthonormal(q: np.ndarray) -> np.ndarray:
