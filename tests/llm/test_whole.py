@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from twinsift.llm import lsi_decontam, pii_feistel, suffix_array
+from twinsift.llm import common, langid_ecoc, lsi_decontam, packing_cg, pii_feistel, suffix_array
+from twinsift.llm.queries import vocabulary_path
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
@@ -249,3 +250,52 @@ def test_basis_is_fitted_to_every_passage(spark, monkeypatch):
     some = np.flatnonzero(np.sum(rows, axis=0))
     small = np.array(rows)[:, some]
     assert np.allclose(lsi_decontam._product(seen[0], q)[some], small.T @ (small @ q[some]), rtol=1e-3, atol=1e-3)
+
+
+@pytest.mark.parametrize("parts", [1, 40])
+def test_matrix_shares_are_bounded_by_cores(spark, parts):
+    """However many parts the rows have, no more whole matrices than cores are
+    handed back, and the sum is that of all rows."""
+    made = spark.sparkContext.accumulator(0)
+
+    def share(batches):
+        made.add(1)
+        total = np.zeros((20, 3))
+        for batch in batches:
+            for k in np.asarray(batch.column(0)):
+                total[k % 20] += k
+        return total
+
+    got = common.added_up(spark.range(0, 1000, 1, parts), share, (20, 3))
+    assert made.value <= min(parts, spark.sparkContext.defaultParallelism)
+    assert (got == np.array([[k] * 3 for k in np.arange(1000).reshape(50, 20).sum(0)])).all()
+
+
+def test_groups_of_all_sizes_are_summed():
+    rng = np.random.default_rng(4)
+    many = np.array([1, 2, 3, 1, 64, 700, 5, 1])
+    at, weight, table = rng.integers(0, 90, many.sum()), rng.random(many.sum(), np.float32), rng.random((90, 7), np.float32)
+    first = np.cumsum(many) - many
+    want = [(weight[a : a + n, None] * table[at[a : a + n]]).sum(0) for a, n in zip(first, many, strict=True)]
+    assert np.allclose(lsi_decontam._sums(table, at, weight, first, many), want, rtol=1e-4)
+
+
+def test_language_model_learns_from_every_row(spark, monkeypatch):
+    """Far more labelled rows than any sample, and each is in every sum that the
+    model is made of."""
+    docs = spark.range(0, 2600, 1, 3).selectExpr("id as doc_id", "if(id % 13 = 0, concat('uvw xyz ', id), concat('abc def ', id)) as text", "if(id % 13 = 0, 'b', 'a') as lang")
+    seen, add = [], langid_ecoc.added_up
+    monkeypatch.setattr(langid_ecoc, "added_up", lambda rows, share, shape: seen.append(rows.count()) or add(rows, share, shape))
+    model = langid_ecoc.train(docs, steps=3)
+    assert seen == [2600] * 4
+    got = {r["doc_id"]: r["lang_pred"] for r in langid_ecoc.identify(docs, model).collect()}
+    assert all(got[d] == ("b" if d % 13 == 0 else "a") for d in range(2600))
+
+
+def test_parts_are_remembered_as_the_words_that_they_are():
+    """A word of letters and the same letters beside signs are tokenised once,
+    and the ids are the tokenizer's."""
+    words = packing_cg.Words(vocabulary_path(), "<u4")
+    for text in ["wordx wordx, 'wordx' wordx.", "ñandúx ñandúx!! it's it 's", "²x x² a1b ½"]:
+        assert words.ids(text) == words.whole(text)
+    assert {"wordx", "wordx,", ",", "ñandúx", "ñandúx!!", "!!"} <= set(words)

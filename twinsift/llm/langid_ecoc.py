@@ -20,10 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinsift.llm.common import buffers, own_names, remainder, slices, text_or_empty
+from twinsift.llm.common import added_up, buffers, own_names, remainder, slices, stage, text_or_empty
 
 BUCKETS = 4096
 #: ASCII letters in lower case, other ASCII as blanks, everything beyond as it is.
@@ -77,41 +78,58 @@ def _features(texts: pa.Array) -> pa.Array:
     return pa.array([x.astype(np.float16).tobytes() for i, j in slices(at, 1 << 20) for x in ngrams(raw, at[i : j + 1])], pa.binary())
 
 
-def train(docs: DataFrame, label: str = "lang", text: str = "text", id_col: str = "doc_id", per_lang: int = 500, steps: int = 120) -> Model:
-    """Learn from rows with a label. ``per_lang`` bounds the sample: about so
-    many rows of each language, the same ones every time, twice as many in all
-    at most; their n-gram rows are what reaches the driver."""
+def train(docs: DataFrame, label: str = "lang", text: str = "text", id_col: str = "doc_id", steps: int = 24) -> Model:
+    """Learn from all rows with a label. Their n-gram rows are staged; each step
+    is one pass over all of them, in which tasks make their shares of the
+    gradient and Spark adds them up. The driver holds only sums of the model's
+    size. Languages count the same, however many rows they have."""
     known = docs.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & text_or_empty(text).rlike(r"\p{L}"))
-    counts = {r[0]: r[1] for r in known.groupBy(label).count().collect()}
+    feats = F.arrow_udf(_features, "binary")
+    rows = stage(known.select(F.col(label).cast("string").alias("l"), feats(F.col(text).cast("string")).alias("x")), "ngrams")
+    counts = {r[0]: r[1] for r in rows.groupBy("l").count().collect()}
     langs = sorted(counts)
     if len(langs) < 2:
         return Model(langs, np.ones((len(langs), 1), np.float32), np.zeros((BUCKETS, 1), np.float32), np.zeros(1, np.float32), np.ones((len(langs), 1), np.float32))
-    draw = F.pmod(F.xxhash64(F.lit("ecoc"), F.col(id_col)), F.lit(1 << 30))
-    pick = F.lit(False)
-    for lang in langs:
-        pick = pick | ((F.col(label) == lang) & (draw < int((1 << 30) * min(1.0, per_lang / counts[lang]))))
-    feats = F.arrow_udf(_features, "binary")
-    chosen = known.where(pick).select(F.col(label).alias("l"), draw.alias("d"), F.col(text).alias("t")).orderBy("d").limit(2 * per_lang * len(langs))
-    rows = chosen.select("l", feats("t").alias("x")).collect()
-    x = np.frombuffer(b"".join(bytes(r["x"]) for r in rows), np.float16).reshape(len(rows), BUCKETS).astype(np.float32)
-    y = np.array([langs.index(r["l"]) for r in rows])
     code = codewords(len(langs))
-    balance = (len(y) / len(langs) / np.maximum(np.bincount(y, minlength=len(langs)), 1))[y][:, None].astype(np.float32)
-    target = code[y]
+    each = np.array([1 / len(langs) / counts[lang] for lang in langs], np.float32)  # weight of a row of each language
     w, bias = np.zeros((BUCKETS, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
     m1, m2, n1, n2 = np.zeros_like(w), np.zeros_like(w), np.zeros_like(bias), np.zeros_like(bias)
     for t in range(1, steps + 1):  # Adam on the logistic loss
-        g = -target * balance / (1 + np.exp(np.clip(target * (x @ w + bias), -30, 30))) / len(y)
-        gw, gb = x.T @ g + 1e-5 * w, g.sum(0)
-        for p, d, a, b in ((w, gw, m1, m2), (bias, gb, n1, n2)):
+
+        def slope(batches, w=w, bias=bias):
+            total = np.zeros((BUCKETS + 1, code.shape[1]))
+            for x, y in _blocks(batches, langs):
+                g = -code[y] * each[y][:, None] / (1 + np.exp(np.clip(code[y] * (x @ w + bias), -30, 30)))
+                total[:-1] += x.T @ g
+                total[-1] += g.sum(0)
+            return total
+
+        g = added_up(rows, slope, (BUCKETS + 1, code.shape[1])).astype(np.float32)
+        for p, d, a, b in ((w, g[:-1] + 1e-5 * w, m1, m2), (bias, g[-1], n1, n2)):
             a += 0.1 * (d - a)
             b += 0.01 * (d * d - b)
             p -= 0.3 * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.99**t)) + 1e-8)
-    right = (x @ w + bias) * target > 0
-    trust = np.array([right[y == k].mean(0) if (y == k).any() else np.ones(code.shape[1]) for k in range(len(langs))], np.float32) + 1e-3
+
+    def right(batches):
+        total = np.zeros(code.shape)
+        for x, y in _blocks(batches, langs):
+            np.add.at(total, y, (x @ w + bias) * code[y] > 0)
+        return total
+
+    trust = (added_up(rows, right, code.shape) / np.array([counts[lang] for lang in langs])[:, None]).astype(np.float32) + 1e-3
     return Model(langs, code, w, bias, trust / trust.sum(1, keepdims=True))
 
 
+def _blocks(batches, langs: list[str]):
+    """(n-gram rows, places of their labels in ``langs``), some hundred at a time."""
+    place = pa.array(langs, pa.string())
+    for batch in batches:
+        for a in range(0, batch.num_rows, 256):
+            part = batch.slice(a, 256)
+            x = np.frombuffer(b"".join(v.as_buffer() for v in part.column(1)), np.float16).reshape(part.num_rows, BUCKETS)
+            yield x.astype(np.float32), np.asarray(pc.index_in(part.column(0), value_set=place))
+
+
 def decode(model: Model, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(nearest language, its probability, the lead over the second)."""
     loss = np.einsum("lb,nlb->nl", model.trust, np.exp(-np.clip(model.code[None] * margins[:, None, :], -8, 8)))
