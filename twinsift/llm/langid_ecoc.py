@@ -73,9 +73,21 @@ def ngrams(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out / np.maximum(norm, 1e-9)
 
 
+#: A bucket that a text has, and its value.
+_CELL = np.dtype([("k", "<u2"), ("v", "<f2")])
+
+
 def _features(texts: pa.Array) -> pa.Array:
+    """The n-gram row of each text as the cells that aren't zero."""
     raw, at = buffers(texts)
-    return pa.array([x.astype(np.float16).tobytes() for i, j in slices(at, 1 << 20) for x in ngrams(raw, at[i : j + 1])], pa.binary())
+    out: list[bytes] = []
+    for i, j in slices(at, 1 << 20):
+        for x in ngrams(raw, at[i : j + 1]):
+            cells = np.empty(np.count_nonzero(x), _CELL)
+            cells["k"] = np.flatnonzero(x)
+            cells["v"] = x[cells["k"]]
+            out.append(cells.tobytes())
+    return pa.array(out, pa.binary())
 
 
 def train(docs: DataFrame, label: str = "lang", text: str = "text", id_col: str = "doc_id", steps: int = 24) -> Model:
@@ -126,8 +138,11 @@ def _blocks(batches, langs: list[str]):
     for batch in batches:
         for a in range(0, batch.num_rows, 256):
             part = batch.slice(a, 256)
-            x = np.frombuffer(b"".join(v.as_buffer() for v in part.column(1)), np.float16).reshape(part.num_rows, BUCKETS)
-            yield x.astype(np.float32), np.asarray(pc.index_in(part.column(0), value_set=place))
+            held = [v.as_buffer() for v in part.column(1)]
+            cells = np.frombuffer(b"".join(held), _CELL)
+            x = np.zeros((part.num_rows, BUCKETS), np.float32)
+            x[np.repeat(np.arange(len(held)), [b.size // _CELL.itemsize for b in held]), cells["k"]] = cells["v"]
+            yield x, np.asarray(pc.index_in(part.column(0), value_set=place))
 
 
 def decode(model: Model, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
