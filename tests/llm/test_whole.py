@@ -280,6 +280,34 @@ def test_groups_of_all_sizes_are_summed():
     assert np.allclose(lsi_decontam._sums(table, at, weight, first, many), want, rtol=1e-4)
 
 
+def test_small_groups_take_no_product_of_their_own(monkeypatch):
+    """Most buckets of a passage matrix are in a few passages only: groups of up
+    to eight places are added up together, larger ones are multiplied."""
+    rng = np.random.default_rng(6)
+    many = np.concatenate([rng.integers(1, 9, 400), [9, 64]])
+    at, weight, table = rng.integers(0, 90, many.sum()), rng.random(many.sum(), np.float32), rng.random((90, 7), np.float32)
+    first = np.cumsum(many) - many
+    products, matmul = [], np.matmul
+    monkeypatch.setattr(lsi_decontam.np, "matmul", lambda a, b: products.append(len(a)) or matmul(a, b))
+    got = lsi_decontam._sums(table, at, weight, first, many)
+    assert sum(products) == 2
+    want = [(weight[a : a + n, None] * table[at[a : a + n]]).sum(0) for a, n in zip(first, many, strict=True)]
+    assert np.allclose(got, want, rtol=1e-4)
+
+
+def test_windows_of_short_last_steps_have_their_own_words_only():
+    """Texts whose last steps have fewer words: no word of the next text counts,
+    and the last text's steps don't go beyond the words there are."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 300, n)) for n in (9, 16, 3, 41, 1, 23)]
+    weight = rng.normal(size=(lsi_decontam.BUCKETS, 12)).astype(np.float32)
+    index = lsi_decontam.Items([(k, t) for k, t in enumerate(texts)], weight, np.ones(lsi_decontam.BUCKETS), 0.8, 0.6, 0.9999)
+    _, h, at = next(lsi_decontam.words_of(pa.array(texts)))
+    text, item, _, _ = index.near(h, at)
+    alone = {(t, k) for t, x in enumerate(texts) for _, g, ends in lsi_decontam.words_of(pa.array([x])) for k in index.near(g, ends)[1].tolist()}
+    assert set(zip(text.tolist(), item.tolist(), strict=True)) == alone and (4, 4) in alone
+
+
 def test_language_model_learns_from_every_row(spark, monkeypatch):
     """Far more labelled rows than any sample, and each is in every sum that the
     model is made of."""

@@ -42,6 +42,8 @@ from twinsift.llm.common import added_up, buffers, slices, stage, word_hashes
 BUCKETS = 1 << 16
 #: Places of the matrix that are multiplied at once.
 TOGETHER = 1 << 14
+#: Groups of up to 2 ** FEW places are added up place by place.
+FEW = 3
 #: Bytes of words: ASCII letters and digits, everything beyond ASCII.
 _WORD = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b > 127 for b in range(256)])
 
@@ -73,7 +75,8 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, np.n
             for _, h, at in words_of(batch.column(0)):
                 n += len(at) - 1
                 doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
-                total += np.bincount(np.unique(doc * BUCKETS + bucket_of(h)) % BUCKETS, minlength=BUCKETS)
+                key = np.sort(doc * BUCKETS + bucket_of(h))  # a sort takes less than the hash table of np.unique
+                total += np.bincount(key[np.diff(key, prepend=-1) > 0] % BUCKETS, minlength=BUCKETS)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *some], pa.int32()), pa.array([n, *total[some]], pa.int64())], ["bucket", "n"])
 
@@ -119,28 +122,45 @@ def _sums(table: np.ndarray, at: np.ndarray, weight: np.ndarray, first: np.ndarr
         for g in (group[s : s + step] for s in range(0, len(group), step)):
             there = reach < many[g][:, None]
             place = np.where(there, first[g][:, None] + reach, 0)
-            out[g] = np.matmul((weight[place] * there)[:, None, :], table[at[place]])[:, 0]
+            share, rows = weight[place] * there, at[place]
+            if c <= FEW:  # a product for each group would take longer than its numbers
+                total = table.take(rows[:, 0], axis=0) * share[:, :1]
+                for j in range(1, 1 << c):
+                    total += table.take(rows[:, j], axis=0) * share[:, j : j + 1]
+                out[g] = total
+            else:
+                out[g] = np.matmul(share[:, None, :], table.take(rows, axis=0))[:, 0]
     return out
 
 
+def _together(batches, least: int = 1 << 19):
+    """(places of each passage, their buckets, their weights), of as many rows
+    of the matrix as have ``least`` places: a bucket's places are added up
+    before the sum goes to its far-off row."""
+    held, n = [], 0
+    for batch in batches:
+        for a, i, v in zip(*batch.columns, strict=True):
+            held.append((np.diff(np.frombuffer(a.as_buffer(), "<i4").astype(np.int64), prepend=0), np.frombuffer(i.as_buffer(), "<u2"), np.frombuffer(v.as_buffer(), "<f4")))
+            n += len(held[-1][1])
+            if n >= least:
+                yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+                held, n = [], 0
+    if n:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
 def _product(matrix: DataFrame, basis: np.ndarray) -> np.ndarray:
     """A'(A basis): tasks multiply their rows, Spark adds up the shares; what
     comes back has the basis's size."""
 
     def share(batches):
         total = np.zeros(basis.shape, np.float32)
-        for batch in batches:
-            for a, i, v in zip(*batch.columns, strict=True):
-                end = np.frombuffer(a.as_buffer(), "<i4").astype(np.int64)
-                k, x = np.frombuffer(i.as_buffer(), "<u2"), np.frombuffer(v.as_buffer(), "<f4")
-                if not len(k):
-                    continue
-                many = np.diff(end, prepend=0)
-                seen = _sums(basis, k, x, end - many, many)
-                by = np.argsort(k, kind="stable")
-                part = k[by]
-                first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-                total[part[first]] += _sums(seen, np.repeat(np.arange(len(end)), many)[by], x[by], first, np.diff(np.append(first, len(part))))
+        for many, k, x in _together(batches):
+            seen = _sums(basis, k, x, np.cumsum(many) - many, many)
+            by = np.argsort(k, kind="stable")
+            part = k[by]
+            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            total[part[first]] += _sums(seen, np.repeat(np.arange(len(many)), many)[by], x[by], first, np.diff(np.append(first, len(part))))
         return total
 
     return added_up(matrix, share, basis.shape, "<f4")
@@ -179,8 +199,9 @@ def common_words(a: np.ndarray, b: np.ndarray) -> int:
     full = (1 << len(a)) - 1
     row = full
     for w in b.tolist():
-        hit = row & where.get(w, 0)
-        row = ((row + hit) | (row - hit)) & full
+        if (of := where.get(w)) is not None:
+            hit = row & of
+            row = ((row + hit) | (row - hit)) & full
     return len(a) - row.bit_count()
 
 
@@ -235,6 +256,8 @@ class Items:
         pairs.sort()
         self.vocab, self.head = np.unique(np.array([w for w, _ in pairs], np.uint64), return_index=True)
         self.head = np.append(self.head, len(pairs))
+        self.known = np.zeros(BUCKETS, bool)  # buckets with a word of the postings
+        self.known[bucket_of(self.vocab)] = True
         self.post = np.array([k for _, k in pairs], np.int64)
 
     def _classes(self, n: np.ndarray) -> np.ndarray:
@@ -266,10 +289,13 @@ class Items:
                 z = min(a + self.TOGETHER, len(begin))
                 more = min(z + reach, len(begin))  # windows go on beyond the last start
                 run = np.zeros((more - a + 1, self.weight.shape[1]), np.float32)
+                one = np.empty((more - a, self.weight.shape[1]), self.weight.dtype)
+                stops = at[of[a:more] + 1]
                 for k in range(step):  # a step's words, or those that its text still has
                     word = begin[a:more] + k
-                    there = word < at[of[a:more] + 1]
-                    run[1:][there] += self.weight[bucket[word[there]]]
+                    np.take(self.weight, bucket[np.minimum(word, len(bucket) - 1)], axis=0, out=one, mode="clip")
+                    one[word >= stops] = 0
+                    run[1:] += one
                 np.cumsum(run, axis=0, out=run)
                 for width, items in classes:
                     every = max(1, width // (4 * self.STEP)) if step > 1 else 1
@@ -279,7 +305,8 @@ class Items:
                     stop = np.minimum(start + width // step, ends[of[start]])
                     x = run[stop - a] - run[start - a]
                     size = np.sqrt(np.einsum("ij,ij->i", x, x))
-                    k, w = np.nonzero(self.latent[items] @ x.T >= np.maximum(self.floor * size, 1e-12)[None, :])
+                    like = self.latent[items] @ x.T >= np.maximum(self.floor * size, 1e-12)[None, :]
+                    k, w = np.divmod(np.flatnonzero(like), len(start))
                     if not len(w):
                         continue
                     k, w = items[k], start[w]
@@ -314,9 +341,10 @@ class Items:
     def regions(self, h: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(text, item position, first start, last start) of all stretches that
         can have enough of an item's words: those with enough of its rarest."""
-        x = np.minimum(np.searchsorted(self.vocab, h), len(self.vocab) - 1)
-        place = np.flatnonzero(self.vocab[x] == h)
-        x = x[place]
+        place = np.flatnonzero(self.known[bucket_of(h)])
+        x = np.minimum(np.searchsorted(self.vocab, h[place]), len(self.vocab) - 1)
+        same = self.vocab[x] == h[place]
+        place, x = place[same], x[same]
         times = self.head[x + 1] - self.head[x]
         place = np.repeat(place, times)
         item = self.post[np.arange(len(place)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(self.head[x], times)]
