@@ -354,6 +354,47 @@ def test_registered_streams_run_several_batches(spark):
             assert len(commits) >= 3, folder
 
 
+def test_state_stores_follow_cores_and_input(spark):
+    """Many shuffle partitions are not as many state stores, which each batch
+    would commit one by one; rows and the session's setting stay."""
+    import datetime as dt
+
+    from twinsift.plans.sizing import input_bytes, state_stores
+    from twinsift.registry import queries
+    from twinsift.session import checkpoint_dir
+
+    sf = tempfile.mkdtemp(prefix="twinsift-stores-")
+    day = dt.datetime(2024, 3, 1)
+    rows = [(i, day + dt.timedelta(minutes=17 * i), i % 9, "view" if i % 2 else "click", i / 4, None) for i in range(300)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{sf}/events.parquet")
+    two_each = 2 * spark.sparkContext.defaultParallelism
+    root, was = checkpoint_dir(spark).removeprefix("file:"), spark.conf.get("spark.sql.shuffle.partitions")
+    before = set(os.listdir(root))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(two_each + 9))
+        got = {name: queries()[name](spark, sf).collect() for name in ("stream_dedup", "stream_keyed_state")}
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(two_each + 9)
+        # a larger input has more stores, up to the session's partitions
+        size = input_bytes(spark, f"{sf}/events.parquet")
+        assert state_stores(spark, f"{sf}/events.parquet") == two_each
+        assert state_stores(spark, f"{sf}/events.parquet", size // (two_each + 3)) in (two_each + 3, two_each + 4)
+        assert state_stores(spark, f"{sf}/events.parquet", 1) == two_each + 9
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        assert state_stores(spark, f"{sf}/events.parquet") == 3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert sorted(tuple(r) for r in got["stream_dedup"]) == rows
+    first = {}
+    for r in rows:
+        first.setdefault((r[2], r[3]), r)
+    assert sorted(tuple(r) for r in got["stream_keyed_state"]) == sorted(first.values())
+    folders = [f for f in set(os.listdir(root)) - before if f.startswith(("stream-dedup-", "stream-state-"))]
+    assert len(folders) == 2
+    for folder in folders:
+        assert len([x for x in os.listdir(f"{root}/{folder}/checkpoint/state/0") if x.isdigit()]) == two_each, folder
+
+
 def test_file_arrival_stream(spark):
     root = _file_tree()
     folder = tempfile.mkdtemp(prefix="twinsift-arrivals-")

@@ -4,6 +4,7 @@ decides from measured sizes."""
 from __future__ import annotations
 
 DEFAULT_PARTITION_BYTES = 256 * 1024 * 1024
+STORE_BYTES = 32 * 1024 * 1024
 
 
 def input_bytes(spark, paths) -> int:
@@ -31,3 +32,15 @@ def tune_shuffle(spark, paths, partition_bytes: int = DEFAULT_PARTITION_BYTES, e
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes // 2))
     return n
+
+
+def state_stores(spark, paths, store_bytes: int = STORE_BYTES) -> int:
+    """How many state stores a stream over the files under ``paths`` gets:
+    one for each ``store_bytes`` of them, at least two for each core, and no
+    more than the session's ``spark.sql.shuffle.partitions``.
+
+    Every store is loaded at each start and committed in each batch, with new
+    keys or without, so stores beyond what the cores and the keys ask for cost
+    time; the number is fixed by the checkpoint's first batch."""
+    wanted = max(2 * spark.sparkContext.defaultParallelism, input_bytes(spark, paths) // max(store_bytes, 1))
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)

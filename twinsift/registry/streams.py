@@ -14,8 +14,9 @@ from twinsift.registry import register
 from twinsift.registry.sqltext import EVENTS_COLUMNS, keep_one_sql
 from twinsift.session import scratch_path
 from twinsift.sources.files import write_files
-from twinsift.sources.tables import load
+from twinsift.sources.tables import join_path, load
 from twinsift.operators.bloom import BloomSpec
+from twinsift.plans.sizing import state_stores
 from twinsift.streaming.dedup import (
     BloomSeenTableSink,
     SeenTableSink,
@@ -24,7 +25,7 @@ from twinsift.streaming.dedup import (
     run_available,
     within_watermark,
 )
-from twinsift.streaming.state import first_seen, keyed_state
+from twinsift.streaming.state import first_seen, in_stores, keyed_state
 
 KEYS = ["user_id", "event_type"]
 ARRIVALS = 4
@@ -49,14 +50,20 @@ def _events_stream(spark, sf_dir, landing):
     return read_parquet_stream(spark, landing, load(spark, sf_dir, "events").schema)
 
 
+def _stores(spark, sf_dir):
+    """State stores as ``events`` and the cores ask for."""
+    return in_stores(spark, state_stores(spark, join_path(sf_dir, "events.parquet")))
+
+
 @register("stream_dedup", "SELECT * FROM events")
 def q_stream_dedup(spark, sf_dir):
     """Events sent again within the watermark (one span of arrivals) are
     dropped; state older than that is forgotten."""
     base = scratch_path(spark, "stream-dedup")
-    for _, span in _arrivals(spark, sf_dir, f"{base}/in"):
-        stream = within_watermark(_events_stream(spark, sf_dir, f"{base}/in"), ["event_id"], "ts", f"{span} seconds")
-        run_available(stream, f"{base}/checkpoint", path=f"{base}/out")
+    with _stores(spark, sf_dir):
+        for _, span in _arrivals(spark, sf_dir, f"{base}/in"):
+            stream = within_watermark(_events_stream(spark, sf_dir, f"{base}/in"), ["event_id"], "ts", f"{span} seconds")
+            run_available(stream, f"{base}/checkpoint", path=f"{base}/out")
     return spark.read.parquet(f"{base}/out")
 
 
@@ -76,7 +83,7 @@ def q_stream_keyed_state(spark, sf_dir):
     """Keyed state: per key the earliest event passes once, over several
     batches and restarts; keys are held for a day."""
     base = scratch_path(spark, "stream-state")
-    with keyed_state(spark):
+    with keyed_state(spark), _stores(spark, sf_dir):
         for _ in _arrivals(spark, sf_dir, f"{base}/in"):
             passed = first_seen(_events_stream(spark, sf_dir, f"{base}/in"), KEYS, ["ts"], ttl_seconds=86_400)
             run_available(passed, f"{base}/checkpoint", path=f"{base}/out")

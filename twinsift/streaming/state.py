@@ -96,12 +96,8 @@ def first_seen(stream: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
 
 
 @contextmanager
-def keyed_state(spark: SparkSession):
-    """The session settings that keyed state needs, for the queries started
-    inside: the RocksDB store, and no batches without data (a state with a time
-    to live would ask for one after the other, so that a query over what is
-    available would never end). They are put back afterwards."""
-    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+def session_settings(spark: SparkSession, wanted: dict[str, str]):
+    """Session settings for the queries started inside, put back afterwards."""
     before = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
         spark.conf.set(k, v)
@@ -113,3 +109,17 @@ def keyed_state(spark: SparkSession):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def in_stores(spark: SparkSession, stores: int):
+    """Queries that first start inside keep their state in so many stores
+    (``plans.sizing.state_stores``); their checkpoints hold on to the number."""
+    return session_settings(spark, {"spark.sql.shuffle.partitions": str(stores)})
+
+
+def keyed_state(spark: SparkSession):
+    """The session settings that keyed state needs, for the queries started
+    inside: the RocksDB store, and no batches without data (a state with a time
+    to live would ask for one after the other, so that a query over what is
+    available would never end). They are put back afterwards."""
+    return session_settings(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": "false"})
